@@ -1,0 +1 @@
+"""Intentionally empty: every load in this warehouse is a bounded batch."""
