@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -59,7 +60,7 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         """The stored table, built and published first if necessary."""
         if name not in self._versions:
-            self._publish(name, *self._write(name))
+            self._publish({name: self._write(name)})
         path, schema = self._versions[name]
         return read_table(self.spark, path, schema)
 
@@ -69,19 +70,25 @@ class Warehouse:
         A failed check leaves the published version in place. Readers of the old
         version keep their files.
         """
-        spec = TABLES[name]
         path, schema = self._write(name)
-        if spec.checked:
-            rebuilt = read_table(self.spark, path, schema)
-            require_key(name, rebuilt, spec.key, allow_null=spec.nulls_in_key)
-        self._publish(name, path, schema)
+        self._check(name, path, schema)
+        self._publish({name: (path, schema)})
         return self.table(name)
 
-    def build(self) -> None:
-        """Rebuild all layers in order. A broken key aborts the build."""
+    def build(self, *, check_keys: bool = True, together: int = 4) -> None:
+        """Rebuild all layers in order. A broken key aborts the build.
+
+        Tables that do not read each other are written ``together``, so the tail
+        of one job does not leave the cluster idle.
+        """
         self._versions.clear()
-        for name in TABLES:
-            self.refresh(name)
+        with ThreadPoolExecutor(together) as writers:
+            for step in BUILD_STEPS:
+                results = dict(zip(step, writers.map(self._write, step), strict=True))
+                for name, (path, schema) in results.items():
+                    if check_keys:
+                        self._check(name, path, schema)
+                self._publish(results)
 
     def key_report(self, layers: tuple[str, ...]) -> DataFrame:
         """Key violations of every checked table in the given layers."""
@@ -99,16 +106,27 @@ class Warehouse:
         write_table(df, path, LAYOUTS.get(name))
         return path, df.schema
 
-    def _publish(self, name: str, path: str, schema: StructType) -> None:
+    def _check(self, name: str, path: str, schema: StructType) -> None:
+        spec = TABLES[name]
+        if spec.checked:
+            rebuilt = read_table(self.spark, path, schema)
+            require_key(name, rebuilt, spec.key, allow_null=spec.nulls_in_key)
+
+    def _publish(self, versions: Mapping[str, tuple[str, StructType]]) -> None:
         # Appended, never overwritten: a reader sees the old or the new version.
-        entry = self.spark.range(1).select(
-            F.lit(name).alias("name"),
-            F.lit(time.time_ns()).alias("published"),
-            F.lit(path).alias("path"),
-            F.lit(schema.json()).alias("schema"),
-        )
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/published")
-        self._versions[name] = (path, schema)
+        now = time.time_ns()
+        entries = [
+            F.struct(
+                F.lit(name).alias("name"),
+                F.lit(now).alias("published"),
+                F.lit(path).alias("path"),
+                F.lit(schema.json()).alias("schema"),
+            )
+            for name, (path, schema) in versions.items()
+        ]
+        log = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*entries)))
+        log.write.mode("append").parquet(f"{self.root}/published")
+        self._versions.update(versions)
 
     def _load_published(self) -> None:
         try:
@@ -221,3 +239,11 @@ TABLES: dict[str, Table] = {
         **_VIEW,
     ),
 }
+
+#: Tables in build order; those of one step only read tables of earlier steps.
+BUILD_STEPS: tuple[tuple[str, ...], ...] = (
+    tuple(name for name, spec in TABLES.items() if spec.layer == "staging"),
+    ("int_orders_enriched", "int_seller_status_history"),
+    ("int_seller_performance", "int_product_performance", "int_customer_history"),
+    tuple(name for name, spec in TABLES.items() if spec.layer == "mart"),
+)
