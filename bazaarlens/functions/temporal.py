@@ -9,8 +9,13 @@ MICROS_PER_DAY = 86_400_000_000
 
 
 def span_micros(start: Column, end: Column) -> Column:
-    """Whole microseconds from ``start`` to ``end`` (negative when reversed)."""
-    return F.timestamp_diff("MICROSECOND", start, end)
+    """Whole microseconds from ``start`` to ``end`` (negative when reversed).
+
+    Subtracts the zone-free values themselves; ``timestamp_diff`` would pass them
+    through the session time zone, where some local times do not exist.
+    """
+    seconds = (end - start).cast("interval second").cast("decimal(20,6)")
+    return (seconds * F.lit(1_000_000)).cast("bigint")
 
 
 def span_days(start: Column, end: Column) -> Column:

@@ -60,6 +60,17 @@ def test_dates(spark):
     assert one(spark, span_micros(moment, ts("2018-05-20 13:29:59.999999"))) == -1
 
 
+def test_spans_ignore_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:  # clocks there skipped the first hour of this day
+        df = spark.createDataFrame([("2017-10-14 23:30:00", "2017-10-15 00:30:00")], "a string, b string")
+        hour = span_micros(F.col("a").cast("timestamp_ntz"), F.col("b").cast("timestamp_ntz"))
+        assert df.select(hour.alias("v")).first()["v"] == 3_600_000_000
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def half_away(value: Fraction, digits: int) -> Fraction:
     scaled = abs(value) * 10**digits
     rounded = Fraction(floor(scaled + Fraction(1, 2)), 10**digits)
