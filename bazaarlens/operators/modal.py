@@ -24,37 +24,29 @@ def aggregate_with_modes(
     key: str,
     ballots: Column,
     races: tuple[str, ...],
-    *,
-    sums: Mapping[str, Column] | None = None,
-    lows: Mapping[str, Column] | None = None,
-    highs: Mapping[str, Column] | None = None,
+    sums: Mapping[str, Column],
 ) -> DataFrame:
-    """Per key: the winner of every race plus sums, minima and maxima.
+    """Per key: the winner of every race plus sums.
 
     ``ballots`` is an array of :func:`ballot` votes, at least one per row. Ties
     go to the smallest choice and NULL choices never win. Votes are first
     counted per (key, race, choice), so neither a hot key nor one with many
     distinct choices is ever held in a single buffer.
     """
-    measures: list[tuple[str, Column, object]] = []
-    for group, fold in ((sums, F.sum), (lows, F.min), (highs, F.max)):
-        measures += [(name, column, fold) for name, column in (group or {}).items()]
-
     votes = df.select(
         key,
-        *[column.alias(name) for name, column, _ in measures],
+        *[column.alias(name) for name, column in sums.items()],
         F.posexplode(ballots).alias("_nth", "_vote"),
     ).select(
         key,
         F.col("_vote.race").alias("_race"),
         F.col("_vote.choice").alias("_choice"),
         F.col("_vote.weight").alias("_weight"),
-        # A row's measures travel with its first vote only.
-        *[F.when(F.col("_nth") == 0, F.col(name)).alias(name) for name, _, _ in measures],
+        # A row's amounts travel with its first vote only.
+        *[F.when(F.col("_nth") == 0, F.col(name)).alias(name) for name in sums],
     )
     tallies = votes.groupBy(key, "_race", "_choice").agg(
-        F.sum("_weight").alias("_weight"),
-        *[fold(name).alias(name) for name, _, fold in measures],
+        *[F.sum(name).alias(name) for name in ("_weight", *sums)]
     )
 
     def winner(race: str) -> Column:
@@ -64,5 +56,5 @@ def aggregate_with_modes(
 
     return tallies.groupBy(key).agg(
         *[winner(race) for race in races],
-        *[fold(name).alias(name) for name, _, fold in measures],
+        *[F.sum(name).alias(name) for name in sums],
     )

@@ -223,20 +223,9 @@ def customer_history(enriched: DataFrame, payments: DataFrame) -> DataFrame:
 
     Payments count at row grain: an order paid in three parts weighs three times
     in the value sum, both averages and the state vote, once only in
-    ``lifetime_orders``. Instead of multiplying rows, each order carries its
-    number of payments as a weight.
+    ``lifetime_orders``. Instead of multiplying rows, each order is joined once per
+    payment type and weighted with the number of payments.
     """
-    by_type = payments.groupBy("order_id", "payment_type").agg(F.count(F.lit(1)).alias("n"))
-    paid = by_type.groupBy("order_id").agg(
-        F.sum("n").alias("_payments"),
-        # One entry per payment type of the order.
-        F.collect_list(F.struct("payment_type", "n")).alias("_types"),
-    )
-    weight = F.coalesce("_payments", F.lit(1))
-    value, score = F.col("total_order_value"), F.col("review_score")
-    type_votes = F.transform("_types", lambda t: ballot("_method", t["payment_type"], t["n"]))
-    state_vote = F.array(ballot("_state", F.col("customer_state"), weight))
-
     known = enriched.filter(F.col("customer_unique_id").isNotNull()).select(
         "order_id",
         "customer_unique_id",
@@ -245,21 +234,30 @@ def customer_history(enriched: DataFrame, payments: DataFrame) -> DataFrame:
         "total_order_value",
         "review_score",
     )
-    people = aggregate_with_modes(
-        known.join(paid, "order_id", "left"),
+    by_type = payments.groupBy("order_id", "payment_type").agg(F.count(F.lit(1)).alias("_n"))
+    weight = F.coalesce("_n", F.lit(1))  # an order without payments counts once
+    value, score = F.col("total_order_value"), F.col("review_score")
+    weighted = aggregate_with_modes(
+        known.join(by_type, "order_id", "left"),
         "customer_unique_id",
-        F.coalesce(F.concat(state_vote, type_votes), state_vote),
-        ("_method", "_state"),
-        sums={
-            "_orders": F.lit(1),
+        F.array(
+            ballot("_state", F.col("customer_state"), weight),
+            ballot("_method", F.col("payment_type"), weight),
+        ),
+        ("_state", "_method"),
+        {
             "_value": value * weight.cast(_TIMES),
             "_valued": F.when(value.isNotNull(), weight),
             "_review": score * weight,
             "_reviewed": F.when(score.isNotNull(), weight),
         },
-        lows={"_first": F.col("order_purchase_timestamp")},
-        highs={"_last": F.col("order_purchase_timestamp")},
     )
+    per_order = known.groupBy("customer_unique_id").agg(
+        F.count(F.lit(1)).alias("_orders"),
+        F.min("order_purchase_timestamp").alias("_first"),
+        F.max("order_purchase_timestamp").alias("_last"),
+    )
+    people = per_order.join(weighted, "customer_unique_id")
     return people.select(
         "customer_unique_id",
         F.col("_orders").alias("lifetime_orders"),

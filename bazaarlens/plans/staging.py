@@ -121,7 +121,7 @@ def geolocation(raw: DataFrame) -> DataFrame:
             ballot("state", clean_code(F.col("geolocation_state")), one),
         ),
         ("city", "state"),
-        sums={
+        {
             "_lat": latitude,
             "_lat_rows": F.when(latitude.isNotNull(), one),
             "_lng": longitude,

@@ -82,13 +82,16 @@ class Warehouse:
         of one job does not leave the cluster idle.
         """
         self._versions.clear()
+
+        def rebuild(name: str) -> tuple[str, StructType]:
+            path, schema = self._write(name)
+            if check_keys:
+                self._check(name, path, schema)
+            return path, schema
+
         with ThreadPoolExecutor(together) as writers:
             for step in BUILD_STEPS:
-                results = dict(zip(step, writers.map(self._write, step), strict=True))
-                for name, (path, schema) in results.items():
-                    if check_keys:
-                        self._check(name, path, schema)
-                self._publish(results)
+                self._publish(dict(zip(step, writers.map(rebuild, step), strict=True)))
 
     def key_report(self, layers: tuple[str, ...]) -> DataFrame:
         """Key violations of every checked table in the given layers."""
