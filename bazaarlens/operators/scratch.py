@@ -11,17 +11,18 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
+    """Folder named by ``spark.checkpoint.dir``, or else the checkpoint directory.
 
-    Where the setting is absent a temporary folder is chosen, but only for a
-    local master: on a cluster a driver-local path would not be shared.
+    Where neither is set a temporary folder becomes the checkpoint directory, but
+    only for a local master: on a cluster a driver-local path would not be shared.
     """
-    folder = spark.conf.get(_SETTING, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {_SETTING} to storage shared by all executors")
-        folder = tempfile.mkdtemp(prefix="bazaarlens-")
-        spark.conf.set(_SETTING, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="bazaarlens-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

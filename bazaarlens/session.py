@@ -1,4 +1,10 @@
-"""Session settings the jobs are designed for."""
+"""Session settings the jobs are designed for.
+
+On a cluster also set ``spark.checkpoint.dir`` to shared storage and
+``spark.sql.shuffle.partitions`` to the largest shuffle in bytes divided by about
+200 MB: adaptive execution merges partitions that turn out small, but only splits
+those of skewed joins.
+"""
 
 from __future__ import annotations
 
