@@ -46,6 +46,7 @@ def append_columns(
     kept = without(df.select(*keep) if keep is not None else df, [f.name for f in fields])
     schema = StructType([df.schema[c] for c in kept] + fields)
     named = [column.alias(f"__in_{i}") for i, column in enumerate(inputs)]
+    given, read = len(kept), len(named)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work, types = make(), None
@@ -54,10 +55,10 @@ def append_columns(
                 from pyspark.sql.pandas.types import to_arrow_type
 
                 types = [to_arrow_type(f.dataType) for f in fields]
-            new = work(*[batch.column(len(kept) + i).to_pylist() for i in range(len(named))])
+            new = work(*[batch.column(given + i).to_pylist() for i in range(read)])
             arrays = [pa.array(v, t) for v, t in zip(new, types, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(kept)], *arrays], names=[f.name for f in schema.fields]
+                [*batch.columns[:given], *arrays], names=[f.name for f in schema.fields]
             )
 
     return df.select(*[F.col(f"`{c}`") for c in kept], *named).mapInArrow(run, schema)

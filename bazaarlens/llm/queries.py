@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.llm.bpe import op6_bpe
+from bazaarlens.llm.chat import op9_chat
 from bazaarlens.llm.licenses import op10_licenses
+from bazaarlens.llm.pii import op3_pii
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
-    found = (op6_bpe, op10_licenses)
+    found = (op3_pii, op6_bpe, op9_chat, op10_licenses)
     return {query.__name__: query for query in found}
 
 
