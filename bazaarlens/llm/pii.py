@@ -37,7 +37,7 @@ LOOSE = {
     "email": r"\b[A-Za-z0-9._-]{1,64} ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]{1,63}"
     r"(?: ?(?:\.|[\[(] ?dot ?[\])]) ?[A-Za-z0-9-]{1,63}){1,8}",
     "phone": r"(?<![0-9.+-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-])",
-    "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])(?=[0-9_-]*[A-Za-z])[A-Za-z0-9_-]{20,128}(?![A-Za-z0-9_-])",
+    "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])(?=[0-9_-]*[A-Za-z])[A-Za-z0-9_-]{16,128}(?![A-Za-z0-9_-])",
 }
 # Gazetteers and cue words.
 GAZETTEER = {
@@ -153,7 +153,8 @@ def _described(text: Column, kind: str, number: int, strict: bool) -> Callable[[
             "ip": ~hit.rlike(r"(?:^|\.)0[0-9]"),
             "card": hit.rlike(r"^(?:[0-9]{14,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{2,7})$"),
             "phone": ~hit.rlike(r"[ ().-]{3}"),
-            "secret": hit.rlike(r"[A-Z]") & hit.rlike(r"[a-z]") & (digits >= 4),
+            # letters and digits mixed throughout, of one case or both
+            "secret": hit.rlike(r"^(?:[0-9a-f]+|[A-Z0-9]+|[A-Za-z0-9]+)$") & (digits >= 2),
         }[kind]
         votes = F.concat(
             _vote(base, F.lit(strict)),
