@@ -8,13 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.llm.bpe import op6_bpe
 from bazaarlens.llm.chat import op9_chat
+from bazaarlens.llm.lattice import op1_lattice
 from bazaarlens.llm.licenses import op10_licenses
 from bazaarlens.llm.pii import op3_pii
+from bazaarlens.llm.topk import op7_topk
+from bazaarlens.llm.toxicity import op4_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
-    found = (op3_pii, op6_bpe, op9_chat, op10_licenses)
+    found = (
+        op1_lattice,
+        op3_pii,
+        op4_toxicity,
+        op6_bpe,
+        op7_topk,
+        op9_chat,
+        op10_licenses,
+    )
     return {query.__name__: query for query in found}
 
 
