@@ -10,7 +10,9 @@ from bazaarlens.llm.bpe import op6_bpe
 from bazaarlens.llm.chat import op9_chat
 from bazaarlens.llm.lattice import op1_lattice
 from bazaarlens.llm.licenses import op10_licenses
+from bazaarlens.llm.mixing import op2_mixing
 from bazaarlens.llm.pii import op3_pii
+from bazaarlens.llm.sentences import op5_sentences
 from bazaarlens.llm.topk import op7_topk
 from bazaarlens.llm.toxicity import op4_toxicity
 
@@ -19,8 +21,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, over its whole table."""
     found = (
         op1_lattice,
+        op2_mixing,
         op3_pii,
         op4_toxicity,
+        op5_sentences,
         op6_bpe,
         op7_topk,
         op9_chat,
