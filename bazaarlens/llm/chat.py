@@ -9,6 +9,8 @@ path is formatted as one conversation.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,29 +55,34 @@ def _pointers(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         )
     )
     levels = []
-    open_before = None
+    # messages that have reached their root take no further part
+    ended, open_ = [state.where("up IS NULL")], state.where("up IS NOT NULL")
+    before = None
     while True:
-        still = state.where("up IS NOT NULL").count()
-        # pointers that no longer become fewer although all paths without a cycle
-        # of such a length would have ended
-        if still == 0 or (still == open_before and 2 ** len(levels) > still):
-            return levels, state.where("up IS NULL").select("node", "depth", "total")
-        open_before = still
-        levels.append(state.where("up IS NOT NULL").select("node", "up"))
-        above = state.select(
+        still = open_.count()
+        # what no longer becomes less, after more steps than there are messages left,
+        # runs in circles
+        if still == 0 or (still == before and 2 ** len(levels) > still):
+            ways = reduce(DataFrame.unionByName, ended)
+            return levels, ways.select("node", "depth", "total")
+        before = still
+        levels.append(open_.select("node", "up"))
+        above = reduce(DataFrame.unionByName, [*ended, open_]).select(
             F.col("node").alias("up"),
             F.col("up").alias("up_up"),
             F.col("depth").alias("depth_up"),
             F.col("total").alias("total_up"),
         )
         state = stored(
-            state.join(above, "up", "left").select(
+            open_.join(above, "up").select(
                 "node",
                 F.col("up_up").alias("up"),
-                (F.col("depth") + F.coalesce("depth_up", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("total_up", F.lit(0.0))).alias("total"),
+                (F.col("depth") + F.col("depth_up")).alias("depth"),
+                (F.col("total") + F.col("total_up")).alias("total"),
             )
         )
+        ended.append(state.where("up IS NULL"))
+        open_ = state.where("up IS NOT NULL")
 
 
 def best_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
