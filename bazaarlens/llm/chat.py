@@ -101,13 +101,14 @@ def best_paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
         .where(F.col("rank") <= keep)
         .select("tree", F.col("node").alias("leaf"), "depth")
     )
-    paths = chosen.select("tree", "leaf", F.col("leaf").alias("node"), F.col("depth").alias("place"))
+    parts = [chosen.select("tree", "leaf", F.col("leaf").alias("node"), F.col("depth").alias("place"))]
     for k, level in enumerate(levels):
-        farther = paths.join(level, "node").select(
+        so_far = reduce(DataFrame.unionByName, parts)
+        farther = so_far.join(level, "node").select(
             "tree", "leaf", F.col("up").alias("node"), (F.col("place") - 2**k).alias("place")
         )
-        paths = stored(paths.unionByName(farther))
-    return paths
+        parts.append(stored(farther))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def format_trees(nodes: DataFrame, keep: int = 1) -> DataFrame:
