@@ -41,3 +41,15 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{session_folder(spark)}/scratch/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``stored`` wrote for ``df``, once nothing reads it any more."""
+    spark = df.sparkSession
+    owned = f"{session_folder(spark)}/scratch/"
+    context = spark.sparkContext
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if owned.split(":", 1)[-1].lstrip("/") not in folder:
+            raise ValueError(f"{folder} was not written by stored()")
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
