@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.llm.bpe import op6_bpe
 from bazaarlens.llm.chat import op9_chat
+from bazaarlens.llm.jaccard import op8_jaccard
 from bazaarlens.llm.lattice import op1_lattice
 from bazaarlens.llm.licenses import op10_licenses
 from bazaarlens.llm.mixing import op2_mixing
@@ -27,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op5_sentences,
         op6_bpe,
         op7_topk,
+        op8_jaccard,
         op9_chat,
         op10_licenses,
     )
