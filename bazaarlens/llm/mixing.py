@@ -118,7 +118,16 @@ def sampled(
     have no tokens; an empty table stays empty; columns of the new names are replaced.
     """
     names = ["topic", "n_tokens", "probability", "sampled"]
-    given = described(df.select(*[F.col(f"`{c}`") for c in without(df, names)]))
+    return drawn(described(df.select(*[F.col(f"`{c}`") for c in without(df, names)])), targets, share, seed)
+
+
+def drawn(
+    given: DataFrame,
+    targets: dict[str, dict[str, float]] | None = None,
+    share: float = SHARE,
+    seed: int = 17,
+) -> DataFrame:
+    """``sampled`` for rows that ``described`` has been applied to; reads them twice."""
     cells = raked(given, targets, share).select(
         *[F.col(s).alias(f"__{s}") for s in SIDES], "probability"
     )
@@ -137,6 +146,7 @@ def sampled(
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cell, probability and draw of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return sampled(docs).select(
+    # texts are looked at once
+    return drawn(stored(described(docs).drop("text"))).select(
         "doc_id", "source", "lang", "topic", "n_tokens", "probability", "sampled"
     )
