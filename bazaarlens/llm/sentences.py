@@ -22,8 +22,6 @@ from bazaarlens.llm.common import append_columns, filled, table, without
 from bazaarlens.operators.scratch import stored
 
 LEAST_SENTENCES, LEAST_WORDS = 2, 20
-#: Removals are sent to the workers up to so many bytes, joined with the texts beyond.
-BROADCAST_BYTES = 32 << 20
 
 _ENDS = re.compile(r"(?<=[.!?])\s+|\n+").finditer
 _WORDS = re.compile(r"\w+").findall
@@ -78,7 +76,7 @@ def runs_of(words: list[int]) -> list[tuple[int, int]]:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash and place of every run of every text."""
+    """Place of every run of every text, with its hash at its first place in the text."""
     import xxhash
 
     digest = xxhash.xxh3_64_intdigest
@@ -94,8 +92,12 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digest(" ".join(_WORDS(text[a:b].lower()))).to_bytes(8, "little")
                 for a, b in zip(starts, ends)
             ]
-            for i, size in runs_of(words):
-                hashes.append(digest(b"".join(coded[i : i + size])))
+            seen = set()
+            for i, size in sorted(runs_of(words)):
+                run = digest(b"".join(coded[i : i + size]))
+                # a repeat within the text is no first one: it need not be joined
+                hashes.append(None if run in seen else run)
+                seen.add(run)
                 ids.append(doc_id)
                 places.append(mark * _MARK + i * _LENGTH + size)
             if len(hashes) >= 200_000:
@@ -104,10 +106,13 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _run_batch(hashes, ids, places)
 
 
-def _run_batch(hashes: list[int], ids: list[int], places: list[int]) -> pa.RecordBatch:
+def _run_batch(hashes: list[int | None], ids: list[int], places: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(ids, pa.int64()),
-         pa.array(places, pa.int64())],
+        [
+            pa.array(hashes, pa.uint64()).view(pa.int64()),
+            pa.array(ids, pa.int64()),
+            pa.array(places, pa.int64()),
+        ],
         names=["run", "id", "place"],
     )
 
@@ -129,13 +134,20 @@ def repeated_sentences(df: DataFrame) -> DataFrame:
             _runs, "run long, id long, place long"
         )
     )
-    repeated = (
-        runs.groupBy("run")
+    joined = runs.where("run IS NOT NULL")
+    # written out, so that the join is dealt out anew and can split very common runs
+    repeated = stored(
+        joined.groupBy("run")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "place")).alias("first"))
         .where("n > 1")
         .select("run", F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"))
     )
-    later = runs.join(repeated, "run").where("id <> first_id OR place <> first_place")
+    later = (
+        joined.join(repeated, "run")
+        .where("id <> first_id OR place <> first_place")
+        .select("id", "place")
+        .unionByName(runs.where("run IS NULL").select("id", "place"))
+    )
     mark, place = F.expr(f"place div {_MARK}"), F.pmod("place", F.lit(_MARK))
     return (
         later.select("id", mark.alias("mark"), place.alias("code"))
@@ -174,9 +186,6 @@ def drop_repeated_sentences(df: DataFrame) -> DataFrame:
     becomes empty; an empty table stays empty; columns of the new names are replaced.
     """
     removed = stored(repeated_sentences(df))
-    size = removed.agg(F.sum(F.size("codes") * 8 + 24)).first()[0] or 0
-    if size <= BROADCAST_BYTES:
-        removed = F.broadcast(removed)
     kept = without(df, ["text", "n_sentences", "n_removed"])
     given = df.select(
         *[F.col(f"`{c}`") for c in kept], filled().alias("__text"), _id().alias("__id"), _mark().alias("__mark")
