@@ -435,13 +435,20 @@ def jaccard_groups(df: DataFrame, words: int = WORDS, least: int = LEAST) -> Dat
         )
     )
     sketches = stored(full.drop("cells"))
-    near = stored(
+    near = (
         full.where("set_id IS NOT NULL")
         .select("set_id", "cells")
         .mapInArrow(_combined, "cell long, set_id long, pivot long")
         .repartition("cell")
         .sortWithinPartitions("cell", "set_id")
         .mapInArrow(_near, "a long, b long")
+    )
+    # all that a set has met is joined to the smallest of them; a set has met no more
+    # others than it has cells
+    met = near.groupBy("a").agg(F.min("b").alias("m"), F.collect_set("b").alias("bs"))
+    near = stored(
+        met.select(F.least("a", "m").alias("b"), F.explode(F.concat("bs", F.array("a"))).alias("a"))
+        .where("a <> b")
         .distinct()
     )
     release(full)
