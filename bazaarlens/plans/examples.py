@@ -60,9 +60,19 @@ def delivered_items_since(
 def state_on_time_value(
     enriched: DataFrame, *, start: str = VALUE_FROM, end: str = VALUE_TO
 ) -> DataFrame:
-    """Orders delivered on time and their mean value per state in a date range."""
+    """Orders delivered on time and their mean value per state in a date range.
+
+    The months of the range are named too: stored orders lie in monthly folders.
+    """
+    month = F.col("order_year") * 12 + F.col("order_month")
+
+    def number(text: str) -> Column:
+        day = F.lit(text).cast("date")
+        return F.year(day) * 12 + F.month(day)
+
     return (
-        enriched.filter(
+        enriched.filter(month.between(number(start), number(end)))
+        .filter(
             F.col("order_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
             & (F.col("delivery_status") == "on_time")
         )

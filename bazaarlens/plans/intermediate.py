@@ -115,13 +115,16 @@ def orders_enriched(
 def _sales_profile(items: DataFrame, enriched: DataFrame, party: str) -> DataFrame:
     """Sales of each ``party`` (seller or product), averages weighted per item.
 
-    Items are first reduced to one row per (party, order), so counting orders is
-    counting rows, and neither a hot party nor a hot order reaches one task whole.
-    Review and delivery facts come from the enriched orders, which hold them once
-    per order.
+    Items are dealt out by order, which serves both the reduction to one row per
+    (party, order), so that counting orders is counting rows, and the join with the
+    orders. Totals per party are summed up before they are shuffled, so a hot party
+    does not reach one task whole. Review and delivery facts come from the enriched
+    orders, which hold them once per order.
     """
     sold = (
         items.filter(F.col(party).isNotNull())
+        .select("order_id", party, "price", "freight_value")
+        .repartition("order_id")
         .groupBy(party, "order_id")
         .agg(
             F.count(F.lit(1)).alias("_items"),

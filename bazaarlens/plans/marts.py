@@ -144,18 +144,54 @@ def product_category_analysis(
         .join(products.select("product_id", "product_category"), "product_id")
     )
     price = F.col("price")
+    # One row per order and category first: counting orders is counting rows, and a
+    # hot category is summed up before it meets in one task. Sellers and products are
+    # counted apart, so that no line is copied for each count.
+    per_order = lines.groupBy("product_category", "order_id").agg(
+        F.count(F.lit(1)).alias("_lines"),
+        F.sum(price).alias("_price"),
+        F.count(price).alias("_priced"),
+        F.sum("review_score").alias("_review"),
+        F.count("review_score").alias("_reviewed"),
+        F.sum(delivery_micros().cast(_MICROS)).alias("_micros"),
+        F.count(delivery_micros()).alias("_delivered"),
+    )
+    totals = per_order.groupBy("product_category").agg(
+        F.count(F.lit(1)).alias("total_orders"),
+        *[
+            F.sum(c).alias(c)
+            for c in ("_price", "_priced", "_review", "_reviewed", "_micros", "_delivered")
+        ],
+    )
+
+    def different(column: str, name: str) -> DataFrame:
+        known = lines.filter(F.col(column).isNotNull()).select("product_category", column)
+        category = F.col("product_category").alias(f"_of_{column}")
+        return known.distinct().groupBy(category).agg(F.count(F.lit(1)).alias(name))
+
+    days = F.col("_delivered").cast(_TIMES) * F.lit(MICROS_PER_DAY).cast(_MICROS)
     return (
-        lines.groupBy("product_category")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.sum(price).cast(DecimalType(20, 2)).alias("total_revenue"),
-            mean_of(price, scale=2).alias("avg_price"),
-            F.count_distinct("seller_id").alias("seller_count"),
-            F.count_distinct("product_id").alias("product_count"),
-            mean_of(F.col("review_score")).alias("avg_review_score"),
-            mean_days(delivery_micros()).alias("avg_delivery_days"),
+        totals.filter(F.col("total_orders") >= min_orders)
+        .join(
+            different("seller_id", "seller_count"),
+            F.col("product_category").eqNullSafe(F.col("_of_seller_id")),
+            "left",
+        )
+        .join(
+            different("product_id", "product_count"),
+            F.col("product_category").eqNullSafe(F.col("_of_product_id")),
+            "left",
+        )
+        .select(
+            "product_category",
+            "total_orders",
+            F.col("_price").cast(DecimalType(20, 2)).alias("total_revenue"),
+            rounded_ratio(F.col("_price"), F.col("_priced"), 2, numerator_scale=2).alias("avg_price"),
+            F.coalesce("seller_count", F.lit(0)).alias("seller_count"),
+            F.coalesce("product_count", F.lit(0)).alias("product_count"),
+            rounded_ratio(F.col("_review"), F.col("_reviewed"), 2).alias("avg_review_score"),
+            rounded_ratio(F.col("_micros"), days, 1).alias("avg_delivery_days"),
         )
-        .filter(F.col("total_orders") >= min_orders)
         .orderBy(falling("total_revenue"))
     )
 
@@ -194,6 +230,7 @@ def seller_scorecard(sellers: DataFrame) -> DataFrame:
         return rank.alias(ahead)
 
     orders, review = F.col("total_orders"), F.col("avg_review_score")
+    # The thresholds of the tiers.
     tier = (
         F.when((orders >= 50) & (review >= 4), "gold")
         .when((orders >= 20) & (review >= F.lit("3.5").cast("decimal(2,1)")), "silver")
@@ -206,7 +243,7 @@ def seller_scorecard(sellers: DataFrame) -> DataFrame:
         percent_rank("review_percentile"),
         percent_rank("delivery_speed_percentile"),
         tier.alias("seller_tier"),
-    ).orderBy(falling("total_revenue"))
+    ).orderBy(falling("total_revenue"), rising("seller_id"))
 
 
 def customer_segments(history: DataFrame, orders: DataFrame) -> DataFrame:
@@ -232,6 +269,7 @@ def customer_segments(history: DataFrame, orders: DataFrame) -> DataFrame:
     recency = F.col("recency_quintile")
     frequency = F.col("frequency_quintile")
     monetary = F.col("monetary_quintile")
+    # The segment rule, first matching case.
     segment = (
         F.when((recency >= 4) & (frequency >= 4) & (monetary >= 4), "champions")
         .when((recency >= 4) & (frequency >= 3), "loyal")

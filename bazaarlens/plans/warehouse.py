@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from bazaarlens.operators.keys import key_reports, require_key
 from bazaarlens.plans import intermediate, marts, seller_history, staging
+from bazaarlens.schemas import RAW_COLUMNS
 from bazaarlens.sources.layout import LAYOUTS, read_table, write_table
 
 
@@ -33,6 +34,8 @@ class Table:
     key: tuple[str, ...]
     nulls_in_key: bool = False
     checked: bool = True
+    #: Raw tables it is built from, loaded anew when it is refreshed.
+    raw: tuple[str, ...] = ()
 
 
 class Warehouse:
@@ -41,7 +44,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, raw: Callable[[str], DataFrame]):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.raw = raw
+        self._source = raw
         self._versions: dict[str, tuple[str, StructType]] = {}
 
     @classmethod
@@ -53,23 +56,41 @@ class Warehouse:
         warehouse._load_published()
         return warehouse
 
+    def raw(self, name: str) -> DataFrame:
+        """A raw table, loaded from the source on first use."""
+        if f"raw_{name}" not in self._versions:
+            self._publish({f"raw_{name}": self._load(name)})
+        path, schema = self._versions[f"raw_{name}"]
+        return read_table(self.spark, path, schema)
+
     def derive(self, name: str) -> DataFrame:
-        """The table as a plan over its stored inputs; nothing is written for it."""
+        """The table as a plan over its stored inputs.
+
+        The table itself is not written, but its inputs are stored first if they are
+        not yet, and tables that rank whole sides of the data write scratch copies
+        while the plan is made.
+        """
         return TABLES[name].build(self)
 
     def table(self, name: str) -> DataFrame:
-        """The stored table, built and published first if necessary."""
+        """The stored table, built, checked and published first if necessary.
+
+        A broken key raises and publishes nothing.
+        """
         if name not in self._versions:
-            self._publish({name: self._write(name)})
+            path, schema = self._write(name)
+            self._check(name, path, schema)
+            self._publish({name: (path, schema)})
         path, schema = self._versions[name]
         return read_table(self.spark, path, schema)
 
     def refresh(self, name: str) -> DataFrame:
         """Rebuild one table, check its key, then publish the new version.
 
-        A failed check leaves the published version in place. Readers of the old
-        version keep their files.
+        A staging table's raw tables are loaded anew. A failed check leaves the
+        published version in place. Readers of the old version keep their files.
         """
+        self._publish({f"raw_{raw}": self._load(raw) for raw in TABLES[name].raw})
         path, schema = self._write(name)
         self._check(name, path, schema)
         self._publish({name: (path, schema)})
@@ -90,6 +111,8 @@ class Warehouse:
             return path, schema
 
         with ThreadPoolExecutor(together) as writers:
+            loaded = writers.map(self._load, RAW_COLUMNS)
+            self._publish({f"raw_{n}": v for n, v in zip(RAW_COLUMNS, loaded, strict=True)})
             for step in BUILD_STEPS:
                 self._publish(dict(zip(step, writers.map(rebuild, step), strict=True)))
 
@@ -103,6 +126,12 @@ class Warehouse:
             }
         )
 
+    def _load(self, name: str) -> tuple[str, StructType]:
+        df = self._source(name)
+        path = f"{self.root}/raw/{name}/v{time.time_ns()}"
+        write_table(df, path)
+        return path, df.schema
+
     def _write(self, name: str) -> tuple[str, StructType]:
         df = self.derive(name)
         path = f"{self.root}/{TABLES[name].layer}/{name}/v{time.time_ns()}"
@@ -117,6 +146,8 @@ class Warehouse:
 
     def _publish(self, versions: Mapping[str, tuple[str, StructType]]) -> None:
         # Appended, never overwritten: a reader sees the old or the new version.
+        if not versions:
+            return
         now = time.time_ns()
         entries = [
             F.struct(
@@ -148,7 +179,7 @@ class Warehouse:
 
 
 def _staged(build: Callable[..., DataFrame], key: tuple[str, ...], *raw: str) -> Table:
-    return Table("staging", lambda w: build(*[w.raw(r) for r in raw]), key)
+    return Table("staging", lambda w: build(*[w.raw(r) for r in raw]), key, raw=raw)
 
 
 def _stored(

@@ -53,5 +53,12 @@ def csv_reader(
 def write_extract(df: DataFrame, path: str) -> None:
     """Write a raw table in the dialect :func:`read_extract` reads."""
     df.write.mode("overwrite").options(
-        header="true", quote='"', escape='"', nullValue="", emptyValue='""'
+        header="true",
+        quote='"',
+        escape='"',
+        nullValue="",
+        emptyValue='""',
+        # Blanks at either end of a field are part of it.
+        ignoreLeadingWhiteSpace="false",
+        ignoreTrailingWhiteSpace="false",
     ).csv(path)

@@ -2,8 +2,9 @@
 
 The secondary indexes of a row store become file layout: rows are ordered on the
 columns filters use, so Parquet row-group statistics exclude most of a table, and
-optionally partitioned into folders. Items keep their arrival order: it groups
-the lines of an order, which per-order totals profit from more.
+optionally partitioned into folders. Columns looked up by single values that are all
+over the files get Bloom filters. Items keep their arrival order: it groups the lines
+of an order, which per-order totals profit from more.
 """
 
 from __future__ import annotations
@@ -31,35 +32,43 @@ class Layout:
     unique: str | None = None
     spread: bool = False
     folders: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()
 
 
 LAYOUTS = {
     # Narrow and looked up by time: worth a shuffle.
-    "stg_orders": Layout(order=("order_purchase_timestamp",), unique="order_id", spread=True),
+    "stg_orders": Layout(
+        order=("order_purchase_timestamp",),
+        unique="order_id",
+        spread=True,
+        bloom=("customer_id", "order_status"),
+    ),
+    "stg_order_items": Layout(order=(), bloom=("product_id", "seller_id")),
     "stg_order_payments": Layout(order=("payment_type",)),
     "stg_order_reviews": Layout(order=("review_score",)),
-    # Wide: sorted where the joins left the rows.
-    "int_orders_enriched": Layout(order=("customer_state", "order_date")),
+    # Monthly folders, so that a range of dates opens only its months.
+    "int_orders_enriched": Layout(
+        order=("delivery_status", "customer_state", "order_date"),
+        unique="order_id",
+        spread=True,
+        folders=("order_year", "order_month"),
+    ),
+    "int_seller_status_history": Layout(order=("seller_id", "valid_from")),
 }
 
-#: Enriched orders in monthly folders, for stores that live longer than a session.
-MONTHLY_ORDERS = Layout(
-    order=("customer_state", "order_date"),
-    unique="order_id",
-    spread=True,
-    folders=("order_year", "order_month"),
-)
-
 
 def write_table(df: DataFrame, path: str, layout: Layout | None = None) -> None:
     """Write ``df`` as Parquet, clustered when a layout is given."""
     if layout is None:
         df.write.parquet(path)
         return
+    filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in layout.bloom}
     columns = (*layout.folders, *layout.order, *([layout.unique] if layout.unique else []))
     order = [rising(c) for c in columns]
     placed = df.repartitionByRange(*order) if layout.spread else df
-    placed.sortWithinPartitions(*order).write.partitionBy(*layout.folders).parquet(path)
+    if order:
+        placed = placed.sortWithinPartitions(*order)
+    placed.write.options(**filters).partitionBy(*layout.folders).parquet(path)
 
 
 def read_table(

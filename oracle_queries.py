@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import re
 
+from bazaarlens.schemas import RAW_COLUMNS
+
 DAY = 86400000000  # microseconds
 
 
@@ -79,15 +81,15 @@ BLOCKS: dict[str, str] = {
     "r_priced": """
         SELECT *, CAST(CAST(l_extendedprice AS DECIMAL(10,2))
                   * (CASE WHEN l_suppkey % 10 = 0 THEN 10 ELSE 1 END) AS DECIMAL(10,2)) AS unit
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-        WHERE l_suppkey <> 0
-          AND (l_suppkey + year(o_orderdate) * 12 + month(o_orderdate)) % 5 <> 0""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "r_order_items": """
         SELECT concat('o', l_orderkey) AS order_id,
                CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
                     l_suppkey, l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax,
                     l_returnflag, l_linestatus) AS VARCHAR) AS order_item_id,
-               concat('p', l_partkey) AS product_id, concat('s', l_suppkey) AS seller_id,
+               concat('p', l_partkey) AS product_id, concat('s', CASE WHEN l_suppkey = 0 THEN 1
+                    WHEN (l_suppkey + year(o_orderdate) * 12 + month(o_orderdate)) % 5 <> 0
+                    THEN l_suppkey WHEN l_suppkey = 1 THEN 2 ELSE l_suppkey - 1 END) AS seller_id,
                CAST(o_orderdate + to_seconds(432000) AS VARCHAR) AS shipping_limit_date,
                CAST(unit AS VARCHAR) AS price,
                CAST(CAST(unit * CAST(l_tax AS DECIMAL(4,2)) * (CASE WHEN p_type IN ('LARGE', 'SMALL')
@@ -454,12 +456,30 @@ _STATES = """
     FROM m_states"""
 
 
+# The rows of the product profile: one per product it is derived for.
+_PRODUCT_ROWS = """(SELECT p.product_id FROM s_products p
+    LEFT JOIN i_lines l ON l.product_id = p.product_id
+    GROUP BY p.product_id, p.product_category, p.product_weight_g)"""
+
+
+def _column_digests() -> str:
+    """Rows, values and a digest of the values of every raw column."""
+    return " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS row_count,
+                   count({column}) AS filled,
+                   CAST(coalesce(sum(CAST('0x' || substr(md5({column}), 1, 8) AS BIGINT)), 0)
+                        AS BIGINT) AS digest FROM r_{table}"""
+        for table, columns in RAW_COLUMNS.items()
+        for column in columns
+    )
+
+
 def _queries(
     range_dates: tuple[str, str], since: str, half_year: tuple[str, str]
 ) -> dict[str, str]:
     raw = [name for name in BLOCKS if name.startswith("r_") and name not in ("r_bought", "r_priced")]
     return {
-        "raw_csv_scan": _all_of("r_products"),
+        "raw_csv_scan": _column_digests(),
         "raw_row_counts": " UNION ALL ".join(
             f"SELECT '{name[2:]}' AS table_name, count(*) AS row_count FROM {name}" for name in raw
         ),
@@ -499,13 +519,14 @@ def _queries(
                    primary_state, CAST(recency_quintile AS INTEGER) AS recency_quintile,
                    CAST(frequency_quintile AS INTEGER) AS frequency_quintile,
                    CAST(monetary_quintile AS INTEGER) AS monetary_quintile,
-                   CASE WHEN recency_quintile >= 4 THEN
-                             CASE WHEN frequency_quintile >= 4 AND monetary_quintile >= 4
-                                  THEN 'champions' WHEN frequency_quintile >= 3 THEN 'loyal'
-                                  WHEN monetary_quintile >= 4 THEN 'big_spenders'
-                                  ELSE 'recent' END
+                   -- Fixed values: the segment rule, first matching case.
+                   CASE WHEN recency_quintile >= 4 AND frequency_quintile >= 4
+                             AND monetary_quintile >= 4 THEN 'champions'
+                        WHEN recency_quintile >= 4 AND frequency_quintile >= 3 THEN 'loyal'
+                        WHEN recency_quintile >= 4 AND monetary_quintile >= 4 THEN 'big_spenders'
+                        WHEN recency_quintile >= 4 THEN 'recent'
                         WHEN frequency_quintile >= 4 THEN 'frequent'
-                        WHEN greatest(recency_quintile, frequency_quintile) <= 2 THEN 'at_risk'
+                        WHEN recency_quintile <= 2 AND frequency_quintile <= 2 THEN 'at_risk'
                         ELSE 'regular' END AS customer_segment
             FROM m_ranked_people""",
         "int_order_item_rollup": _all_of("i_items"),
@@ -685,7 +706,7 @@ def _queries(
                 _key_check("stg_geolocation", "s_geolocation", "zip_code_prefix"),
                 _key_check("int_orders_enriched", "i_orders", "order_id"),
                 _key_check("int_seller_performance", "i_sellers", "seller_id"),
-                _key_check("int_product_performance", "s_products", "product_id"),
+                _key_check("int_product_performance", _PRODUCT_ROWS, "product_id"),
                 _key_check("int_customer_history", "i_people", "customer_unique_id"),
                 _key_check("int_seller_status_history", f"({_HISTORY})", "scd_id"),
             ]

@@ -215,7 +215,10 @@ def test_shared_customers(spark, rows):
 
 def test_lookups(spark, rows):
     enriched = orders(spark, ("u", datetime(2018, 3, 31)), ("u", datetime(2018, 3, 31, 12)),
-                      ("u", datetime(2018, 6, 1))).selectExpr("*", "'c' as customer_id")
+                      ("u", datetime(2018, 6, 1))).selectExpr(
+        "*", "'c' as customer_id", "year(order_date) as order_year",
+        "month(order_date) as order_month",
+    )
     # The upper bound is the midnight at the start of the day.
     assert rows(examples.orders_in_range(enriched), "order_id") == [("o000",)]
     assert rows(examples.count_by_status(enriched)) == [(0,)]

@@ -3,8 +3,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from bazaarlens.operators.keys import KeyViolation
+from bazaarlens.plans import examples, intermediate
 from bazaarlens.plans.warehouse import BUILD_STEPS, TABLES, Warehouse
-from bazaarlens.sources.layout import LAYOUTS, MONTHLY_ORDERS, read_table, write_table
+from bazaarlens.schemas import RAW_COLUMNS
+from bazaarlens.sources.layout import LAYOUTS
 from bazaarlens.sources.synthetic import synthetic_reader
 
 SMALL = contract.SMALL
@@ -30,6 +32,8 @@ def test_build_and_reopen(spark, tmp_path):
         assert again.exceptAll(built.table(name)).count() == 0
         assert again.count() > 0
     assert Warehouse.reopen(spark, str(tmp_path / "none"), raw)._versions == {}
+    # the raw layer is stored too: counting it reads files and starts no job by itself
+    assert {f"raw_{name}" for name in RAW_COLUMNS} <= set(built._versions)
 
 
 def test_broken_key_keeps_the_published_version(spark, layers, tmp_path):
@@ -49,17 +53,110 @@ def test_broken_key_keeps_the_published_version(spark, layers, tmp_path):
     assert report["duplicate_rows"] == 0
 
 
-def test_monthly_folders_are_pruned(spark, layers, tmp_path):
+def test_broken_key_on_first_use_publishes_nothing(spark, layers, tmp_path):
+    def raw(table):
+        df = layers.raw(table)
+        return df.unionAll(df) if table == "sellers" else df
+
+    house = Warehouse(spark, str(tmp_path), raw)
+    with pytest.raises(KeyViolation):
+        house.table("stg_sellers")
+    assert "stg_sellers" not in house._versions
+    assert "stg_sellers" not in Warehouse.reopen(spark, str(tmp_path), raw)._versions
+
+
+def test_every_line_is_an_item(spark, layers):
+    lines = spark.read.parquet(f"{SMALL}/lineitem.parquet").count()
+    assert layers.table("stg_order_items").count() == lines
+
+
+def test_raw_layer_is_stored_once(spark, tmp_path):
+    asked = []
+
+    def source(table):
+        asked.append(table)
+        return synthetic_reader(spark, SMALL)(table)
+
+    house = Warehouse(spark, str(tmp_path), source)
+    first = house.raw("orders")
+    assert house.raw("orders").exceptAll(first).count() == 0
+    assert asked == ["orders"]
+    house.refresh("stg_sellers")
+    house.refresh("stg_sellers")
+    assert asked == ["orders", "sellers", "sellers"]
+
+
+def test_monthly_folders_are_pruned(layers):
     enriched = layers.table("int_orders_enriched")
-    path = str(tmp_path / "monthly")
-    write_table(enriched, path, MONTHLY_ORDERS)
-    back = read_table(spark, path, enriched.schema)
-    assert back.columns == enriched.columns
-    assert back.exceptAll(enriched).count() == 0 and back.count() == enriched.count()
-    march = back.filter("order_year = 1998 and order_month = 3")
+    march = enriched.filter("order_year = 1998 and order_month = 3")
     filters = plan(march).split("PartitionFilters: [")[1].split("]")[0]
     assert "order_year" in filters and "order_month" in filters
-    assert march.count() == enriched.filter("order_year = 1998 and order_month = 3").count()
+    report = examples.state_on_time_value(enriched, start="1998-01-01", end="1998-06-30")
+    filters = plan(report).split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "order_year" in filters and "order_month" in filters
+    by_date = enriched.filter("order_date between date'1998-01-01' and date'1998-06-30'")
+    expected = by_date.filter("delivery_status = 'on_time'").count()
+    assert report.agg(F.sum("orders")).first()[0] == expected
+
+
+def test_categories_are_not_copied_for_each_count(layers):
+    assert "Expand" not in plan(layers.derive("mart_product_category_analysis"))
+
+
+@pytest.mark.parametrize("name", ["int_seller_performance", "int_product_performance"])
+def test_items_are_dealt_out_once_by_order(spark, layers, name):
+    items, enriched = layers.table("stg_order_items"), layers.table("int_orders_enriched")
+    party = "seller_id" if "seller" in name else "product_id"
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(intermediate._sales_profile(items, enriched, party))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_one_hot_order_seller_and_customer(spark, layers, tmp_path):
+    """A third of all lines in one order and with one seller, broadcasts off."""
+
+    def raw(table):
+        df = layers.raw(table)
+        if table == "order_items":
+            hot = F.pmod(F.xxhash64("order_id", "order_item_id"), F.lit(3)) == 0
+            number = F.concat("order_id", F.lit("-"), "order_item_id")
+            return df.select(
+                F.when(hot, "o1").otherwise(F.col("order_id")).alias("order_id"),
+                F.when(hot, number).otherwise(F.col("order_item_id")).alias("order_item_id"),
+                "product_id",
+                F.when(hot, "s1").otherwise(F.col("seller_id")).alias("seller_id"),
+                *df.columns[4:],
+            )
+        return df
+
+    data = raw("order_items").select("order_id", "seller_id", F.col("price").cast("decimal(10,2)"))
+    items = data.withColumn("freight_value", F.col("price")).withColumn("product_id", F.lit("p"))
+    enriched = layers.table("int_orders_enriched")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = intermediate._sales_profile(items, enriched, "seller_id").select(
+            "seller_id", "_orders", "_items", "_price"
+        )
+        expected = items.groupBy("seller_id").agg(
+            F.count_distinct("order_id").alias("_orders"),
+            F.count(F.lit(1)).alias("_items"),
+            F.sum("price").alias("_price"),
+        )
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_invariants(layers):
@@ -120,5 +217,5 @@ def test_plans_prune_push_and_limit(spark, layers):
 def test_layouts_name_real_columns(layers):
     for name, layout in LAYOUTS.items():
         columns = set(layers.table(name).columns)
-        assert {*layout.order, *layout.folders} <= columns
+        assert {*layout.order, *layout.folders, *layout.bloom} <= columns
         assert layout.unique is None or layout.unique in columns
