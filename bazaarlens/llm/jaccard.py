@@ -5,11 +5,14 @@ distance 1 from nearly every other, so that Voronoi regions around document pivo
 alone would be replicated everywhere. The join therefore goes from coarse to fine, and
 the triangle inequality proves each step complete.
 
-1. Sets are projected onto parts of the universe of shingles, as many parts as linked
-   sets can differ in and a few more. The differences of the parts add up, so linked
-   sets agree wholly on some part: each distinct projection is a pivot there, its
-   region the sets at distance 0. Sizes bound the difference; sets near the end of a
-   band of sizes are replicated to the next band. Regions that share sets are joined.
+1. Sets are projected onto parts of the universe of shingles, more parts than linked
+   sets can differ in. The differences of the parts add up, so linked sets agree wholly
+   on some parts: each distinct projection is a pivot there, its region the sets at
+   distance 0. Projections hardly larger than a shingle are left out, as many as there
+   are parts to spare. Shingles that are common in a sample belong to no part: leaving
+   them out brings sets only closer, and passages that many documents share make no
+   regions. Sizes bound the difference; sets near the end of a band of sizes are
+   replicated to the next band. Regions that share sets are joined.
 2. A region too large for one task is divided by document pivots: each set goes to the
    Voronoi region of its nearest pivot and there into a ring of one radius' width.
    Boundary sets are replicated to all regions and rings that the windows of the
@@ -27,6 +30,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +44,13 @@ WORDS, LEAST = 3, 90
 MOST_SETS, MOST_SHINGLES = 1024, 2_000_000
 #: Pivots tried per region, divisions one after another, distance that counts as far.
 PIVOTS, LEVELS, FAR = 12, 2, 0.6
-#: Ratio of the sizes at the ends of a band, parts beyond those that must agree.
-BAND, SPARE = 1.5, 2
+#: Ratio of the sizes at the ends of a band; parts beyond those that linked sets can
+#: differ in, at least and as a share of those.
+BAND, SPARE, SPARE_SHARE = 1.5, 2, 0.3
+#: Documents sampled, about, to find common shingles, and how many of them hold one.
+SAMPLE, COMMON = 8192, 10
+#: Sets of a large region that are compared with its pivots in one go.
+STRETCH = 512
 #: Regions of sets are looked up by broadcast up to so many sets, joined beyond.
 BROADCAST_SETS = 500_000
 _REMEMBERED = 500_000
@@ -110,11 +119,16 @@ def most_difference(a: int, b: int, least: int = LEAST) -> int:
     return (a + b) * (100 - least) // (100 + least)
 
 
-def signatures(shingles: np.ndarray, least: int = LEAST) -> np.ndarray:
+def signatures(
+    shingles: np.ndarray, least: int = LEAST, common: np.ndarray | None = None
+) -> np.ndarray:
     """Names of the pivots a set coincides with on parts of the universe.
 
     A set takes part in its own band of sizes and, if a set of the band below can be
-    similar enough, in that one too.
+    similar enough, in that one too. Linked sets agree on more parts than there are
+    spare ones. A set leaves out its smallest parts, as many as are spare: of two sets
+    one leaves out all that the other does, so some part on which they agree is named
+    by both.
     """
     n = len(shingles)
     starts = band_starts(n, least)
@@ -124,11 +138,17 @@ def signatures(shingles: np.ndarray, least: int = LEAST) -> np.ndarray:
         bands.append(home - 1)
     if n == 0 or (home == 0 and n * 100 < starts[1] * least):
         return np.empty(0, np.int64)  # nothing but an equal set is similar enough
-    strong = _mixed(shingles)
+    rare = shingles
+    if common is not None and len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        rare = shingles[common[at] != shingles]
+    strong = _mixed(rare)
     names = []
     for band in bands:
         largest = starts[band + 1] - 1
-        parts = most_difference(largest, largest * 100 // least, least) + 1 + SPARE
+        differ = most_difference(largest, largest * 100 // least, least)
+        spare = SPARE + int(SPARE_SHARE * differ)
+        parts = differ + 1 + spare
         part = ((strong >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
         sums = np.zeros(parts, np.uint64)
         with np.errstate(over="ignore"):
@@ -137,13 +157,54 @@ def signatures(shingles: np.ndarray, least: int = LEAST) -> np.ndarray:
                 sums ^ _mixed(np.arange(parts, dtype=np.uint64) * _M[0] + np.uint64(band + 1))
             )
         held = np.bincount(part, minlength=parts)
-        empty = int((held == 0).sum())
-        # more parts agree than are empty, unless very many are
-        names.append(salted if empty > SPARE else salted[held > 0])
+        # parts smaller than this are no more than are spare
+        small = np.partition(held, spare)[spare]
+        names.append(salted[held >= small])
     return np.concatenate(names).view(np.int64)
 
 
-def _sketched(words: int, least: int):
+def _sampled(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The sets of some documents."""
+        shingles = shingler(words)
+        for batch in batches:
+            found = [shingles(text) for text in batch.column("text").to_pylist()]
+            found = [s for s in found if len(s)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([set_id(s) for s in found], pa.int64()),
+                    pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
+                ],
+                names=["set_id", "shingles"],
+            )
+
+    return run
+
+
+def common_shingles(df: DataFrame, words: int) -> np.ndarray:
+    """Shingles that ``COMMON`` different sets of about ``SAMPLE`` documents hold, sorted.
+
+    There are fewer of them than the sample has shingles, by that factor. They only
+    serve to keep regions small; the join is exact for any choice of them.
+    """
+    share = SAMPLE / max(1, df.count())
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
+    rows = (
+        df.where(draw)
+        .select(filled().alias("text"))
+        .mapInArrow(_sampled(words), "set_id long, shingles array<long>")
+        .dropDuplicates(["set_id"])
+        .select(F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .count()
+        .where(F.col("count") >= COMMON)
+        .select("shingle")
+        .toArrow()
+    )
+    return np.sort(rows.column(0).to_numpy().view(np.uint64))
+
+
+def _sketched(words: int, least: int, common: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingler(words)
         for batch in batches:
@@ -152,7 +213,7 @@ def _sketched(words: int, least: int):
                 found = shingles(text)
                 sizes.append(len(found))
                 ids.append(set_id(found) if len(found) else None)
-                names.append(signatures(found, least))
+                names.append(signatures(found, least, common.value))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -219,6 +280,15 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _region_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+        names=["region", "set_id", "n", "shingles"],
+    )
+
+
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The shingles of sets that lie in a region."""
@@ -232,12 +302,7 @@ def _sets(words: int):
                 # another row of the same doc_id may hold another text
                 if len(found) and set_id(found) == wanted:
                     rows.append((region, wanted, len(found), found.tobytes()))
-            columns = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                names=["region", "set_id", "n", "shingles"],
-            )
+            yield _region_batch(rows)
 
     return run
 
@@ -315,21 +380,25 @@ def _divided(least: int, level: int):
     tiny = 1e-9
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rings of each set, and its links to pivots (as rows without shingles)."""
-        known: dict[int, tuple[list[int], list[np.ndarray]]] = {}
+        """Rings of each set, and its links to pivots (as rows without region).
+
+        A region's pivots come before its sets.
+        """
+        stretch, ready, names, pivots = None, False, [], []
+        tried: list[tuple[int, np.ndarray]] = []
+        out: list[tuple] = []
         for batch in batches:
-            out: list[tuple] = []
             for row in batch.to_pylist():
                 region = row["region"]
-                if region not in known:
-                    known.clear()
-                    sets = [np.frombuffer(p["shingles"], np.uint64) for p in row["pivots"]]
-                    chosen = _spread(sets, radius)
-                    known[region] = (
-                        [row["pivots"][i]["set_id"] for i in chosen],
-                        [sets[i] for i in chosen],
-                    )
-                names, pivots = known[region]
+                if (region, row["stretch"]) != stretch:
+                    stretch, ready, tried = (region, row["stretch"]), False, []
+                if row["pivot"]:
+                    tried.append((row["set_id"], np.frombuffer(row["shingles"], np.uint64)))
+                    continue
+                if not ready:
+                    ready = True
+                    chosen = _spread([s for _, s in tried], radius)
+                    names, pivots = [tried[i][0] for i in chosen], [tried[i][1] for i in chosen]
                 own = np.frombuffer(row["shingles"], np.uint64)
                 both = np.array([len(np.intersect1d(own, p, assume_unique=True)) for p in pivots])
                 union = len(own) + np.array([len(p) for p in pivots]) - both
@@ -355,12 +424,10 @@ def _divided(least: int, level: int):
                     for ring in range(max(1, first), last + 1):
                         if ring * radius < FAR + tiny:
                             put(i, ring)
-            columns = list(zip(*out, strict=True)) if out else [(), (), (), ()]
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                names=["region", "set_id", "n", "shingles"],
-            )
+                if len(out) >= STRETCH:
+                    yield _region_batch(out)
+                    out.clear()
+        yield _region_batch(out)
 
     return run
 
@@ -401,15 +468,25 @@ def _links(regions: DataFrame, least: int) -> list[DataFrame]:
         )
         if not divide:
             return edges
-        many = regions.join(large.select("region"), "region")
+        # each stretch of a region is led by a copy of the region's pivots
+        stretches = large.select("region", F.ceil(F.col("sets") / STRETCH).cast("int").alias("stretches"))
+        many = stored(regions.join(stretches, "region"))
         order = Window.partitionBy("region").orderBy(F.xxhash64("set_id", F.lit(level)))
-        chosen = (
-            many.withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= PIVOTS)
-            .groupBy("region")
-            .agg(F.collect_list(F.struct("set_id", "shingles")).alias("pivots"))
+        pivots = many.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
+        led = many.select(
+            "region", "set_id", "n", "shingles", F.lit(False).alias("pivot"),
+            F.pmod(F.xxhash64("set_id"), F.col("stretches")).cast("int").alias("stretch"),
+        ).unionByName(
+            pivots.select(
+                "region", "set_id", "n", "shingles", F.lit(True).alias("pivot"),
+                F.explode(F.sequence(F.lit(0), F.col("stretches") - 1)).alias("stretch"),
+            )
+        )
+        rings = stored(
+            led.repartition("region", "stretch")
+            .sortWithinPartitions("region", "stretch", F.desc("pivot"), "set_id")
+            .mapInArrow(_divided(least, level), _REGION)
         )
-        rings = stored(many.join(chosen, "region").mapInArrow(_divided(least, level), _REGION))
         edges.append(
             rings.where("region IS NULL").select(F.col("set_id").alias("a"), F.col("n").alias("b"))
         )
@@ -429,9 +506,11 @@ def jaccard_groups(df: DataFrame, words: int = WORDS, least: int = LEAST) -> Dat
     component of null ids only has a null component_id. An empty table stays empty;
     more columns are left out. Shingles and sets are compared by 64-bit digests.
     """
+    context = df.sparkSession.sparkContext
+    common = context.broadcast(common_shingles(df.select("doc_id", "text"), words))
     full = stored(
         df.select("doc_id", filled().alias("text")).mapInArrow(
-            _sketched(words, least), "doc_id long, n_shingles long, set_id long, cells array<long>"
+            _sketched(words, least, common), "doc_id long, n_shingles long, set_id long, cells array<long>"
         )
     )
     sketches = stored(full.drop("cells"))
