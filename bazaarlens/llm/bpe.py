@@ -20,7 +20,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField
 from bazaarlens.llm.common import append_columns, filled, table
 
 #: Words whose ids a task remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 VOCABULARY = "byte_bpe_50k.json"
 
 

@@ -11,6 +11,8 @@ from pyspark.sql.types import StructField, StructType
 
 from bazaarlens.operators.scratch import stored
 
+#: Rows that a task turns into Python objects at once.
+SLICE = 512
 DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -30,6 +32,13 @@ def without(df: DataFrame, names: list[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that a task holds few texts as objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def append_columns(
     df: DataFrame,
     inputs: list[Column],
@@ -50,7 +59,7 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work, types = make(), None
-        for batch in batches:
+        for batch in sliced(batches):
             if types is None:
                 from pyspark.sql.pandas.types import to_arrow_type
 

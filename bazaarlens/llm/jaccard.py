@@ -34,7 +34,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import components, filled, sorted_groups, table
+from bazaarlens.llm.common import components, filled, sliced, sorted_groups, table
 from bazaarlens.llm.lattice import local_components
 from bazaarlens.operators.scratch import release, stored
 
@@ -53,7 +53,7 @@ SAMPLE, COMMON = 8192, 10
 STRETCH = 512
 #: Regions of sets are looked up by broadcast up to so many sets, joined beyond.
 BROADCAST_SETS = 500_000
-_REMEMBERED = 500_000
+_REMEMBERED = 200_000
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD)]
 
 
@@ -167,7 +167,7 @@ def _sampled(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The sets of some documents."""
         shingles = shingler(words)
-        for batch in batches:
+        for batch in sliced(batches):
             found = [shingles(text) for text in batch.column("text").to_pylist()]
             found = [s for s in found if len(s)]
             yield pa.RecordBatch.from_arrays(
@@ -207,7 +207,7 @@ def common_shingles(df: DataFrame, words: int) -> np.ndarray:
 def _sketched(words: int, least: int, common: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = shingler(words)
-        for batch in batches:
+        for batch in sliced(batches):
             sizes, ids, names = [], [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text)
@@ -233,7 +233,7 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Rows without ``pivot`` are to be met by other batches. However many sets share a
     cell, few rows of it leave a batch.
     """
-    for batch in batches:
+    for batch in sliced(batches, 4096):
         names = batch.column("cells")
         cell = names.flatten().to_numpy(zero_copy_only=False)
         ids = np.repeat(
@@ -293,7 +293,7 @@ def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The shingles of sets that lie in a region."""
         shingles = shingler(words)
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for text, wanted, region in zip(
                 *[batch.column(c).to_pylist() for c in ("text", "set_id", "region")], strict=True
@@ -387,7 +387,7 @@ def _divided(least: int, level: int):
         stretch, ready, names, pivots = None, False, [], []
         tried: list[tuple[int, np.ndarray]] = []
         out: list[tuple] = []
-        for batch in batches:
+        for batch in sliced(batches):
             for row in batch.to_pylist():
                 region = row["region"]
                 if (region, row["stretch"]) != stretch:

@@ -244,9 +244,9 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     largest = F.array_max(F.transform("embedding", F.abs))
     fit = (
         given.where(F.coalesce(usable, F.lit(False)) & (F.size("embedding") > 0))
-        .withColumn("embedding", F.transform("embedding", lambda x: x / largest))
+        .withColumn("embedding", F.transform("embedding", lambda x: F.try_divide(x, largest)))
         .where(norm > 0)
-        .select("vec_id", "label", F.transform("embedding", lambda x: x / norm).alias("unit"))
+        .select("vec_id", "label", F.transform("embedding", lambda x: F.try_divide(x, norm)).alias("unit"))
     )
     fit = stored(fit)
     classes = stored(

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from bazaarlens.llm.common import append_columns, filled, table, without
+from bazaarlens.llm.common import append_columns, filled, sliced, table, without
 from bazaarlens.operators.scratch import stored
 
 LEAST_SENTENCES, LEAST_WORDS = 2, 20
@@ -80,7 +80,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     digest = xxhash.xxh3_64_intdigest
-    for batch in batches:
+    for batch in sliced(batches):
         hashes, ids, places = [], [], []
         for doc_id, mark, text in zip(
             batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(),

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField
 
-from bazaarlens.llm.common import append_columns, filled, table
+from bazaarlens.llm.common import append_columns, filled, sliced, table
 from bazaarlens.operators.scratch import stored
 
 ORDER = 5
@@ -41,7 +41,7 @@ THRESHOLD = 0.3
 #: Letters of a word beyond which its groups are counted but not more of them kept.
 _WORDS = re.compile(r"[^\W_]+").findall
 #: Word counts a task holds before it passes them on.
-_HELD = 300_000
+_HELD = 120_000
 _START, _END = "\x02", "\x03"
 
 
@@ -97,7 +97,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c.clear()
         return batch
 
-    for batch in batches:
+    for batch in sliced(batches):
         texts, kinds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for text, kind in zip(texts, kinds, strict=True):
             words = set(_WORDS(text.lower()))

@@ -1,0 +1,109 @@
+import itertools
+
+import numpy as np
+import pytest
+
+from bazaarlens.llm import lattice
+
+SCHEMA = "vec_id long, embedding array<float>, label int, extra string"
+
+
+def brute_force(rows):
+    usable = {}
+    for n, (i, v, label, *_) in enumerate(rows):
+        if i is None or label is None or not v or any(x is None or not np.isfinite(x) for x in v):
+            continue
+        v = np.array(v, np.float32).astype(float)
+        if np.abs(v).max() > 0:
+            v = v / np.abs(v).max()
+            usable[n] = (label, v / np.linalg.norm(v))
+    links = {n: set() for n in range(len(rows))}
+    for a, b in itertools.combinations(usable, 2):
+        (la, va), (lb, vb) = usable[a], usable[b]
+        if la == lb and len(va) == len(vb) and va @ vb >= 0.98:
+            links[a].add(b)
+            links[b].add(a)
+    out = []
+    for n, row in enumerate(rows):
+        seen, todo = {n}, [n]
+        while todo:
+            for m in links[todo.pop()] - seen:
+                seen.add(m)
+                todo.append(m)
+        low = min((rows[m][0] for m in seen if rows[m][0] is not None), default=None)
+        out.append((row[0], len(links[n]), low, row[0] == low))
+    return sorted(out, key=str)
+
+
+def result(spark, rows):
+    df = lattice.near_duplicates(spark.createDataFrame(rows, SCHEMA))
+    return sorted(map(tuple, df.select("vec_id", "n_links", "component_id", "kept").collect()), key=str)
+
+
+def test_decoding_finds_the_nearest_lattice_point():
+    random = np.random.default_rng(1)
+    x = random.standard_normal((300, 8)) * 2
+    points = lattice.decoded(x)
+    # a lattice point: all whole or all half, with an even sum
+    assert (points % 2 == points[:, :1] % 2).all() and (points.sum(axis=1) % 4 == 0).all()
+    best = ((x - points / 2) ** 2).sum(axis=1)
+    steps = lattice.shortest()
+    assert len({tuple(s) for s in steps}) == 240 and ((steps**2).sum(axis=1) == 8).all()
+    for step in steps:
+        assert (((x - (points + step) / 2) ** 2).sum(axis=1) >= best - 1e-9).all()
+
+
+def clouds(seed, groups, each, size=16, spread=0.03):
+    random = np.random.default_rng(seed)
+    rows = []
+    for g in range(groups):
+        centre = random.standard_normal(size)
+        centre /= np.linalg.norm(centre)
+        for _ in range(each):
+            v = centre + random.standard_normal(size) * spread
+            rows.append((len(rows), v.tolist(), g % 3, "x"))
+    return rows
+
+
+@pytest.mark.parametrize("piece", [1024, 16])
+def test_against_brute_force(spark, monkeypatch, piece):
+    monkeypatch.setattr(lattice, "PIECE", piece)
+    rows = clouds(3, 8, 40)
+    got, expected = result(spark, rows), brute_force(rows)
+    # no link that is not one, and nearly all that are
+    counts = {r[0]: r[1] for r in got}
+    right = {r[0]: r[1] for r in expected}
+    assert all(counts[i] <= right[i] for i in right)
+    assert sum(counts.values()) >= 0.99 * sum(right.values())
+
+
+def test_recall_on_the_given_vectors(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"], r["label"], "x") for r in df.collect()]
+    got, expected = result(spark, rows), brute_force(rows)
+    assert sum(r[1] for r in got) >= 0.99 * sum(r[1] for r in expected)
+    assert all(a[1] <= b[1] for a, b in zip(got, expected, strict=True))
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    same = [0.5, 0.5, 0.1]
+    rows = [
+        (1, same, 1, None), (2, same, 1, None), (2, same, 1, None), (3, same, 2, None), (4, same, None, None),
+        (5, None, 1, None), (6, [], 1, None), (7, [0.0, 0.0, 0.0], 1, None), (8, [nan, 0.5, 0.1], 1, None),
+        (9, [0.5, inf, 0.1], 1, None), (10, [0.5, None, 0.1], 1, None), (None, same, 1, None),
+        (11, [5e37, 5e37, 1e37], 1, None), (12, [5e-38, 5e-38, 1e-38], 1, None), (13, [0.5, 0.5], 1, None),
+        (-1, [-0.5, -0.5, -0.1], 1, None),
+    ]
+    assert result(spark, rows) == brute_force(rows)
+
+
+def test_one_group_of_copies_holds_a_third(spark):
+    rows = [(i, [1.0, 0.5, 0.25, 0.0], 0, "x") for i in range(100)] + [
+        (100 + i, [float(i % 7), 1.0, float(i % 3), -2.0], 0, "x") for i in range(200)
+    ]
+    assert result(spark, rows) == brute_force(rows)
+
+
+def test_empty_table(spark):
+    assert result(spark, []) == []

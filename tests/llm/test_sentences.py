@@ -1,0 +1,97 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from bazaarlens.llm import sentences
+from tests.llm.conftest import LONG
+
+PASSAGE = "The first sentence of a passage has quite a few words. " + "The second one is not short either, it goes on. " + "A third ends it after some more words."
+
+
+def brute_force(texts):
+    """Texts without later repeats; documents in order of id."""
+    first, places = {}, []
+    for i, text in enumerate(texts):
+        ends, words = sentences.split(text)
+        starts = [0, *ends]
+        for a, n in sentences.runs_of(words):
+            key = tuple(
+                tuple(w.lower() for w in sentences._WORDS(text[starts[k] : ends[k]])) for k in range(a, a + n)
+            )
+            place = (i, a, n)
+            first[key] = min(first.get(key, place), place)
+            places.append((key, place))
+    gone = {(p[0], k) for key, p in places if first[key] != p for k in range(p[1], p[1] + p[2])}
+    out = []
+    for i, text in enumerate(texts):
+        ends, _ = sentences.split(text)
+        starts = [0, *ends]
+        out.append("".join(text[starts[k] : ends[k]] for k in range(len(ends)) if (i, k) not in gone))
+    return out
+
+
+def cleaned(df):
+    rows = sentences.drop_repeated_sentences(df).orderBy("doc_id").collect()
+    return [r["text"] for r in rows]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab .!?\n", max_size=60))
+def test_sentences_cover_the_text(text):
+    ends, words = sentences.split(text)
+    starts = [0, *ends]
+    assert "".join(text[a:b] for a, b in zip(starts, ends, strict=False)) == text
+    assert len(ends) == len(words)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30), max_size=12))
+def test_runs_are_shortest_and_reach_every_sentence(words):
+    runs = sentences.runs_of(words)
+    assert len(runs) == len(set(runs))
+    for i, n in runs:
+        inside = words[i : i + n]
+        assert n >= sentences.LEAST_SENTENCES and sum(inside) >= sentences.LEAST_WORDS
+        less = n > sentences.LEAST_SENTENCES
+        assert not less or min(sum(inside[1:]), sum(inside[:-1])) < sentences.LEAST_WORDS
+    if len(words) >= 2 and sum(words) >= sentences.LEAST_WORDS:
+        assert {k for i, n in runs for k in range(i, i + n)} == set(range(len(words)))
+
+
+def test_passages_within_other_text(documents):
+    texts = [f"Own words {i} here. {PASSAGE} Own end {i} there." for i in range(5)]
+    got = cleaned(documents(*texts))
+    assert got == brute_force(texts)
+    assert got[0] == texts[0] and all("second one" not in t for t in got[1:])
+    assert all(f"Own words {i}" in got[i] and f"Own end {i}" in got[i] for i in range(5))
+
+
+def test_copies_repeats_within_and_short_repeats(documents):
+    texts = [PASSAGE, PASSAGE, f"{PASSAGE} {PASSAGE}", "Short one. Short two.", "Short one. Short two.", "ok. " * 400]
+    got = cleaned(documents(*texts))
+    assert got == brute_force(texts)
+    assert got[1] == "" and got[2].strip() == "" and got[4] == texts[4]
+
+
+def test_against_brute_force_on_given_documents(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = df.orderBy("doc_id").collect()
+    assert cleaned(df) == brute_force([r["text"] or "" for r in rows])
+
+
+def test_odd_rows(spark, odd):
+    rows = sentences.drop_repeated_sentences(odd).collect()
+    assert len(rows) == odd.count()
+    # a row repeated as a whole is the same document
+    plain = [r["text"] for r in rows if r["doc_id"] == 5]
+    assert plain == ["Plain text. Nothing else here."] * 2
+    assert [r["text"] for r in rows if r["doc_id"] == 0] == [""]
+    assert {r["n_removed"] for r in rows if r["doc_id"] != 3} == {0}
+    assert [r["n_sentences"] for r in rows if r["doc_id"] == 3] == [1]
+    assert [r["text"] for r in rows if r["doc_id"] == 3] == [LONG]
+    assert sentences.drop_repeated_sentences(odd.limit(0)).count() == 0
+    other = spark.createDataFrame([(1, PASSAGE, "a"), (1, "Other. " + PASSAGE, "b"), (None, PASSAGE, "c")],
+                                  "doc_id long, text string, N_REMOVED string")
+    got = sentences.drop_repeated_sentences(other)
+    assert [c.lower() for c in got.columns].count("n_removed") == 1
+    assert sum("second one" in r["text"] for r in got.collect()) == 1
+    assert got.where("doc_id IS NULL").first()["text"] == PASSAGE
