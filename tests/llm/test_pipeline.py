@@ -1,0 +1,102 @@
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from bazaarlens.llm import bpe, jaccard, mixing, pii
+from bazaarlens.llm.common import DOCUMENT
+from bazaarlens.operators.scratch import stored
+from tests.llm.test_jaccard import brute_force as jaccard_groups
+from tests.llm.test_pii import brute_force as personal_data
+
+FOLDER = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Input and output of every stage."""
+    docs, out = spark.read.parquet(f"{FOLDER}/documents.parquet").select(*DOCUMENT), {}
+    for name, stage in corpus_pipeline.STAGES:
+        done = stored(stage(spark, docs, FOLDER))
+        out[name] = (docs, done)
+        docs = done
+    return out
+
+
+def texts(df):
+    return {r["doc_id"]: r["text"] for r in df.collect()}
+
+
+def test_stages_and_columns(stages):
+    assert list(stages) == ["toxicity", "near_copies", "personal_data", "mixing", "encoding"]
+    for name in list(stages)[:-1]:
+        assert stages[name][1].columns == DOCUMENT
+
+
+def test_clean_documents_stay(spark, stages):
+    before, after = (texts(df) for df in stages["toxicity"])
+    assert after.items() <= before.items() and len(after) >= 0.8 * len(before)
+
+
+def test_one_document_of_each_group_stays(stages):
+    before, after = (texts(df) for df in stages["near_copies"])
+    groups = jaccard_groups(sorted(before.items()), corpus_pipeline.SHINGLE, corpus_pipeline.SIMILAR)
+    assert after == {i: before[i] for i, _, low in groups if i == low}
+
+
+def test_no_personal_data_stays(stages):
+    before, after = (texts(df) for df in stages["personal_data"])
+    assert after.keys() == before.keys()
+    model = pii.fit(stages["personal_data"][0])
+    spans = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(stages["personal_data"][0], model).collect()}
+    for i, text in after.items():
+        assert personal_data(text) == []
+        assert (text == before[i]) == (not spans[i])
+    for row in stages["personal_data"][1].collect():
+        assert row["n_chars"] == len(row["text"]) or row["text"] == before[row["doc_id"]]
+
+
+def test_documents_are_drawn_by_their_probabilities(stages):
+    before, after = stages["mixing"]
+    drawn = mixing.sampled(before).where("sampled").select(*DOCUMENT)
+    assert drawn.exceptAll(after).count() == after.exceptAll(drawn).count() == 0
+
+
+def test_encoding_is_the_librarys(stages):
+    library = Tokenizer.from_file(bpe.vocabulary_path())
+    before = texts(stages["encoding"][0])
+    rows = stages["encoding"][1].collect()
+    assert {r["doc_id"] for r in rows} == before.keys()
+    for row in rows:
+        expected = library.encode(before[row["doc_id"]] or "", add_special_tokens=False).ids
+        assert np.frombuffer(row["ids"], "<u4").tolist() == expected
+        assert row["intact"] and row["n_tokens"] == len(expected)
+
+
+ODD = [
+    (1, None, None, None, None), (2, "", "en", "s", 0), (3, "same words in a row here", "en", "s", 24),
+    (3, "same words in a row here", "en", "s", 24), (None, "no id at all, a@b.co", "en", "s", 20),
+    (4, "Same words in a row HERE", "de", "s", 24), (5, "x " * 50000, "en", "t", 100000),
+]
+
+
+@pytest.mark.parametrize("rows", [ODD, []])
+def test_odd_documents(spark, rows):
+    docs = spark.createDataFrame([(*r, "more") for r in rows], SCHEMA + ", more string")
+    for name, stage in corpus_pipeline.STAGES:
+        done = stage(spark, docs, FOLDER)
+        docs = stored(done)
+        assert docs.count() <= len(rows), name
+        if name == "near_copies" and rows:
+            assert sorted(r["doc_id"] or 0 for r in docs.collect()) == [0, 1, 2, 3, 5]
+        if name == "personal_data" and rows:
+            assert docs.where("doc_id IS NULL").first()["text"] == "no id at all, [EMAIL]"
+
+
+def test_shuffled_lookups_give_the_same(spark, stages, monkeypatch):
+    before, after = stages["near_copies"]
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_IDS", -1)
+    monkeypatch.setattr(jaccard, "BROADCAST_SETS", -1)
+    again = corpus_pipeline.drop_near_copies(spark, before, FOLDER)
+    assert again.exceptAll(after).count() == after.exceptAll(again).count() == 0
