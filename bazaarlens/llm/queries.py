@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bazaarlens.llm import oracle
 from bazaarlens.llm.bpe import op6_bpe
 from bazaarlens.llm.chat import op9_chat
 from bazaarlens.llm.jaccard import op8_jaccard
@@ -37,4 +38,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries that SQL can express."""
-    return {}
+    return {
+        "op1_lattice": oracle.LATTICE,
+        "op7_topk": oracle.TOP_K,
+        "op8_jaccard": oracle.JACCARD,
+        "op9_chat": oracle.CHAT,
+    }
