@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,18 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
             yield batch.slice(start, rows)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows at most, for wide rows; the session's setting returns."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append_columns(
     df: DataFrame,
     inputs: list[Column],

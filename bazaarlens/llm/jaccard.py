@@ -34,21 +34,23 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import components, filled, sliced, sorted_groups, table
+from bazaarlens.llm.common import batches_of, components, filled, sliced, sorted_groups, table
 from bazaarlens.llm.lattice import local_components
 from bazaarlens.operators.scratch import release, stored
 
 #: Words in a shingle; sets link at ``LEAST`` hundredths of Jaccard similarity.
 WORDS, LEAST = 3, 90
 #: Sets, and shingles in all of them, that one task joins at once.
-MOST_SETS, MOST_SHINGLES = 1024, 2_000_000
+MOST_SETS, MOST_SHINGLES = 512, 1_500_000
 #: Pivots tried per region, divisions one after another, distance that counts as far.
 PIVOTS, LEVELS, FAR = 12, 2, 0.6
 #: Ratio of the sizes at the ends of a band; parts beyond those that linked sets can
 #: differ in, at least and as a share of those.
 BAND, SPARE, SPARE_SHARE = 1.5, 2, 0.3
 #: Documents sampled, about, to find common shingles, and how many of them hold one.
-SAMPLE, COMMON = 8192, 10
+SAMPLE, COMMON = 32768, 10
+#: Rows of an Arrow batch where each carries a set.
+WIDE_ROWS = 256
 #: Sets of a large region that are compared with its pivots in one go.
 STRETCH = 512
 #: Regions of sets are looked up by broadcast up to so many sets, joined beyond.
@@ -490,7 +492,7 @@ def _links(regions: DataFrame, least: int) -> list[DataFrame]:
         edges.append(
             rings.where("region IS NULL").select(F.col("set_id").alias("a"), F.col("n").alias("b"))
         )
-        # a set may reach a ring by way of equal names only once
+        release(many)
         regions = rings.where("region IS NOT NULL")
     return edges
 
@@ -543,12 +545,13 @@ def jaccard_groups(df: DataFrame, words: int = WORDS, least: int = LEAST) -> Dat
     texts = df.select(F.col("doc_id").alias("__doc"), filled().alias("text")).join(
         small, F.col("__doc").eqNullSafe(F.col("first_doc"))
     )
-    regions = stored(
-        texts.select("text", "set_id", "region")
-        .mapInArrow(_sets(words), _REGION)
-        .dropDuplicates(["set_id"])
-    )
-    edges = _links(regions, least)
+    with batches_of(df.sparkSession, WIDE_ROWS):
+        regions = stored(
+            texts.select("text", "set_id", "region")
+            .mapInArrow(_sets(words), _REGION)
+            .dropDuplicates(["set_id"])
+        )
+        edges = _links(regions, least)
     all_edges = edges[0]
     for more in edges[1:]:
         all_edges = all_edges.unionByName(more)
