@@ -33,8 +33,6 @@ ORDER = 5
 DISCOUNT = 0.75
 #: Hash slots of the letter groups; four numbers of 4 bytes each are broadcast.
 SLOTS = 1 << 20
-#: Labelled rows of each class to which the calibration is fitted.
-CALIBRATION_ROWS = 10_000
 #: Labels are looked up by broadcast up to so many rows, by a shuffled join beyond.
 BROADCAST_LABELS = 2_000_000
 THRESHOLD = 0.3
@@ -267,16 +265,49 @@ def _scaled(features: np.ndarray) -> np.ndarray:
     return np.clip(features * scale, -6.0, 6.0)
 
 
-def _calibrated(features: np.ndarray, toxic: np.ndarray) -> tuple[float, ...]:
-    """Logistic regression by Newton's method, slightly pulled to zero."""
-    x = np.hstack([np.ones((len(features), 1)), _scaled(features)])
-    pull = np.full(x.shape[1], 0.1)
-    w = np.zeros(x.shape[1])
+#: Sums over rows are of whole multiples of 1 / _UNIT, so that they do not depend on order.
+_UNIT = float(1 << 32)
+
+
+def _slopes(rows: DataFrame, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and second derivatives of the log-likelihood at ``w``, over all rows."""
+    width = len(w)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width + width * width, np.int64)
+        for batch in batches:
+            toxic = batch.column(0).to_numpy() == 4
+            features = np.column_stack([batch.column(i).to_numpy() for i in range(1, width)])
+            x = np.hstack([np.ones((len(features), 1)), _scaled(features)])
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            first = x * (toxic - p)[:, None]
+            second = (x[:, :, None] * x[:, None, :] * (p * (1 - p))[:, None, None]).reshape(len(x), -1)
+            total += np.rint(np.hstack([first, second]) * _UNIT).astype(np.int64).sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()])], names=["sums"])
+
+    # one row of fixed size from each task
+    parts = [row["sums"] for row in rows.mapInArrow(summed, "sums array<long>").collect()]
+    sums = np.array([sum(column) / _UNIT for column in zip(*parts, strict=True)])
+    return sums[:width], sums[width:].reshape(width, width)
+
+
+def _calibrated(rows: DataFrame) -> tuple[float, ...]:
+    """Logistic regression by Newton's method over all rows, slightly pulled to zero.
+
+    ``rows``: kind (3 ordinary, 4 toxic) and features, stored. No row is left out, so
+    the share of toxic rows is that of the labels at every size.
+    """
+    width = len(_FEATURES) + 1
+    if rows.select("kind").distinct().count() < 2:
+        return (-3.0,) + (0.0,) * (width - 1)
+    pull = np.full(width, 0.1)
+    w = np.zeros(width)
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (toxic - p) - pull * w
-        bend = (x * (p * (1 - p))[:, None]).T @ x + np.diag(pull)
-        w = w + np.linalg.solve(bend, slope)
+        slope, bend = _slopes(rows, w)
+        step = np.linalg.solve(bend + np.diag(pull), slope - pull * w)
+        w = w + step
+        if np.abs(step).max() < 1e-7:
+            break
     return tuple(float(v) for v in w)
 
 
@@ -296,16 +327,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     differences = _slots(_smoothed(grams))
     # calibration on rows that the first pair of models has not counted
     described = stored(_features(given.where("kind >= 3"), differences[0], ["kind"]))
-    sample = described.withColumn("__h", F.xxhash64(*[f.name for f in _FEATURES]))
-    names = [f.name for f in _FEATURES]
-    rows = [
-        sample.where(F.col("kind") == kind).orderBy("__h").limit(CALIBRATION_ROWS).select("kind", *names)
-        for kind in (3, 4)
-    ]
-    both = rows[0].unionByName(rows[1]).toPandas()
-    x, toxic = both[names].to_numpy(float), (both["kind"] == 4).to_numpy(float)
-    weights = _calibrated(x, toxic) if 0 < toxic.sum() < len(toxic) else (-3.0,) + (0.0,) * 5
-    return Model(differences[1], weights)
+    return Model(differences[1], _calibrated(described))
 
 
 def score(df: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:

@@ -106,3 +106,12 @@ def test_likelihoods_against_plain_kneser_ney(spark):
         assert math.isclose(row["o0"], likelihood(gram, lambda c: c[1]), abs_tol=1e-9)
         assert math.isclose(row["t1"], likelihood(gram, lambda c: c[2] + c[4]), abs_tol=1e-9)
         assert math.isclose(row["o1"], likelihood(gram, lambda c: c[1] + c[3]), abs_tol=1e-9)
+
+
+def test_share_of_toxic_rows_is_kept_at_any_size(spark):
+    """Some 27,000 ordinary and 3,000 toxic rows to calibrate with, whose words tell nothing."""
+    docs = spark.range(0, 120_000, 1, 8).select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), F.col("id") % 7).alias("text"))
+    labels = docs.select("doc_id", (F.xxhash64("doc_id") % 10 == 0).cast("int").alias("toxic"))
+    share = labels.where(toxicity._fold() == 3).agg(F.avg("toxic")).first()[0]
+    scores = toxicity.score(docs, toxicity.learn(docs, labels)).where(toxicity._fold() == 3)
+    assert math.isclose(scores.agg(F.avg("score")).first()[0], share, abs_tol=0.005)
