@@ -4,7 +4,14 @@ From every sentence on, and up to every sentence, the shortest run of at least t
 sentences and ``LEAST_WORDS`` words is hashed. Equal runs are joined over the whole
 corpus; of each, the first by doc_id and place stays, and sentences covered by any
 other are removed. Because the length of a run depends on its own words only, a
-repeated passage gives the same runs wherever it stands, up to its last sentence.
+repeated passage gives the same runs wherever it stands, up to its last sentence. A
+sentence of ``PASSAGE`` words is a run by itself.
+
+Passages that are glued to other words at their edges hold no whole run. In what is
+left, every window of ``PASSAGE`` words that an earlier document holds too is cut out.
+Windows are found by winnowing: of each, the smallest hash of ``GRAM`` words in it is
+looked up first, which equal windows share, so only windows that can be repeated are
+joined, and none that is repeated is missed.
 """
 
 from __future__ import annotations
@@ -22,6 +29,10 @@ from bazaarlens.llm.common import append_columns, filled, sliced, table, without
 from bazaarlens.operators.scratch import stored
 
 LEAST_SENTENCES, LEAST_WORDS = 2, 20
+#: Words of a passage that is repeated whatever sentences it lies in, and of the groups it is found by.
+PASSAGE, GRAM = 50, 20
+#: Documents' lists are looked up by broadcast up to so many entries, by a shuffled join beyond.
+BROADCAST_ENTRIES = 1_000_000
 
 _ENDS = re.compile(r"(?<=[.!?])\s+|\n+").finditer
 _WORDS = re.compile(r"\w+").findall
@@ -72,6 +83,7 @@ def runs_of(words: list[int]) -> list[tuple[int, int]]:
             i += 1
         if total[j] - total[i] >= LEAST_WORDS and (i, j - i) not in known:
             found.append((i, j - i))
+    found += [(i, 1) for i, w in enumerate(words) if w >= PASSAGE]
     return [(i, size) for i, size in found if size < _LENGTH]
 
 
@@ -202,7 +214,147 @@ def drop_repeated_sentences(df: DataFrame) -> DataFrame:
     return append_columns(joined, [F.col("__text"), F.col("codes")], _FIELDS, make, kept)
 
 
+def _hashed(coded: np.ndarray, n: int) -> np.ndarray:
+    """Hash of every n successive words, from the words' hashes."""
+    out = np.zeros(max(0, len(coded) - n + 1), np.uint64)
+    factor = 1
+    for i in range(n):
+        out += coded[i : i + len(out)] * np.uint64(factor)
+        factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)
+    return out ^ (out >> np.uint64(29))
+
+
+def _least(grams: np.ndarray) -> np.ndarray:
+    """The smallest hash of ``GRAM`` words inside each window of ``PASSAGE`` words."""
+    width, done = PASSAGE - GRAM + 1, 1
+    least = grams
+    while done < width:
+        step = min(done, width - done)
+        least = np.minimum(least[:-step], least[step:])
+        done += step
+    return least
+
+
+class _Coder(dict):
+    """Hashes of words, remembered up to a fixed number."""
+
+    def __missing__(self, word: str) -> int:
+        import xxhash
+
+        if len(self) >= 100_000:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+    def of(self, text: str) -> np.ndarray:
+        words = _WORDS(text.lower())
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def _entries(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=names)
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The smallest hash of each window of each text, once a text."""
+    coder = _Coder()
+    for batch in sliced(batches):
+        found = [
+            np.unique(_least(_hashed(codes, GRAM))) if len(codes) >= PASSAGE else np.zeros(0, np.uint64)
+            for codes in map(coder.of, batch.column(2).to_pylist())
+        ]
+        sizes = list(map(len, found))
+        ids, marks = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1))
+        yield _entries([np.concatenate(found), ids, marks], ["gram", "id", "mark"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash and first word of each window whose smallest hash is among the given ones."""
+    coder = _Coder()
+    for batch in sliced(batches, 64):
+        hashes, places = [], []
+        for text, grams in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
+            codes = coder.of(text)
+            wanted = grams.values.to_numpy().view(np.uint64)
+            at = np.flatnonzero(np.isin(_least(_hashed(codes, GRAM)), wanted))
+            hashes.append(_hashed(codes, PASSAGE)[at])
+            places.append(at)
+        sizes = list(map(len, places))
+        ids, marks = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1))
+        yield _entries(
+            [np.concatenate(hashes), ids, marks, np.concatenate(places)], ["window", "id", "mark", "place"]
+        )
+
+
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """Rows whose key more than one document has, with the first of these."""
+    document = F.struct("id", "mark")
+    several = stored(
+        rows.groupBy(key)
+        .agg(F.min(document).alias("first"), F.max(document).alias("last"))
+        .where("first <> last")
+        .select(key, "first")
+    )
+    return rows.join(several, key)
+
+
+def _listed(rows: DataFrame, value: str) -> DataFrame:
+    """Values of each document as a list; broadcast if there are few."""
+    rows = stored(rows.groupBy("id", "mark").agg(F.collect_set(value).alias("list")))
+    entries = rows.agg(F.sum(F.size("list"))).first()[0] or 0
+    return F.broadcast(rows) if entries <= BROADCAST_ENTRIES else rows
+
+
+def _without_passages(text: str, places: list[int] | None) -> tuple[str, int]:
+    if not places:
+        return text, 0
+    starts = [m.start() for m in re.finditer(r"\w+", text)]
+    gone = np.zeros(len(starts), bool)
+    for place in places:
+        gone[place : place + PASSAGE] = True
+    # a word goes with what follows it
+    edges = [*starts, len(text)]
+    kept = "".join(text[edges[i] : edges[i + 1]] for i in np.flatnonzero(~gone))
+    return text[: starts[0]] + kept, int(gone.sum())
+
+
+def drop_repeated_passages(df: DataFrame) -> DataFrame:
+    """``df`` (doc_id, text, ...) without passages that an earlier document holds; adds n_cut.
+
+    A passage is ``PASSAGE`` successive words, lower-cased, wherever sentences begin or
+    end. It stays in the document with the smallest doc_id, a null one first; n_cut
+    counts the words removed. Documents are told apart as in ``drop_repeated_sentences``,
+    by all 64 bits of the text's hash; repeats within one document stay.
+    """
+    kept = without(df, ["text", "n_cut"])
+    mark = F.xxhash64(filled())
+    texts = df.select(_id().alias("id"), mark.alias("mark"), filled().alias("text"))
+    grams = stored(texts.mapInArrow(_grams, "gram long, id long, mark long").distinct())
+    wanted = _listed(_shared(grams, "gram").select("id", "mark", "gram"), "gram")
+    windows = stored(
+        texts.join(wanted, ["id", "mark"])
+        .dropDuplicates(["id", "mark"])
+        .select("id", "mark", "text", "list")
+        .mapInArrow(_windows, "window long, id long, mark long, place long")
+    )
+    later = _shared(windows, "window").where("id <> first.id OR mark <> first.mark")
+    places = _listed(later.select("id", "mark", "place"), "place")
+    joined = df.select(
+        *[F.col(f"`{c}`") for c in kept], filled().alias("__text"), _id().alias("__id"), mark.alias("__mark")
+    ).join(places, (F.col("__id") == F.col("id")) & (F.col("__mark") == F.col("mark")), "left")
+
+    def make() -> Callable[[list, list], list]:
+        return lambda texts, lists: (
+            [list(x) for x in zip(*map(_without_passages, texts, lists))] if texts else [[], []]
+        )
+
+    fields = [StructField("text", StringType()), StructField("n_cut", LongType())]
+    return append_columns(joined, [F.col("__text"), F.col("list")], fields, make, kept)
+
+
 def op5_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without repeated sentence runs."""
+    """Every document without repeated sentence runs and without repeated passages."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return drop_repeated_sentences(docs)
+    return drop_repeated_passages(stored(drop_repeated_sentences(docs))).select(
+        "doc_id", "text", "n_sentences", "n_removed", "n_cut"
+    )

@@ -95,3 +95,30 @@ def test_odd_rows(spark, odd):
     assert [c.lower() for c in got.columns].count("n_removed") == 1
     assert sum("second one" in r["text"] for r in got.collect()) == 1
     assert got.where("doc_id IS NULL").first()["text"] == PASSAGE
+
+
+def test_long_sentences_and_glued_passages(spark, tmp_path):
+    """One long sentence, one inside a longer one, and two glued at their edges."""
+    long = " ".join(f"long{i}" for i in range(60))
+    glued = " ".join(f"left{i}" for i in range(30)) + ". " + " ".join(f"right{i}" for i in range(30))
+    texts = [f"{long}. Own a {glued} own b.", f"First words. {long}. Last words.",
+             f"Before it {long} after it.", f"Some more {glued} and more.", " ".join(glued.split()[:55]), None, "", "Short."]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sentences.op5_sentences(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert [r["text"] for r in rows] == [texts[0], "First words. Last words.", "Before it after it.",
+                                         "Some more and more.", "", "", "", "Short."]
+    assert [r["n_cut"] for r in rows] == [0, 0, 60, 60, 55, 0, 0, 0]
+
+
+def test_no_window_of_an_earlier_document_is_left(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] or "" for r in rows.collect()}
+    got = {r["doc_id"]: r["text"] for r in sentences.drop_repeated_passages(rows).collect()}
+    n, first = sentences.PASSAGE, {}
+    for doc_id in sorted(texts):
+        words = sentences._WORDS(texts[doc_id].lower())
+        gone = set()
+        for i in range(len(words) - n + 1):
+            if first.setdefault(tuple(words[i : i + n]), doc_id) != doc_id:
+                gone.update(range(i, i + n))
+        assert sentences._WORDS(got[doc_id].lower()) == [w for i, w in enumerate(words) if i not in gone]
