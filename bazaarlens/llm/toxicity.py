@@ -231,15 +231,9 @@ def _described(differences: np.ndarray) -> Callable[[str], list[float]]:
             return [0.0] * 5
         worth = np.fromiter(map(of, words), np.float64, len(words))
         letters = np.fromiter(map(len, words), np.float64, len(words)) + 1
-        # most telling words, one occurrence each: their sum per letter, bounded
-        if len(worth) > 64:
-            top = np.argpartition(-worth, 63)[:64]
-        else:
-            top = np.arange(len(worth))
-        best: dict[str, float] = {}
-        for i in top[np.argsort(-worth[top], kind="stable")]:
-            best.setdefault(words[i], float(worth[i]))
-        three = [*best.values(), 0.0, 0.0, 0.0][:3]
+        # most telling of the different words: their sum per letter, bounded
+        best = sorted(dict(zip(words, worth.tolist(), strict=True)).values(), reverse=True)
+        three = [*best[:3], 0.0, 0.0, 0.0][:3]
         return [
             float(worth.sum() / letters.sum()),
             float((worth / letters).max()),

@@ -115,3 +115,9 @@ def test_share_of_toxic_rows_is_kept_at_any_size(spark):
     share = labels.where(toxicity._fold() == 3).agg(F.avg("toxic")).first()[0]
     scores = toxicity.score(docs, toxicity.learn(docs, labels)).where(toxicity._fold() == 3)
     assert math.isclose(scores.agg(F.avg("score")).first()[0], share, abs_tol=0.005)
+
+
+def test_telling_words_are_found_beside_a_very_frequent_one():
+    describe = toxicity._described(np.random.default_rng(0).normal(0, 1, toxicity.SLOTS))
+    few, many = describe("idiot moron stupid"), describe("idiot moron stupid" + " idiot moron stupid" * 100)
+    assert few[2:] == many[2:] and few[3] != 0 and few[4] != 0
