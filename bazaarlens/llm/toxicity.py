@@ -8,14 +8,16 @@ is judged by the same backoff in both. A document is described by the difference
 the two log-likelihoods per letter, over the whole text and over its most telling
 words, and a logistic calibration turns these into a score.
 
-What is sent to the workers has a fixed size: log-likelihoods of letter groups in
-``SLOTS`` hash slots. Word and letter-group counts stay distributed.
+Differences of the most frequent letter groups, ``HELD_GROUPS`` at most, are sent to the
+workers. Words with any other group are looked up by joins, so every group keeps its own
+value at every size. Groups and texts are told apart by 64-bit digests, values are whole
+multiples of 1 / ``_VALUE``, so sums do not depend on the way or order. Word and
+letter-group counts stay distributed.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -26,13 +28,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField
 
-from bazaarlens.llm.common import append_columns, filled, sliced, table
+from bazaarlens.llm.common import append_columns, filled, sliced, table, without
 from bazaarlens.operators.scratch import stored
 
 ORDER = 5
 DISCOUNT = 0.75
-#: Hash slots of the letter groups; four numbers of 4 bytes each are broadcast.
-SLOTS = 1 << 20
+#: Letter groups whose values are broadcast (a digest and a number each); others are joined.
+HELD_GROUPS = 1 << 20
+_VALUE = float(1 << 20)
+#: Sums of words that are joined are broadcast up to so many texts, shuffled beyond.
+BROADCAST_TEXTS = 200_000
 #: Labels are looked up by broadcast up to so many rows, by a shuffled join beyond.
 BROADCAST_LABELS = 2_000_000
 THRESHOLD = 0.3
@@ -45,9 +50,15 @@ _START, _END = "\x02", "\x03"
 
 @dataclass(frozen=True)
 class Model:
-    """Differences of log-likelihood per slot, and the calibration's weights."""
+    """Differences of log-likelihood of the held letter groups, and the calibration's weights.
 
+    ``keys``: sorted digests of the groups; ``rest``: key and value of all other groups,
+    None if there are none.
+    """
+
+    keys: np.ndarray
     differences: np.ndarray
+    rest: DataFrame | None
     weights: tuple[float, ...]
 
 
@@ -181,76 +192,159 @@ def _smoothed(grams: DataFrame) -> DataFrame:
     )
 
 
-def _slots(likely: DataFrame) -> np.ndarray:
-    """Toxic less ordinary log-likelihood per hash slot, twice; at most ``SLOTS`` rows."""
-    weight = F.col("n").cast("double")
-    rows = (
-        likely.groupBy((F.crc32(F.encode("gram", "utf-8")) % SLOTS).alias("slot"))
-        .agg(
-            *[
-                (F.sum(weight * (F.col(f"t{i}") - F.col(f"o{i}"))) / F.sum(weight)).alias(f"d{i}")
-                for i in (0, 1)
-            ]
-        )
-        .select(F.col("slot").cast("int"), F.col("d0").cast("float"), F.col("d1").cast("float"))
-        .toArrow()
-    )
-    differences = np.zeros((2, SLOTS), np.float32)
-    at = rows.column("slot").to_numpy()
-    for i in (0, 1):
-        differences[i, at] = rows.column(f"d{i}").to_numpy()
-    return differences
+def _values(likely: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame | None]:
+    """Digests and differences, twice, of the held groups; the other groups as a table."""
+    whole = [F.round((F.col(f"t{i}") - F.col(f"o{i}")) * _VALUE).cast("int").alias(f"v{i}") for i in (0, 1)]
+    level = F.length(F.bin("n")).alias("level")
+    rows = stored(likely.select(F.xxhash64("gram").alias("key"), *whole, level))
+    # whole levels of frequency, from the top, as far as they fit
+    held, least = 0, 65
+    for found, count in sorted(map(tuple, rows.groupBy("level").count().collect()), reverse=True):
+        held += count
+        if held > HELD_GROUPS:
+            break
+        least = found
+    taken = rows.where(F.col("level") >= least).select("key", "v0", "v1").toArrow()
+    keys = taken.column("key").to_numpy()
+    order = np.argsort(keys)
+    values = np.stack([taken.column(f"v{i}").to_numpy()[order] for i in (0, 1)])
+    return keys[order], values, rows.where(F.col("level") < least) if held > HELD_GROUPS else None
 
 
 _FEATURES = [StructField(f"__f{i}", DoubleType()) for i in range(5)]
 
 
-def _described(differences: np.ndarray) -> Callable[[str], list[float]]:
-    """A function from a text to its length-normalised differences."""
+def _speller(keys: np.ndarray, values: np.ndarray) -> Callable[[str], tuple[int, list[int]]]:
+    """A function from a word to the sum of its held groups and the digests of its other ones."""
+    from xxhash import xxh64_intdigest
 
-    class Memory(dict):
-        def __missing__(self, word: str) -> float:
-            padded = _START * (ORDER - 1) + word + _END
-            value = float(
-                sum(
-                    differences[zlib.crc32(padded[i : i + ORDER].encode()) % SLOTS]
-                    for i in range(len(word) + 1)
-                )
-            )
-            if len(word) <= 64:
-                if len(self) >= _HELD:
-                    self.clear()
-                self[word] = value
-            return value
+    def spell(word: str) -> tuple[int, list[int]]:
+        padded = _START * (ORDER - 1) + word + _END
+        digests = np.array(
+            [xxh64_intdigest(padded[i : i + ORDER].encode(), 42) for i in range(len(word) + 1)], np.uint64
+        ).view(np.int64)
+        if not len(keys):
+            return 0, digests.tolist()
+        at = np.minimum(np.searchsorted(keys, digests), len(keys) - 1)
+        known = keys[at] == digests
+        return int(values[at[known]].sum(dtype=np.int64)), digests[~known].tolist()
 
-    of = Memory().__getitem__
+    return spell
 
-    def describe(text: str) -> list[float]:
-        words = _WORDS(text.lower())
+
+class _Memory(dict):
+    """What a function says of words, remembered up to a fixed number of short words."""
+
+    def __init__(self, of: Callable[[str], object]):
+        self.of = of
+
+    def __missing__(self, word: str) -> object:
+        value = self.of(word)
+        if len(word) <= 64:
+            if len(self) >= _HELD:
+                self.clear()
+            self[word] = value
+        return value
+
+
+def _described(keys: np.ndarray, values: np.ndarray, partial: bool) -> Callable[..., list[float]]:
+    """A function from a text to its length-normalised differences.
+
+    ``partial``: words with groups that are not held come as a second argument, summed.
+    Otherwise such groups, which the corpus did not have, count 0.
+    """
+    spell = _speller(keys, values)
+
+    def worth_of(word: str) -> int | None:
+        value, missing = spell(word)
+        return None if partial and missing else value
+
+    of = _Memory(worth_of).__getitem__
+
+    def describe(text: str, more: dict | None = None) -> list[float]:
+        words = Counter(_WORDS(text.lower()))
         if not words:
             return [0.0] * 5
-        worth = np.fromiter(map(of, words), np.float64, len(words))
-        letters = np.fromiter(map(len, words), np.float64, len(words)) + 1
+        total, letters, ratio, best = 0, 0, float("-inf"), []
+        if more is not None:
+            total, ratio, best = more["total"], more["ratio"], list(more["best"])
+        for word, n in words.items():
+            worth, size = of(word), len(word) + 1
+            letters += n * size
+            if worth is not None:
+                total += n * worth
+                ratio = max(ratio, worth / size)
+                best.append(worth)
         # most telling of the different words: their sum per letter, bounded
-        best = sorted(dict(zip(words, worth.tolist(), strict=True)).values(), reverse=True)
-        three = [*best[:3], 0.0, 0.0, 0.0][:3]
-        return [
-            float(worth.sum() / letters.sum()),
-            float((worth / letters).max()),
-            *three,
-        ]
+        three = [*sorted(best, reverse=True)[:3], 0, 0, 0][:3]
+        return [x / _VALUE for x in (total / letters, ratio, *three)]
 
     return describe
 
 
-def _features(df: DataFrame, differences: np.ndarray, keep: list[str]) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast(differences)
+def _more(df: DataFrame, keys: np.ndarray, values: np.ndarray, rest: DataFrame) -> DataFrame:
+    """Of each text with words that have groups not held: its digest, and these words' sums."""
+    shared = df.sparkSession.sparkContext.broadcast((keys, values))
 
-    def make() -> Callable[[list], list]:
-        describe = _described(shared.value)
-        return lambda texts: [list(x) for x in zip(*map(describe, texts))] if texts else [[]] * 5
+    def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelt = _Memory(_speller(*shared.value))
+        for batch in sliced(batches):
+            rows = [
+                (digest, word, n, *spelt[word])
+                for digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+                for word, n in Counter(_WORDS(text.lower())).items()
+                if spelt[word][1]
+            ]
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                names=["__digest", "word", "n", "held", "groups"],
+            )
+
+    found = stored(
+        df.select(F.xxhash64(filled()).alias("__digest"), filled().alias("text"))
+        .mapInArrow(emitted, "__digest long, word string, n long, held long, groups array<long>")
+        .dropDuplicates(["__digest", "word"])
+    )
+    spelt = found.dropDuplicates(["word"]).select("word", "held", F.explode("groups").alias("key"))
+    worth = stored(
+        spelt.join(rest, "key", "left")
+        .groupBy("word")
+        .agg((F.max("held") + F.sum(F.coalesce("value", F.lit(0)))).alias("worth"))
+    )
+    sums = stored(
+        found.join(worth, "word")
+        .groupBy("__digest")
+        .agg(
+            F.struct(
+                F.sum(F.col("n") * F.col("worth")).alias("total"),
+                F.max(F.col("worth") / (F.length("word") + 1)).alias("ratio"),
+                F.slice(F.sort_array(F.collect_list("worth"), asc=False), 1, 3).alias("best"),
+            ).alias("__more")
+        )
+    )
+    return F.broadcast(sums) if sums.count() <= BROADCAST_TEXTS else sums
+
+
+def _features(
+    df: DataFrame, keys: np.ndarray, values: np.ndarray, rest: DataFrame | None, keep: list[str]
+) -> DataFrame:
+    """``df`` with features; ``rest``: key and value of the groups not held."""
+    shared = df.sparkSession.sparkContext.broadcast((keys, values))
+    partial, inputs = rest is not None, [filled()]
+    if partial:
+        more = _more(df, keys, values, rest)
+        df = df.withColumn("__digest", F.xxhash64(filled())).join(more, "__digest", "left")
+        inputs.append(F.col("__more"))
+
+    def make() -> Callable[..., list]:
+        describe = _described(*shared.value, partial)
+        return lambda texts, *more: (
+            [list(x) for x in zip(*map(describe, texts, *more))] if texts else [[]] * 5
+        )
 
-    return append_columns(df, [filled()], _FEATURES, make, keep)
+    return append_columns(df, inputs, _FEATURES, make, keep)
 
 
 def _scaled(features: np.ndarray) -> np.ndarray:
@@ -318,10 +412,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     )
     words = words.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "n1", "n2", "n3", "n4")])
     grams = stored(_spelt(words))
-    differences = _slots(_smoothed(grams))
+    keys, differences, others = _values(_smoothed(grams))
+    rest = [None if others is None else others.select("key", F.col(f"v{i}").alias("value")) for i in (0, 1)]
     # calibration on rows that the first pair of models has not counted
-    described = stored(_features(given.where("kind >= 3"), differences[0], ["kind"]))
-    return Model(differences[1], _calibrated(described))
+    described = stored(_features(given.where("kind >= 3"), keys, differences[0], rest[0], ["kind"]))
+    return Model(keys, differences[1], rest[1], _calibrated(described))
 
 
 def score(df: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
@@ -331,23 +426,21 @@ def score(df: DataFrame, model: Model, keep: list[str] | None = None) -> DataFra
     the score of a document without evidence; texts are read whole; an empty table
     stays empty; columns of these names are replaced.
     """
-    shared = df.sparkSession.sparkContext.broadcast((model.differences, np.array(model.weights)))
-
-    def make() -> Callable[[list], list]:
-        differences, weights = shared.value
-        describe = _described(differences)
-
-        def work(texts: list) -> list:
-            if not texts:
-                return [[], []]
-            x = _scaled(np.array([describe(t) for t in texts]))
+    kept = without(df.select(*keep) if keep is not None else df, ["score", "predicted"])
+    names = [f"`{c}`" for c in kept]
+    described = _features(df, model.keys, model.differences, model.rest, names)
+    weights = np.array(model.weights)
+
+    def make() -> Callable[..., list]:
+        def work(*features: list) -> list:
+            x = _scaled(np.column_stack(features))
             p = 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
             return [p.tolist(), (p >= THRESHOLD).astype(int).tolist()]
 
         return work
 
     fields = [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
-    return append_columns(df, [filled()], fields, make, keep)
+    return append_columns(described, [F.col(f.name) for f in _FEATURES], fields, make, names)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

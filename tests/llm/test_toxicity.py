@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import toxicity
@@ -118,6 +119,24 @@ def test_share_of_toxic_rows_is_kept_at_any_size(spark):
 
 
 def test_telling_words_are_found_beside_a_very_frequent_one():
-    describe = toxicity._described(np.random.default_rng(0).normal(0, 1, toxicity.SLOTS))
+    padded = [toxicity._START * 4 + w + toxicity._END for w in ("idiot", "moron", "stupid")]
+    grams = {w[i : i + 5] for w in padded for i in range(len(w) - 4)}
+    digests = np.array([xxhash.xxh64_intdigest(g.encode(), 42) for g in grams], np.uint64).view(np.int64)
+    keys = np.sort(digests)
+    describe = toxicity._described(keys, np.arange(1, len(keys) + 1), False)
     few, many = describe("idiot moron stupid"), describe("idiot moron stupid" + " idiot moron stupid" * 100)
     assert few[2:] == many[2:] and few[3] != 0 and few[4] != 0
+
+
+def test_scores_do_not_depend_on_how_many_groups_are_held(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(i, f"word{i % 7} {chr(97 + i % 26) * 3} {'bad' if i % 5 == 0 else 'good'}" if i % 9 else None) for i in range(300)],
+        "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
+    scores = []
+    for held in (1 << 20, 30):
+        monkeypatch.setattr(toxicity, "HELD_GROUPS", held)
+        model = toxicity.learn(docs, labels)
+        assert len(model.keys) <= held and (model.rest is None) == (held > 30)
+        scores.append(sorted(map(tuple, toxicity.score(docs, model, ["doc_id"]).collect())))
+    assert len(scores[0]) == 300 and scores[0] == scores[1]
