@@ -10,6 +10,7 @@ from bazaarlens.llm import oracle
 from bazaarlens.llm.bpe import op6_bpe
 from bazaarlens.llm.chat import op9_chat
 from bazaarlens.llm.jaccard import op8_jaccard
+from bazaarlens.llm.languages import op13_language
 from bazaarlens.llm.lattice import op1_lattice
 from bazaarlens.llm.licenses import op10_licenses
 from bazaarlens.llm.mixing import op2_mixing
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_jaccard,
         op9_chat,
         op10_licenses,
+        op13_language,
     )
     return {query.__name__: query for query in found}
 

@@ -1,0 +1,85 @@
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from bazaarlens.llm import languages
+from bazaarlens.llm.common import table
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    return table(spark, SF, "documents").select("doc_id", "text", "lang")
+
+
+@pytest.fixture(scope="module")
+def model(given):
+    return languages.learn(given.where(~languages.held_out()))
+
+
+def test_held_out_accuracy(given, model):
+    held = given.where(languages.held_out())
+    rows = languages.predict(held, model).collect()
+    assert len(rows) > 200
+    assert {zlib.crc32(str(row["doc_id"]).encode()) % 4 for row in rows} == {2}
+    right = [row["lang_pred"] == row["lang"] for row in rows]
+    assert sum(right) >= 0.99 * len(right)
+    kept = [row for row in rows if not row["rejected"]]
+    assert len(kept) >= 0.95 * len(rows)
+    assert all(row["lang_pred"] == row["lang"] and row["score"] > 0.99 for row in kept)
+
+
+def test_sample_does_not_depend_on_order_or_copies(spark, given, model):
+    shuffled = given.union(given.limit(50)).repartition(7, F.rand(3)).where(~languages.held_out())
+    again = languages.learn(shuffled)
+    assert dict(zip(again.languages, again.dictionaries)) == dict(
+        zip(model.languages, model.dictionaries)
+    )
+    longest = languages.SAMPLED * (languages.PASSAGE + 1) * 4
+    assert all(0 < len(content) <= longest for content in model.dictionaries)
+
+
+def test_learns_from_the_fold_only(spark, given, model):
+    other = given.withColumn("lang", F.when(languages.held_out(), "zz").otherwise(F.col("lang")))
+    assert languages.learn(other.where(~languages.held_out())) == model
+
+
+def test_texts_without_letters_and_odd_rows(odd, model):
+    made = odd.withColumn("LANG_PRED", F.lit("was"))
+    rows = languages.predict(made, model).collect()
+    assert len(rows) == odd.count()
+    for row in rows:
+        empty = not (row["text"] or "").strip()
+        assert (row["lang_pred"] == "und") is empty
+        assert 0 <= row["score"] <= 1 and row["more"] in ("x", None)
+    numbers = odd.sparkSession.createDataFrame([("12 34, ²!",), ("ª",), ("中",)], "text string")
+    assert [r["lang_pred"] for r in languages.predict(numbers, model).collect()][0] == "und"
+    assert all(r["lang_pred"] != "und" for r in languages.predict(numbers, model).collect()[1:])
+
+
+def test_nothing_to_learn_from_and_empty_tables(spark, given, model):
+    nothing = languages.learn(given.withColumn("lang", F.lit(None).cast("string")))
+    assert nothing.languages == []
+    assert {r["lang_pred"] for r in languages.predict(given.limit(5), nothing).collect()} == {"und"}
+    assert languages.predict(given.limit(0), model).count() == 0
+    single = languages.learn(spark.createDataFrame([(1, "", "en")], "doc_id long, text string, lang string"))
+    got = languages.predict(given.limit(3), single).collect()
+    assert {(r["lang_pred"], r["score"], r["rejected"]) for r in got} == {("en", 1.0, False)}
+
+
+def test_equal_sizes_go_to_the_more_frequent_language():
+    model = languages.Model(["often", "rare"], [b"same words", b"same words"])
+    judged = languages._judge(model)("other text")
+    assert judged == ("often", 0.5, True)
+
+
+def test_whole_texts_count(model):
+    """A long text whose beginning is of another language than the rest."""
+    sizes = languages.sizes_of(model)
+    by = dict(zip(model.languages, model.dictionaries))
+    german, english = by["de"].decode()[:5000], by["en"].decode()[:40000]
+    judged = languages._judge(model)(german + english)
+    assert judged[0] == "en"
+    assert min(sizes(german)) == sizes(german)[model.languages.index("de")]
