@@ -93,3 +93,42 @@ WITH
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
        sha256(loss) AS loss_sha256, formatted_chars
 FROM told"""
+
+# CRC-32 of an ASCII text: eight shifts for each byte.
+_CRC = """xor(list_reduce([4294967295] || list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT)),
+    lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda s, n: xor(s >> 1, 3988292384 * (s & 1)))), 4294967295)"""
+
+PREFIXES = f"""
+WITH
+  said AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+             sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS n
+    FROM conversations WHERE conv_id IS NOT NULL),
+  ids AS (
+    SELECT c, c - c % 100 AS base, {_CRC.format(text="CAST(c AS VARCHAR)")} % 6 AS h
+    FROM (SELECT DISTINCT conv_id AS c FROM said)),
+  steps AS (
+    SELECT c, 0 AS part, n, role, text FROM ids JOIN said ON conv_id = base AND n <= h
+    UNION ALL
+    SELECT c, 1, n, role, text FROM ids JOIN said ON conv_id = c AND n > h),
+  told AS (
+    SELECT c, CAST(coalesce(list({{'role': role, 'text': text}} ORDER BY part, n)
+                     FILTER (n IS NOT NULL), []) AS STRUCT(role VARCHAR, text VARCHAR)[]) AS s
+    FROM ids LEFT JOIN steps USING (c) GROUP BY c),
+  nodes AS (
+    SELECT s[:d] AS p, d, min(c) AS id, count(*) AS n, any_value(length(s[d].text)) AS chars,
+           string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(s) = d) AS ends
+    FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM told) GROUP BY ALL),
+  kids AS (SELECT p[:d - 1] AS p, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY 1),
+  sized AS (SELECT nodes.*, coalesce(kids, 0) AS kids FROM nodes LEFT JOIN kids ON kids.p = nodes.p),
+  above AS (SELECT p, d AS far, unnest(range(0, d + 1)) AS d, n, chars, kids FROM sized),
+  summed AS (
+    SELECT p[:d] AS p, count(*) FILTER (kids = 0) AS leaves,
+           sum(CASE WHEN far = 0 THEN 0 ELSE (n - 1) * chars END) AS saved
+    FROM above GROUP BY 1)
+SELECT x.id AS conv_id, x.d AS depth, y.id AS parent_conv_id, x.n AS n_convs, x.kids AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM sized x JOIN summed z ON z.p = x.p LEFT JOIN nodes y ON x.d > 0 AND y.p = x.p[:x.d - 1]"""

@@ -15,6 +15,7 @@ from bazaarlens.llm.lattice import op1_lattice
 from bazaarlens.llm.licenses import op10_licenses
 from bazaarlens.llm.mixing import op2_mixing
 from bazaarlens.llm.pii import op3_pii
+from bazaarlens.llm.prefixes import op12_prefixes
 from bazaarlens.llm.sentences import op5_sentences
 from bazaarlens.llm.topk import op7_topk
 from bazaarlens.llm.toxicity import op4_toxicity
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_jaccard,
         op9_chat,
         op10_licenses,
+        op12_prefixes,
         op13_language,
     )
     return {query.__name__: query for query in found}
@@ -45,4 +47,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_topk": oracle.TOP_K,
         "op8_jaccard": oracle.JACCARD,
         "op9_chat": oracle.CHAT,
+        "op12_prefixes": oracle.PREFIXES,
     }
