@@ -94,6 +94,41 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
        sha256(loss) AS loss_sha256, formatted_chars
 FROM told"""
 
+PHRASES = """
+WITH
+  pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  worded AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w
+    FROM pieces),
+  placed AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+             FROM worded, (VALUES (1), (2), (3)) AS t(k) WHERE len(w) >= k),
+  counts AS (SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS f FROM placed GROUP BY ALL),
+  totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+  found AS (SELECT * FROM counts WHERE k > 1 AND f >= 10),
+  cuts AS (
+    SELECT c.lang, c.g, c.k, c.f AS a, x.f AS l, y.f AS r, j,
+           CAST(CAST(1000000 AS HUGEINT) * c.f * c.f // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM found) c
+    JOIN counts x ON x.lang = c.lang AND x.g = c.g[:j]
+    JOIN counts y ON y.lang = c.lang AND y.g = c.g[j + 1:]),
+  lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+  inner_parts AS (
+    SELECT lang, unnest([g[:2], g[2:]]) AS g, f FROM found WHERE k = 3),
+  covered AS (
+    SELECT DISTINCT p.lang, p.g FROM inner_parts p JOIN found s ON s.lang = p.lang AND s.g = p.g
+    WHERE 100 * p.f >= 50 * s.f),
+  ranked AS (
+    SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score FROM lowest
+    ANTI JOIN covered USING (lang, g))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM ranked JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000"""
+
 # CRC-32 of an ASCII text: eight shifts for each byte.
 _CRC = """xor(list_reduce([4294967295] || list_transform(string_split({text}, ''), lambda x: CAST(ord(x) AS BIGINT)),
     lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0],

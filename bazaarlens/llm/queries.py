@@ -14,6 +14,7 @@ from bazaarlens.llm.languages import op13_language
 from bazaarlens.llm.lattice import op1_lattice
 from bazaarlens.llm.licenses import op10_licenses
 from bazaarlens.llm.mixing import op2_mixing
+from bazaarlens.llm.phrases import op11_phrases
 from bazaarlens.llm.pii import op3_pii
 from bazaarlens.llm.prefixes import op12_prefixes
 from bazaarlens.llm.sentences import op5_sentences
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_jaccard,
         op9_chat,
         op10_licenses,
+        op11_phrases,
         op12_prefixes,
         op13_language,
     )
@@ -47,5 +49,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_topk": oracle.TOP_K,
         "op8_jaccard": oracle.JACCARD,
         "op9_chat": oracle.CHAT,
+        "op11_phrases": oracle.PHRASES,
         "op12_prefixes": oracle.PREFIXES,
     }
