@@ -33,7 +33,10 @@ SHORT = 300
 #: Bytes that the second language must need more, and their share of the text's size;
 #: the larger bound counts.
 MARGIN, MARGIN_SHARE = 2, 0.005
+#: Sampled rows are looked up by broadcast up to so many, by a shuffled join beyond.
+BROADCAST_ROWS = 1_000_000
 UNKNOWN = "und"
+_SALTS = 256
 _CARRIER = b"\n" * 64
 _LEVEL, _SHORT_LEVEL, _LEAST_MATCH = 9, 12, 3
 _LETTER = regex.compile(r"\p{L}")
@@ -59,22 +62,23 @@ def learn(docs: DataFrame) -> Model:
     depend on the order of rows; repeated rows count once. A sampled text gives one passage
     from a place that its digest draws. Without labelled texts there is no language.
     """
-    digest = F.xxhash64("doc_id", "text")
-    usable = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("lang", "text", digest.alias("digest"))
-    counts = {row["lang"]: row["n"] for row in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    first = Window.partitionBy("lang").orderBy("digest")
-    chosen = (
-        usable.groupBy("lang", "digest").agg(F.lit(1).alias("one"))
-        .withColumn("nth", F.row_number().over(first))
-        .where(F.col("nth") <= SAMPLED)
-        .select("lang", "digest")
-    )
     start = F.expr(f"pmod(digest, greatest(length(text) - {PASSAGE}, 0) + 1) + 1").cast("int")
-    passages = (
-        usable.join(chosen, ["lang", "digest"], "left_semi")
+    usable = (
+        docs.where("text IS NOT NULL AND lang IS NOT NULL")
+        .select("lang", "text", F.xxhash64("doc_id", "text").alias("digest"))
         .select("lang", "digest", F.col("text").substr(start, F.lit(PASSAGE)).alias("passage"))
-        .dropDuplicates(["lang", "digest"])
     )
+    counts = {row["lang"]: row["n"] for row in usable.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # the least of many small groups first: a frequent language is not one task's
+    salted = Window.partitionBy("lang", F.pmod("digest", F.lit(_SALTS))).orderBy("digest")
+    whole = Window.partitionBy("lang").orderBy("digest")
+    chosen = usable.select("lang", "digest").distinct()
+    for window in (salted, whole):
+        chosen = chosen.withColumn("nth", F.row_number().over(window)).where(F.col("nth") <= SAMPLED)
+    chosen = chosen.select("lang", "digest")
+    if SAMPLED * len(counts) <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    passages = usable.join(chosen, ["lang", "digest"], "left_semi").dropDuplicates(["lang", "digest"])
     held: dict[str, list[tuple[int, str]]] = {lang: [] for lang in counts}
     # SAMPLED passages of PASSAGE characters for a language at most
     for row in passages.collect():
