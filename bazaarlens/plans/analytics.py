@@ -26,6 +26,7 @@ from bazaarlens.functions import (
 from bazaarlens.operators.calendar import days_between
 from bazaarlens.operators.pairs import top_shared_pairs
 from bazaarlens.plans.marts import delivery_micros, mean_days, mean_of, share_where
+from bazaarlens.sources.buckets import Dealt, dealt
 
 # Literals of the reports, overridable through parameters.
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card")
@@ -160,14 +161,14 @@ def repeat_order_gap(enriched: DataFrame, history: DataFrame, *, limit: int = 30
     )
 
 
-def payment_trends(payments: DataFrame, orders: DataFrame) -> DataFrame:
+def payment_trends(payments: DataFrame | Dealt, orders: DataFrame) -> DataFrame:
     """Share of each payment type per quarter."""
     dated = orders.select(
         "order_id", quarter_start(F.col("order_purchase_timestamp")).alias("quarter")
     )
     return (
-        payments.select("order_id", "payment_type")
-        .join(dated, "order_id")
+        dealt(payments)
+        .each(lambda part: part.select("order_id", "payment_type").join(dated, "order_id"))
         .groupBy("quarter")
         .agg(
             F.count(F.lit(1)).alias("total_payments"),
@@ -235,7 +236,7 @@ def cohort_retention(enriched: DataFrame) -> DataFrame:
 
 
 def _category_sales(
-    items: DataFrame,
+    items: DataFrame | Dealt,
     products: DataFrame,
     enriched: DataFrame,
     states: Sequence[str],
@@ -247,10 +248,11 @@ def _category_sales(
     placed = enriched.filter(F.col("customer_state").isin(*states)).select(
         "order_id", "customer_state"
     )
-    return (
-        items.select("order_id", "product_id", "price")
-        .join(kept, "product_id")
+    # by order first: over tables in buckets that join moves nothing
+    return dealt(items).each(
+        lambda part: part.select("order_id", "product_id", "price")
         .join(placed, "order_id")
+        .join(kept, "product_id")
     )
 
 
@@ -262,7 +264,7 @@ def _sales_totals() -> list[Column]:
 
 
 def rollup_state_category(
-    items: DataFrame,
+    items: DataFrame | Dealt,
     products: DataFrame,
     enriched: DataFrame,
     *,
@@ -295,7 +297,7 @@ def rollup_state_category(
 
 
 def cube_state_category(
-    items: DataFrame,
+    items: DataFrame | Dealt,
     products: DataFrame,
     enriched: DataFrame,
     *,
@@ -422,13 +424,13 @@ def reviews_by_delivery(enriched: DataFrame, *, more_than: int = 100) -> DataFra
 
 
 def shared_customer_pairs(
-    items: DataFrame, enriched: DataFrame, *, at_least: int = 5, limit: int = 15
+    items: DataFrame | Dealt, enriched: DataFrame, *, at_least: int = 5, limit: int = 15
 ) -> DataFrame:
     """Seller pairs with the most common customers."""
     people = enriched.select("order_id", "customer_unique_id")
     links = (
-        items.select("order_id", "seller_id")
-        .join(people, "order_id")
+        dealt(items)
+        .each(lambda part: part.select("order_id", "seller_id").join(people, "order_id"))
         .select("seller_id", "customer_unique_id")
         .distinct()
     )

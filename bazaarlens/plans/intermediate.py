@@ -15,28 +15,33 @@ from bazaarlens.functions import (
     span_micros,
 )
 from bazaarlens.operators.modal import aggregate_with_modes, ballot
+from bazaarlens.sources.buckets import Dealt, dealt
 
 _MICROS = DecimalType(18, 0)  # decimal, because long sums of microseconds overflow
 _TIMES = DecimalType(13, 0)
 
 
-def item_rollup(items: DataFrame) -> DataFrame:
+def item_rollup(items: DataFrame | Dealt) -> DataFrame:
     """Item count, product variety and value per order."""
-    return items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("total_items"),
-        F.count_distinct("product_id").alias("total_products"),
-        F.sum("price").alias("total_price"),
-        F.sum("freight_value").alias("total_freight"),
+    return dealt(items).each(
+        lambda part: part.groupBy("order_id").agg(
+            F.count(F.lit(1)).alias("total_items"),
+            F.count_distinct("product_id").alias("total_products"),
+            F.sum("price").alias("total_price"),
+            F.sum("freight_value").alias("total_freight"),
+        )
     )
 
 
-def payment_rollup(payments: DataFrame) -> DataFrame:
+def payment_rollup(payments: DataFrame | Dealt) -> DataFrame:
     """Paid value, sorted list of distinct methods and most instalments per order."""
     methods = F.array_sort(F.collect_set("payment_type"))
-    return payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("total_payment_value"),
-        F.when(F.size(methods) > 0, F.array_join(methods, ", ")).alias("payment_methods"),
-        F.max("payment_installments").alias("max_installments"),
+    return dealt(payments).each(
+        lambda part: part.groupBy("order_id").agg(
+            F.sum("payment_value").alias("total_payment_value"),
+            F.when(F.size(methods) > 0, F.array_join(methods, ", ")).alias("payment_methods"),
+            F.max("payment_installments").alias("max_installments"),
+        )
     )
 
 
@@ -57,25 +62,26 @@ def delivery_status() -> Column:
 def orders_enriched(
     orders: DataFrame,
     customers: DataFrame,
-    items: DataFrame,
-    payments: DataFrame,
+    items: DataFrame | Dealt,
+    payments: DataFrame | Dealt,
     reviews: DataFrame,
 ) -> DataFrame:
     """One row per order with customer, value, payment, review and delivery facts.
 
-    Items and payments are reduced to one row per order before they are joined,
-    and the three order-keyed joins share one partitioning. An order without
-    items keeps a NULL value, not zero.
+    Items and payments are reduced to one row per order before they are joined. The
+    joins by order come first: over tables in buckets they move nothing, and only the
+    join with the customers shuffles. An order without items keeps a NULL value, not
+    zero.
     """
     people = customers.select(
         "customer_id", "customer_unique_id", "customer_city", "customer_state"
     )
     scores = reviews.select("order_id", "review_score")
     joined = (
-        orders.join(people, "customer_id", "left")
-        .join(item_rollup(items), "order_id", "left")
+        orders.join(item_rollup(items), "order_id", "left")
         .join(payment_rollup(payments), "order_id", "left")
         .join(scores, "order_id", "left")
+        .join(people, "customer_id", "left")
     )
     bought = F.col("order_purchase_timestamp")
     delivered = F.col("order_delivered_customer_date")
@@ -112,27 +118,15 @@ def orders_enriched(
     )
 
 
-def _sales_profile(items: DataFrame, enriched: DataFrame, party: str) -> DataFrame:
+def _sales_profile(items: DataFrame | Dealt, enriched: DataFrame, party: str) -> DataFrame:
     """Sales of each ``party`` (seller or product), averages weighted per item.
 
-    Items are dealt out by order, which serves both the reduction to one row per
-    (party, order), so that counting orders is counting rows, and the join with the
-    orders. Totals per party are summed up before they are shuffled, so a hot party
+    Items are first reduced to one row per (party, order), so that counting orders is
+    counting rows, then joined with the orders; over tables in buckets neither moves
+    anything. Totals per party are summed up before they are shuffled, so a hot party
     does not reach one task whole. Review and delivery facts come from the enriched
     orders, which hold them once per order.
     """
-    sold = (
-        items.filter(F.col(party).isNotNull())
-        .select("order_id", party, "price", "freight_value")
-        .repartition("order_id")
-        .groupBy(party, "order_id")
-        .agg(
-            F.count(F.lit(1)).alias("_items"),
-            F.sum("price").alias("_price"),
-            F.count("price").alias("_priced"),
-            F.sum("freight_value").alias("_freight"),
-        )
-    )
     facts = enriched.select(
         "order_id",
         "review_score",
@@ -141,9 +135,24 @@ def _sales_profile(items: DataFrame, enriched: DataFrame, party: str) -> DataFra
             F.col("order_purchase_timestamp"), F.col("order_delivered_customer_date")
         ).alias("_micros"),
     )
+
+    def sold(part: DataFrame) -> DataFrame:
+        return (
+            part.filter(F.col(party).isNotNull())
+            .groupBy(party, "order_id")
+            .agg(
+                F.count(F.lit(1)).alias("_items"),
+                F.sum("price").alias("_price"),
+                F.count("price").alias("_priced"),
+                F.sum("freight_value").alias("_freight"),
+            )
+            .join(facts, "order_id", "left")
+        )
+
     times = F.col("_items").cast(_TIMES)
     return (
-        sold.join(facts, "order_id", "left")
+        dealt(items)
+        .each(sold)
         .groupBy(party)
         .agg(
             F.count("order_id").alias("_orders"),
@@ -165,7 +174,9 @@ def _mean_review() -> Column:
     return rounded_ratio(F.col("_review"), F.col("_reviewed"), 2)
 
 
-def seller_performance(sellers: DataFrame, items: DataFrame, enriched: DataFrame) -> DataFrame:
+def seller_performance(
+    sellers: DataFrame, items: DataFrame | Dealt, enriched: DataFrame
+) -> DataFrame:
     """One row per seller with sales, review, delivery and activity metrics.
 
     A seller without items shows one sold item and zero orders, because the
@@ -173,7 +184,9 @@ def seller_performance(sellers: DataFrame, items: DataFrame, enriched: DataFrame
     """
     profile = _sales_profile(items, enriched, "seller_id")
     variety = (
-        items.filter(F.col("product_id").isNotNull())
+        dealt(items)
+        .rows()
+        .filter(F.col("product_id").isNotNull())
         .select("seller_id", "product_id")
         .distinct()
         .groupBy("seller_id")
@@ -203,7 +216,7 @@ def seller_performance(sellers: DataFrame, items: DataFrame, enriched: DataFrame
 
 
 def product_performance(
-    products: DataFrame, items: DataFrame, enriched: DataFrame
+    products: DataFrame, items: DataFrame | Dealt, enriched: DataFrame
 ) -> DataFrame:
     """One row per product with sales and review metrics."""
     profile = _sales_profile(items, enriched, "product_id")
@@ -221,7 +234,7 @@ def product_performance(
     )
 
 
-def customer_history(enriched: DataFrame, payments: DataFrame) -> DataFrame:
+def customer_history(enriched: DataFrame, payments: DataFrame | Dealt) -> DataFrame:
     """One row per person with lifetime metrics.
 
     Payments count at row grain: an order paid in three parts weighs three times
@@ -237,9 +250,11 @@ def customer_history(enriched: DataFrame, payments: DataFrame) -> DataFrame:
         "total_order_value",
         "review_score",
     )
-    by_type = payments.groupBy("order_id", "payment_type").agg(F.count(F.lit(1)).alias("_n"))
     weight = F.coalesce("_n", F.lit(1))  # an order without payments counts once
     value, score = F.col("total_order_value"), F.col("review_score")
+    by_type = dealt(payments).each(
+        lambda part: part.groupBy("order_id", "payment_type").agg(F.count(F.lit(1)).alias("_n"))
+    )
     weighted = aggregate_with_modes(
         known.join(by_type, "order_id", "left"),
         "customer_unique_id",

@@ -15,7 +15,9 @@ from bazaarlens.functions import (
     rounded_ratio,
     span_micros,
 )
-from bazaarlens.operators.placement import SortKey, ntile_columns, with_rows_ahead
+from bazaarlens.operators.bitmaps import numbered_values, sums_and_distinct
+from bazaarlens.operators.placement import SortKey, ntile_columns, row_numbers, with_rows_ahead
+from bazaarlens.sources.buckets import Dealt, dealt
 
 _MICROS = DecimalType(18, 0)
 _TIMES = DecimalType(13, 0)
@@ -126,11 +128,13 @@ def state_performance(enriched: DataFrame) -> DataFrame:
 
 
 def product_category_analysis(
-    items: DataFrame, products: DataFrame, enriched: DataFrame, *, min_orders: int = 10
+    items: DataFrame | Dealt, products: DataFrame, enriched: DataFrame, *, min_orders: int = 10
 ) -> DataFrame:
     """Delivered sales per category with at least ``min_orders`` orders.
 
-    Review and delivery averages are weighted per item.
+    Review and delivery averages are weighted per item. Sellers and products are counted
+    by bitmaps in the pass that sums up the rest. Products are numbered by category, so
+    that a category's products fill few bitmaps.
     """
     orders = enriched.filter(F.col("order_status") == "delivered").select(
         "order_id",
@@ -138,57 +142,56 @@ def product_category_analysis(
         "order_purchase_timestamp",
         "order_delivered_customer_date",
     )
-    lines = (
-        items.select("order_id", "product_id", "seller_id", "price")
-        .join(orders, "order_id")
-        .join(products.select("product_id", "product_category"), "product_id")
+    kinds = row_numbers(
+        products.select("product_id", "product_category"),
+        [rising("product_category"), rising("product_id")],
+        "_product",
     )
+    sellers = numbered_values(dealt(items).rows(), "seller_id", "_seller")
+
+    def lines(part: DataFrame) -> DataFrame:
+        return (
+            part.select("order_id", "product_id", "seller_id", "price")
+            .join(orders, "order_id")
+            .join(kinds, "product_id")
+            .join(sellers, "seller_id", "left")
+        )
+
     price = F.col("price")
-    # One row per order and category first: counting orders is counting rows, and a
-    # hot category is summed up before it meets in one task. Sellers and products are
-    # counted apart, so that no line is copied for each count.
-    per_order = lines.groupBy("product_category", "order_id").agg(
-        F.count(F.lit(1)).alias("_lines"),
-        F.sum(price).alias("_price"),
-        F.count(price).alias("_priced"),
-        F.sum("review_score").alias("_review"),
-        F.count("review_score").alias("_reviewed"),
-        F.sum(delivery_micros().cast(_MICROS)).alias("_micros"),
-        F.count(delivery_micros()).alias("_delivered"),
+    # One row per order and category first: counting orders is counting rows.
+    per_order = (
+        dealt(items)
+        .each(lines)
+        .groupBy("product_category", "order_id")
+        .agg(
+            F.lit(1).cast("long").alias("_order"),
+            F.sum(price).alias("_price"),
+            F.count(price).alias("_priced"),
+            F.sum("review_score").alias("_review"),
+            F.count("review_score").alias("_reviewed"),
+            F.sum(delivery_micros()).alias("_micros"),
+            F.count(delivery_micros()).alias("_delivered"),
+            F.collect_set("_seller").alias("_sellers"),
+            F.collect_set("_product").alias("_products"),
+        )
     )
-    totals = per_order.groupBy("product_category").agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        *[
-            F.sum(c).alias(c)
-            for c in ("_price", "_priced", "_review", "_reviewed", "_micros", "_delivered")
-        ],
+    added = ("_price", "_priced", "_review", "_reviewed", "_micros", "_delivered")
+    totals = sums_and_distinct(
+        per_order,
+        "product_category",
+        {"total_orders": "_order"} | {name: name for name in added},
+        {"seller_count": "_sellers", "product_count": "_products"},
     )
-
-    def different(column: str, name: str) -> DataFrame:
-        known = lines.filter(F.col(column).isNotNull()).select("product_category", column)
-        category = F.col("product_category").alias(f"_of_{column}")
-        return known.distinct().groupBy(category).agg(F.count(F.lit(1)).alias(name))
-
     days = F.col("_delivered").cast(_TIMES) * F.lit(MICROS_PER_DAY).cast(_MICROS)
     return (
         totals.filter(F.col("total_orders") >= min_orders)
-        .join(
-            different("seller_id", "seller_count"),
-            F.col("product_category").eqNullSafe(F.col("_of_seller_id")),
-            "left",
-        )
-        .join(
-            different("product_id", "product_count"),
-            F.col("product_category").eqNullSafe(F.col("_of_product_id")),
-            "left",
-        )
         .select(
             "product_category",
             "total_orders",
             F.col("_price").cast(DecimalType(20, 2)).alias("total_revenue"),
             rounded_ratio(F.col("_price"), F.col("_priced"), 2, numerator_scale=2).alias("avg_price"),
-            F.coalesce("seller_count", F.lit(0)).alias("seller_count"),
-            F.coalesce("product_count", F.lit(0)).alias("product_count"),
+            "seller_count",
+            "product_count",
             rounded_ratio(F.col("_review"), F.col("_reviewed"), 2).alias("avg_review_score"),
             rounded_ratio(F.col("_micros"), days, 1).alias("avg_delivery_days"),
         )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions import falling, month_start, rising
 from bazaarlens.operators.placement import row_numbers
+from bazaarlens.sources.buckets import Dealt, dealt
 
 # Fixed value: end of validity of a current row.
 OPEN_END = "9999-12-31"
@@ -34,20 +35,22 @@ def order_months(orders: DataFrame) -> DataFrame:
     )
 
 
-def seller_months(items: DataFrame, orders: DataFrame) -> DataFrame:
+def seller_months(items: DataFrame | Dealt, orders: DataFrame) -> DataFrame:
     """Sold items per seller and month (items, not orders)."""
     dated = orders.select(
         "order_id", month_start(F.col("order_purchase_timestamp")).alias("month_start")
     )
     return (
-        items.select("order_id", "seller_id")
-        .join(dated, "order_id")
+        dealt(items)
+        .each(lambda part: part.select("order_id", "seller_id").join(dated, "order_id"))
         .groupBy("seller_id", "month_start")
         .agg(F.count(F.lit(1)).alias("orders_in_month"))
     )
 
 
-def change_points(sellers: DataFrame, items: DataFrame, orders: DataFrame) -> DataFrame:
+def change_points(
+    sellers: DataFrame, items: DataFrame | Dealt, orders: DataFrame
+) -> DataFrame:
     """The months in which a seller's status starts, in the first month or by change."""
     months = order_months(orders)
     active = seller_months(items, orders).join(F.broadcast(months), "month_start")
@@ -91,7 +94,7 @@ def change_points(sellers: DataFrame, items: DataFrame, orders: DataFrame) -> Da
 
 
 def seller_status_history(
-    sellers: DataFrame, items: DataFrame, orders: DataFrame
+    sellers: DataFrame, items: DataFrame | Dealt, orders: DataFrame
 ) -> DataFrame:
     """Validity ranges with a surrogate key numbered by seller and start."""
     points = change_points(sellers, items, orders)

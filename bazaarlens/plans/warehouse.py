@@ -12,7 +12,7 @@ import json
 import time
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +22,7 @@ from pyspark.sql.types import StructType
 from bazaarlens.operators.keys import key_reports, require_key
 from bazaarlens.plans import intermediate, marts, seller_history, staging
 from bazaarlens.schemas import RAW_COLUMNS
+from bazaarlens.sources.buckets import BUCKETS, WIDE_ROWS, Dealt, read_buckets, write_buckets
 from bazaarlens.sources.layout import LAYOUTS, read_table, write_table
 
 
@@ -38,14 +39,51 @@ class Table:
     raw: tuple[str, ...] = ()
 
 
-class Warehouse:
-    """Tables of one raw source, stored under one root folder."""
+@dataclass(frozen=True)
+class Version:
+    """Where one version of a table lies; ``buckets``: of its copy by key, 0 without one."""
+
+    path: str
+    schema: StructType
+    buckets: int = 0
+    #: The copy has very frequent keys apart from its buckets.
+    wide: bool = False
 
-    def __init__(self, spark: SparkSession, root: str, raw: Callable[[str], DataFrame]):
+    @property
+    def copy(self) -> str:
+        return f"{self.path}-by-key"
+
+
+@dataclass(frozen=True)
+class ByKey:
+    """Names the bucketed copy of a table as an input."""
+
+    name: str
+
+
+class Warehouse:
+    """Tables of one raw source, stored under one root folder.
+
+    ``buckets``: files of each copy by key, by default as many as the session has
+    shuffle partitions, so that a bucket is about as large as a shuffled partition.
+    Keys with more than ``wide_rows`` rows lie apart from the buckets.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        raw: Callable[[str], DataFrame],
+        *,
+        buckets: int | None = None,
+        wide_rows: int = WIDE_ROWS,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.wide_rows = wide_rows
         self._source = raw
-        self._versions: dict[str, tuple[str, StructType]] = {}
+        self._versions: dict[str, Version] = {}
 
     @classmethod
     def reopen(
@@ -60,8 +98,7 @@ class Warehouse:
         """A raw table, loaded from the source on first use."""
         if f"raw_{name}" not in self._versions:
             self._publish({f"raw_{name}": self._load(name)})
-        path, schema = self._versions[f"raw_{name}"]
-        return read_table(self.spark, path, schema)
+        return self._scan(self._versions[f"raw_{name}"])
 
     def derive(self, name: str) -> DataFrame:
         """The table as a plan over its stored inputs.
@@ -78,11 +115,24 @@ class Warehouse:
         A broken key raises and publishes nothing.
         """
         if name not in self._versions:
-            path, schema = self._write(name)
-            self._check(name, path, schema)
-            self._publish({name: (path, schema)})
-        path, schema = self._versions[name]
-        return read_table(self.spark, path, schema)
+            self._publish({name: self._checked(name)})
+        return self._scan(self._versions[name])
+
+    def by_key(self, name: str) -> DataFrame | Dealt:
+        """The copy of a stored table in buckets of its join key.
+
+        A plain scan where a key has one row; else a key's rows may lie apart.
+        """
+        self.table(name)
+        version, spec = self._versions[name], BUCKETS[name]
+        copy = read_buckets(
+            self.spark, version.copy, version.schema, spec, version.buckets, version.wide
+        )
+        return copy.bucketed if spec.unique else copy
+
+    def read(self, source: str | ByKey) -> DataFrame | Dealt:
+        """A stored table or, for ``ByKey``, its copy in buckets."""
+        return self.by_key(source.name) if isinstance(source, ByKey) else self.table(source)
 
     def refresh(self, name: str) -> DataFrame:
         """Rebuild one table, check its key, then publish the new version.
@@ -91,9 +141,7 @@ class Warehouse:
         published version in place. Readers of the old version keep their files.
         """
         self._publish({f"raw_{raw}": self._load(raw) for raw in TABLES[name].raw})
-        path, schema = self._write(name)
-        self._check(name, path, schema)
-        self._publish({name: (path, schema)})
+        self._publish({name: self._checked(name)})
         return self.table(name)
 
     def build(self, *, check_keys: bool = True, together: int = 4) -> None:
@@ -104,12 +152,7 @@ class Warehouse:
         """
         self._versions.clear()
 
-        def rebuild(name: str) -> tuple[str, StructType]:
-            path, schema = self._write(name)
-            if check_keys:
-                self._check(name, path, schema)
-            return path, schema
-
+        rebuild = self._checked if check_keys else self._write
         with ThreadPoolExecutor(together) as writers:
             loaded = writers.map(self._load, RAW_COLUMNS)
             self._publish({f"raw_{n}": v for n, v in zip(RAW_COLUMNS, loaded, strict=True)})
@@ -126,25 +169,34 @@ class Warehouse:
             }
         )
 
-    def _load(self, name: str) -> tuple[str, StructType]:
+    def _load(self, name: str) -> Version:
         df = self._source(name)
-        path = f"{self.root}/raw/{name}/v{time.time_ns()}"
-        write_table(df, path)
-        return path, df.schema
+        version = Version(f"{self.root}/raw/{name}/v{time.time_ns()}", df.schema)
+        write_table(df, version.path)
+        return version
 
-    def _write(self, name: str) -> tuple[str, StructType]:
+    def _write(self, name: str) -> Version:
         df = self.derive(name)
-        path = f"{self.root}/{TABLES[name].layer}/{name}/v{time.time_ns()}"
-        write_table(df, path, LAYOUTS.get(name))
-        return path, df.schema
+        version = Version(f"{self.root}/{TABLES[name].layer}/{name}/v{time.time_ns()}", df.schema)
+        write_table(df, version.path, LAYOUTS.get(name))
+        if name not in BUCKETS:
+            return version
+        wide = write_buckets(
+            self._scan(version), version.copy, BUCKETS[name], self.buckets, self.wide_rows
+        )
+        return replace(version, buckets=self.buckets, wide=wide)
 
-    def _check(self, name: str, path: str, schema: StructType) -> None:
-        spec = TABLES[name]
+    def _checked(self, name: str) -> Version:
+        """A new version of the table, whose key holds."""
+        version, spec = self._write(name), TABLES[name]
         if spec.checked:
-            rebuilt = read_table(self.spark, path, schema)
-            require_key(name, rebuilt, spec.key, allow_null=spec.nulls_in_key)
+            require_key(name, self._scan(version), spec.key, allow_null=spec.nulls_in_key)
+        return version
+
+    def _scan(self, version: Version) -> DataFrame:
+        return read_table(self.spark, version.path, version.schema)
 
-    def _publish(self, versions: Mapping[str, tuple[str, StructType]]) -> None:
+    def _publish(self, versions: Mapping[str, Version]) -> None:
         # Appended, never overwritten: a reader sees the old or the new version.
         if not versions:
             return
@@ -153,10 +205,12 @@ class Warehouse:
             F.struct(
                 F.lit(name).alias("name"),
                 F.lit(now).alias("published"),
-                F.lit(path).alias("path"),
-                F.lit(schema.json()).alias("schema"),
+                F.lit(version.path).alias("path"),
+                F.lit(version.schema.json()).alias("schema"),
+                F.lit(version.buckets).alias("buckets"),
+                F.lit(version.wide).alias("wide"),
             )
-            for name, (path, schema) in versions.items()
+            for name, version in versions.items()
         ]
         log = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*entries)))
         log.write.mode("append").parquet(f"{self.root}/published")
@@ -165,17 +219,20 @@ class Warehouse:
     def _load_published(self) -> None:
         try:
             log = self.spark.read.schema(
-                "name string, published bigint, path string, schema string"
+                "name string, published bigint, path string, schema string, buckets int, wide boolean"
             ).parquet(f"{self.root}/published")
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
                 return
             raise
-        newest = log.groupBy("name").agg(F.max_by(F.struct("path", "schema"), "published").alias("v"))
+        entry = F.struct("path", "schema", "buckets", "wide")
+        newest = log.groupBy("name").agg(F.max_by(entry, "published").alias("v"))
         # One row per table of the warehouse.
         for row in newest.collect():
             schema = StructType.fromJson(json.loads(row["v"]["schema"]))
-            self._versions[row["name"]] = (row["v"]["path"], schema)
+            self._versions[row["name"]] = Version(
+                row["v"]["path"], schema, row["v"]["buckets"], row["v"]["wide"]
+            )
 
 
 def _staged(build: Callable[..., DataFrame], key: tuple[str, ...], *raw: str) -> Table:
@@ -183,9 +240,13 @@ def _staged(build: Callable[..., DataFrame], key: tuple[str, ...], *raw: str) ->
 
 
 def _stored(
-    layer: str, build: Callable[..., DataFrame], key: tuple[str, ...], *inputs: str, **options: bool
+    layer: str,
+    build: Callable[..., DataFrame],
+    key: tuple[str, ...],
+    *inputs: str | ByKey,
+    **options: bool,
 ) -> Table:
-    return Table(layer, lambda w: build(*[w.table(i) for i in inputs]), key, **options)
+    return Table(layer, lambda w: build(*[w.read(i) for i in inputs]), key, **options)
 
 
 _VIEW = {"nulls_in_key": True}  # unique, but NULL is allowed
@@ -209,42 +270,42 @@ TABLES: dict[str, Table] = {
         "intermediate",
         intermediate.orders_enriched,
         ("order_id",),
-        "stg_orders",
+        ByKey("stg_orders"),
         "stg_customers",
-        "stg_order_items",
-        "stg_order_payments",
-        "stg_order_reviews",
+        ByKey("stg_order_items"),
+        ByKey("stg_order_payments"),
+        ByKey("stg_order_reviews"),
     ),
     "int_seller_performance": _stored(
         "intermediate",
         intermediate.seller_performance,
         ("seller_id",),
         "stg_sellers",
-        "stg_order_items",
-        "int_orders_enriched",
+        ByKey("stg_order_items"),
+        ByKey("int_orders_enriched"),
     ),
     "int_product_performance": _stored(
         "intermediate",
         intermediate.product_performance,
         ("product_id",),
         "stg_products",
-        "stg_order_items",
-        "int_orders_enriched",
+        ByKey("stg_order_items"),
+        ByKey("int_orders_enriched"),
     ),
     "int_customer_history": _stored(
         "intermediate",
         intermediate.customer_history,
         ("customer_unique_id",),
-        "int_orders_enriched",
-        "stg_order_payments",
+        ByKey("int_orders_enriched"),
+        ByKey("stg_order_payments"),
     ),
     "int_seller_status_history": _stored(
         "intermediate",
         seller_history.seller_status_history,
         ("scd_id",),
         "stg_sellers",
-        "stg_order_items",
-        "stg_orders",
+        ByKey("stg_order_items"),
+        ByKey("stg_orders"),
     ),
     "mart_monthly_revenue": _stored(
         "mart", marts.monthly_revenue, ("month_start",), "int_orders_enriched", **_VIEW
@@ -256,9 +317,9 @@ TABLES: dict[str, Table] = {
         "mart",
         marts.product_category_analysis,
         ("product_category",),
-        "stg_order_items",
+        ByKey("stg_order_items"),
         "stg_products",
-        "int_orders_enriched",
+        ByKey("int_orders_enriched"),
         **_VIEW,
     ),
     "mart_seller_scorecard": _stored(

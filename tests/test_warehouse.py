@@ -103,19 +103,6 @@ def test_categories_are_not_copied_for_each_count(layers):
     assert "Expand" not in plan(layers.derive("mart_product_category_analysis"))
 
 
-@pytest.mark.parametrize("name", ["int_seller_performance", "int_product_performance"])
-def test_items_are_dealt_out_once_by_order(spark, layers, name):
-    items, enriched = layers.table("stg_order_items"), layers.table("int_orders_enriched")
-    party = "seller_id" if "seller" in name else "product_id"
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(intermediate._sales_profile(items, enriched, party))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert text.count("Exchange hashpartitioning") == 3
-
-
 def test_one_hot_order_seller_and_customer(spark, layers, tmp_path):
     """A third of all lines in one order and with one seller, broadcasts off."""
 
@@ -197,7 +184,7 @@ def test_plans_prune_push_and_limit(spark, layers):
 
     def report(name):
         build, tables, options = reports[name]
-        return plan(build(*[layers.table(t) for t in tables], **options))
+        return plan(build(*[layers.read(t) for t in tables], **options))
 
     assert "WindowGroupLimit" in report("q05_top_sellers_per_state")
     assert "TakeOrderedAndProject" in report("q06_repeat_order_gap")
