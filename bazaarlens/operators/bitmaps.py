@@ -1,33 +1,54 @@
 """Exact distinct counts from bitmaps of dense numbers.
 
-A set of ids becomes a few bitmaps of 32,768 bits each, which are united in every task
-before anything moves. What is shuffled depends on the numbers of groups and ids, not on
-the rows, and several counts of one input need neither a copy of its rows for each nor a
-second pass.
+A set of ids becomes a bitmap in words of 64 bits, one row each, which are united with
+``bit_or`` in every task before anything moves. What is shuffled depends on the numbers of
+groups and ids, not on the rows, and several counts of one input need neither a copy of its
+rows for each nor a second pass. Words of 64 bits keep the union inside a hash aggregate;
+the wide bitmaps of ``bitmap_construct_agg`` would sort all rows first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, IntegerType, LongType
+from pyspark.sql.types import DataType, LongType
 
 from bazaarlens.functions.ordering import rising
 from bazaarlens.operators.placement import row_numbers
 
+_WORD_BITS = 6  # 64 bits in a word
 
-def numbered_values(df: DataFrame, column: str, name: str) -> DataFrame:
-    """The different values of a column (NULL left out) with numbers from 1 in their order."""
-    values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    return row_numbers(values, [rising(column)], name)
 
+def numbered_lists(*lists: DataFrame) -> list[DataFrame]:
+    """Each list with a column ``_number``: dense numbers from 1 on, those of one list together.
+
+    A list has a column ``id``, whose values differ, and maybe ``near``: ids are numbered in
+    the order of ``near``, then ``id``, so those with one value of it share their words. All
+    lists are put in order by one job.
+    """
+    stacked = [
+        each.select(
+            F.lit(n).alias("_list"),
+            F.col("id").cast("string").alias("id"),
+            (F.col("near") if "near" in each.columns else F.lit(None)).cast("string").alias("near"),
+        )
+        for n, each in enumerate(lists)
+    ]
+    order = [rising("_list"), rising("near"), rising("id")]
+    numbers = row_numbers(reduce(DataFrame.unionByName, stacked), order, "_number")
+    return [
+        numbers.filter(F.col("_list") == n).select(
+            "id", *(["near"] if "near" in each.columns else []), "_number"
+        )
+        for n, each in enumerate(lists)
+    ]
 
-def _entry(kind: int, bucket: Column, bit: Column, sums: Sequence[Column]) -> Column:
-    return F.struct(
-        F.lit(kind).alias("_kind"), bucket.alias("_bucket"), bit.alias("_bit"), *sums
-    )
+
+def _entry(kind: int, word: Column, bits: Column, sums: Sequence[Column]) -> Column:
+    return F.struct(F.lit(kind).alias("_kind"), word.alias("_word"), bits.alias("_bits"), *sums)
 
 
 def sums_and_distinct(
@@ -36,9 +57,9 @@ def sums_and_distinct(
     """Per group: sums of columns, and how many different numbers its arrays hold.
 
     ``sums``: result name to column; ``sets``: result name to a column with an array of
-    numbers from 1 (no NULL inside). One row of a group gives one row of its sums and one for
-    each number, which are reduced to one row per bitmap before the shuffle. Numbers should
-    be dense, and close together where they share a group: a bitmap costs 4 KB.
+    numbers (not negative, no NULL inside). One row of a group gives one row of its sums and
+    one for each number, which are reduced to one row per word before the shuffle. Numbers
+    should be dense, and close together where they share a group.
     """
     types: dict[str, DataType] = {name: df.schema[column].dataType for name, column in sums.items()}
     none = [F.lit(None).cast(types[name]).alias(name) for name in sums]
@@ -48,23 +69,22 @@ def sums_and_distinct(
     def of_kind(kind: int) -> Callable[[Column], Column]:
         def entry(number: Column) -> Column:
             number = number.cast(LongType())
-            return _entry(kind, F.bitmap_bucket_number(number), F.bitmap_bit_position(number), none)
+            place = (number % (1 << _WORD_BITS)).cast("int")
+            bit = F.call_function("shiftleft", F.lit(1).cast(LongType()), place)
+            return _entry(kind, F.shiftright(number, _WORD_BITS), bit, none)
 
         return entry
 
     for kind, column in enumerate(sets.values(), 1):
         empty = F.array().cast(df.schema[column].dataType)
         entries.append(F.transform(F.coalesce(column, empty), of_kind(kind)))
-    per_bitmap = (
+    per_word = (
         df.select(group, F.inline(F.concat(*entries)))
-        .groupBy(group, F.col("_kind").cast(IntegerType()).alias("_kind"), "_bucket")
-        .agg(
-            *[F.sum(name).alias(name) for name in sums],
-            F.bitmap_count(F.bitmap_construct_agg("_bit")).alias("_bits"),
-        )
+        .groupBy(group, "_kind", "_word")
+        .agg(*[F.sum(name).alias(name) for name in sums], F.bit_or("_bits").alias("_bits"))
     )
     counts = [
-        F.coalesce(F.sum(F.when(F.col("_kind") == kind, F.col("_bits"))), F.lit(0)).alias(name)
+        F.coalesce(F.sum(F.when(F.col("_kind") == kind, F.bit_count("_bits"))), F.lit(0)).alias(name)
         for kind, name in enumerate(sets, 1)
     ]
-    return per_bitmap.groupBy(group).agg(*[F.sum(name).alias(name) for name in sums], *counts)
+    return per_word.groupBy(group).agg(*[F.sum(name).alias(name) for name in sums], *counts)

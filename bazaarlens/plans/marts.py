@@ -15,8 +15,8 @@ from bazaarlens.functions import (
     rounded_ratio,
     span_micros,
 )
-from bazaarlens.operators.bitmaps import numbered_values, sums_and_distinct
-from bazaarlens.operators.placement import SortKey, ntile_columns, row_numbers, with_rows_ahead
+from bazaarlens.operators.bitmaps import numbered_lists, sums_and_distinct
+from bazaarlens.operators.placement import SortKey, ntile_columns, with_rows_ahead
 from bazaarlens.sources.buckets import Dealt, dealt
 
 _MICROS = DecimalType(18, 0)
@@ -142,12 +142,15 @@ def product_category_analysis(
         "order_purchase_timestamp",
         "order_delivered_customer_date",
     )
-    kinds = row_numbers(
-        products.select("product_id", "product_category"),
-        [rising("product_category"), rising("product_id")],
-        "_product",
+    sold_by = dealt(items).rows().select(F.col("seller_id").alias("id"))
+    kinds, sellers = numbered_lists(
+        products.selectExpr("product_id AS id", "product_category AS near"),
+        sold_by.filter(F.col("id").isNotNull()).distinct(),
     )
-    sellers = numbered_values(dealt(items).rows(), "seller_id", "_seller")
+    kinds = kinds.withColumnsRenamed(
+        {"id": "product_id", "near": "product_category", "_number": "_product"}
+    )
+    sellers = sellers.withColumnsRenamed({"id": "seller_id", "_number": "_seller"})
 
     def lines(part: DataFrame) -> DataFrame:
         return (

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from bazaarlens.operators.bitmaps import numbered_values, sums_and_distinct
+from bazaarlens.operators.bitmaps import numbered_lists, sums_and_distinct
 from bazaarlens.plans import intermediate, marts
 from bazaarlens.plans.warehouse import TABLES, ByKey, Warehouse
 from bazaarlens.sources import buckets
@@ -210,9 +210,14 @@ def test_bitmaps_count_exactly(spark):
     assert {g: v[2] for g, v in found.items()} == {None: 0, "a": 10, "b": 0, "none": 0}
 
 
-def test_values_are_numbered_densely(spark):
-    df = spark.createDataFrame([("b",), (None,), ("a",), ("b",)], "v string")
-    assert sorted(map(tuple, numbered_values(df, "v", "n").collect())) == [("a", 1), ("b", 2)]
+def test_lists_are_numbered_densely(spark):
+    near = spark.createDataFrame([("b", "y"), ("a", "z"), ("c", "y"), ("d", None)], "id string, near string")
+    plain = spark.createDataFrame([("b",), ("a",)], "id string")
+    first, second = numbered_lists(near, plain)
+    assert sorted(map(tuple, first.select("id", "_number").collect())) == [
+        ("a", 3), ("b", 1), ("c", 2), ("d", 4)
+    ]
+    assert sorted(map(tuple, second.collect())) == [("a", 5), ("b", 6)]
 
 
 def test_categories_come_from_one_join(spark, layers):

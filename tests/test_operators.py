@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from decimal import Decimal
 from itertools import combinations
 
@@ -11,7 +11,7 @@ from bazaarlens.functions import rising
 from bazaarlens.operators.keys import KeyViolation, key_report, require_key
 from bazaarlens.operators.modal import aggregate_with_modes, ballot
 from bazaarlens.operators.numbering import number_within
-from bazaarlens.operators.pairs import top_shared_pairs
+from bazaarlens.operators.pairs import _met_by_rare_items, items_left_out, top_shared_pairs
 from bazaarlens.operators.placement import SortKey, ntile_columns, row_numbers, with_rows_ahead
 
 
@@ -130,6 +130,70 @@ def test_pairs_only_through_items_everyone_holds(spark):
     assert none.collect() == []
 
 
+def everyone_holds(people, sellers, extra, seed):
+    """``people`` held by all sellers, and ``extra`` others held by a few."""
+    rng = random.Random(seed)
+    links = {(f"s{i:03d}", f"all{j:03d}") for i in range(sellers) for j in range(people)}
+    links |= {(f"s{rng.randrange(sellers):03d}", f"c{rng.randrange(extra)}") for _ in range(8 * extra)}
+    return links
+
+
+def test_people_held_by_all_sellers_are_not_expanded(spark):
+    links = everyone_holds(600, 60, 400, 1)
+    df = spark.createDataFrame(sorted(links), "seller string, person string").repartition(4)
+    got = top_shared_pairs(df, "seller", "person", at_least=5, limit=15)
+    expected = brute_force_pairs(links, 5, 15)
+    assert [tuple(r) for r in got.collect()] == expected
+    assert expected[-1][2] > 600
+
+
+def test_rows_of_the_pair_join(spark):
+    """600 widely held items would make 600 x 1,770 rows; the rare ones make a few."""
+    links = everyone_holds(600, 60, 400, 1)
+    holders = Counter(item for _, item in links)
+    per_owner = defaultdict(list)
+    for owner, item in links:
+        per_owner[owner].append(item)
+    data = [
+        (int(owner[1:]), item, n)
+        for owner, items in per_owner.items()
+        for n, item in enumerate(sorted(items, key=lambda x: (-holders[x], x)))
+    ]
+    ranked = spark.createDataFrame(data, "_no long, person string, _from_end long")
+    left_out, tried = items_left_out(ranked, "person", 610)
+    rows = dict(tried)
+    assert rows[0] >= 600 * 60 * 59 // 2
+    assert left_out >= 600 and rows[left_out] < rows[0] / 20
+    assert rows[left_out] * 4 <= rows[609] * 5
+    # where no item is wide, nothing is left out and found counts are whole
+    flat = spark.createDataFrame(
+        [(o, f"c{o % 50}-{k}", k) for o in range(200) for k in range(100)],
+        "_no long, person string, _from_end long",
+    )
+    assert items_left_out(flat, "person", 3)[0] == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_left_out_items_are_counted_for_either_owner(spark, seed):
+    rng = random.Random(seed)
+    links = [
+        (o, f"c{int(rng.paretovariate(0.7)) % 90}") for o in range(40) for _ in range(rng.randrange(5, 60))
+    ]
+    links = sorted(set(links))
+    holders = Counter(item for _, item in links)
+    df = spark.createDataFrame(
+        [(o, i, holders[i]) for o, i in links if holders[i] > 1], "_no long, person string, _holders long"
+    )
+    for bound in (2, 6, 11):
+        got = {
+            (r["first"], r["second"]): r["shared"]
+            for r in _met_by_rare_items(df, "person", bound).filter(F.col("shared") >= bound).collect()
+        }
+        named = [(f"{o:03d}", i) for o, i in links]
+        expected = brute_force_pairs(named, bound, 10**6)
+        assert got == {(int(a), int(b)): n for a, b, n in expected}
+
+
 def test_three_sellers_of_one_person_make_three_pairs(spark):
     df = spark.createDataFrame([(s, "p") for s in "cab"], "seller string, person string")
     got = top_shared_pairs(df, "seller", "person", at_least=1, limit=15).collect()
