@@ -18,9 +18,10 @@ letter-group counts stay distributed.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from heapq import nlargest
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,11 @@ BROADCAST_TEXTS = 200_000
 #: Labels are looked up by broadcast up to so many rows, by a shuffled join beyond.
 BROADCAST_LABELS = 2_000_000
 THRESHOLD = 0.3
-#: Letters of a word beyond which its groups are counted but not more of them kept.
 _WORDS = re.compile(r"[^\W_]+").findall
-#: Word counts a task holds before it passes them on.
-_HELD = 120_000
+#: Words a task holds before it passes their counts on; letters of words before it forgets them.
+_HELD, _LETTERS = 120_000, 3_000_000
+#: Different words, text by text, that are looked up at once.
+_AT_ONCE = 100_000
 _START, _END = "\x02", "\x03"
 
 
@@ -52,7 +54,7 @@ _START, _END = "\x02", "\x03"
 class Model:
     """Differences of log-likelihood of the held letter groups, and the calibration's weights.
 
-    ``keys``: sorted digests of the groups; ``rest``: key and value of all other groups,
+    ``keys``: sorted digests of the groups; ``rest``: text and value of all other groups,
     None if there are none.
     """
 
@@ -196,7 +198,7 @@ def _values(likely: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame | None
     """Digests and differences, twice, of the held groups; the other groups as a table."""
     whole = [F.round((F.col(f"t{i}") - F.col(f"o{i}")) * _VALUE).cast("int").alias(f"v{i}") for i in (0, 1)]
     level = F.length(F.bin("n")).alias("level")
-    rows = stored(likely.select(F.xxhash64("gram").alias("key"), *whole, level))
+    rows = stored(likely.select("gram", *whole, level))
     # whole levels of frequency, from the top, as far as they fit
     held, least = 0, 65
     for found, count in sorted(map(tuple, rows.groupBy("level").count().collect()), reverse=True):
@@ -204,82 +206,126 @@ def _values(likely: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame | None
         if held > HELD_GROUPS:
             break
         least = found
-    taken = rows.where(F.col("level") >= least).select("key", "v0", "v1").toArrow()
-    keys = taken.column("key").to_numpy()
+    taken = rows.where(F.col("level") >= least).select("gram", "v0", "v1").toArrow()
+    keys = _digests(taken.column("gram").to_pylist())
     order = np.argsort(keys)
     values = np.stack([taken.column(f"v{i}").to_numpy()[order] for i in (0, 1)])
     return keys[order], values, rows.where(F.col("level") < least) if held > HELD_GROUPS else None
 
 
 _FEATURES = [StructField(f"__f{i}", DoubleType()) for i in range(5)]
+#: Odd multipliers of the letters of a group.
+_MIX = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % 2**64 | 1 for i in range(ORDER)], np.uint64)
 
 
-def _speller(keys: np.ndarray, values: np.ndarray) -> Callable[[str], tuple[int, list[int]]]:
-    """A function from a word to the sum of its held groups and the digests of its other ones."""
-    from xxhash import xxh64_intdigest
+def _windows(text: str) -> np.ndarray:
+    """64-bit digests of the ``ORDER`` letters that start at each place of a text."""
+    letters = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64) + np.uint64(1)
+    places = max(len(letters) - ORDER + 1, 0)
+    mixed = np.zeros(places, np.uint64)
+    for i in range(ORDER):
+        mixed = (mixed ^ (mixed >> np.uint64(29))) + letters[i : i + places] * _MIX[i]
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return mixed ^ (mixed >> np.uint64(32))
 
-    def spell(word: str) -> tuple[int, list[int]]:
-        padded = _START * (ORDER - 1) + word + _END
-        digests = np.array(
-            [xxh64_intdigest(padded[i : i + ORDER].encode(), 42) for i in range(len(word) + 1)], np.uint64
-        ).view(np.int64)
-        if not len(keys):
-            return 0, digests.tolist()
-        at = np.minimum(np.searchsorted(keys, digests), len(keys) - 1)
-        known = keys[at] == digests
-        return int(values[at[known]].sum(dtype=np.int64)), digests[~known].tolist()
 
-    return spell
+def _digests(groups: list[str]) -> np.ndarray:
+    """Digests of groups of exactly ``ORDER`` letters."""
+    return _windows("".join(groups))[::ORDER]
 
 
-class _Memory(dict):
-    """What a function says of words, remembered up to a fixed number of short words."""
+def _speller(keys: np.ndarray, values: np.ndarray) -> Callable[[list[str]], tuple[list[int], dict]]:
+    """A function from words to the sums of their held groups, and the others of words with some.
 
-    def __init__(self, of: Callable[[str], object]):
-        self.of = of
+    The groups of all words are looked up together: first by the digest's leading bits,
+    then by comparing the few keys that share them.
+    """
+    bits = max(len(keys).bit_length(), 1)
+    shift, last = np.uint64(64 - bits), max(len(keys) - 1, 0)
+    starts = np.searchsorted(keys >> shift, np.arange((1 << bits) + 1, dtype=np.uint64))
+    steps = int(np.diff(starts).max())
 
-    def __missing__(self, word: str) -> object:
-        value = self.of(word)
-        if len(word) <= 64:
-            if len(self) >= _HELD:
-                self.clear()
-            self[word] = value
-        return value
+    def spell(words: list[str]) -> tuple[list[int], dict[str, list[str]]]:
+        if not words:
+            return [], {}
+        text = "".join([_START * (ORDER - 1) + word + _END for word in words])
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1  # groups of a word
+        # a padded word has ORDER - 1 places more than groups
+        at = np.arange(sizes.sum()) + np.repeat(np.arange(len(words)) * (ORDER - 1), sizes)
+        digests = _windows(text)[at]
+        place = starts[(digests >> shift).astype(np.int64)]
+        value, known, left = np.zeros(len(at), np.int64), np.zeros(len(at), bool), np.arange(len(at))
+        for step in range(steps):
+            here = np.minimum(place[left] + step, last)
+            hit = keys[here] == digests[left]
+            value[left[hit]], known[left[hit]] = values[here[hit]], True
+            left = left[keys[here] < digests[left]]
+        sums = np.add.reduceat(value, np.cumsum(sizes) - sizes).tolist()
+        of, missing = np.repeat(np.arange(len(words)), sizes), defaultdict(list)
+        for i in np.flatnonzero(~known).tolist():
+            missing[words[of[i]]].append(text[at[i] : at[i] + ORDER])
+        return sums, missing
 
+    return spell
 
-def _described(keys: np.ndarray, values: np.ndarray, partial: bool) -> Callable[..., list[float]]:
-    """A function from a text to its length-normalised differences.
 
-    ``partial``: words with groups that are not held come as a second argument, summed.
-    Otherwise such groups, which the corpus did not have, count 0.
+class _Memory(dict):
+    """The sums of words that were met, up to a fixed number of letters."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, partial: bool):
+        self.spell, self.partial, self.size = _speller(keys, values), partial, 0
+        #: Groups not held of words that have some, where these are looked up elsewhere.
+        self.missing: dict[str, list[str]] = {}
+
+    def learn(self, counts: list[Counter]) -> None:
+        """Look up the words of texts that are not known yet, all at once."""
+        if self.size >= _LETTERS:
+            self.clear()
+            self.missing.clear()
+            self.size = 0
+        new = list({word for words in counts for word in words if word not in self})
+        sums, missing = self.spell(new)
+        self.update(zip(new, sums, strict=True))
+        self.size += sum(map(len, new))
+        if self.partial:
+            self.missing.update(missing)
+
+
+def _counted(texts: list[str]) -> Iterator[list[Counter]]:
+    """The words of texts with their numbers, for so many texts at once as are short."""
+    held: list[Counter] = []
+    size = 0
+    for text in texts:
+        held.append(Counter(_WORDS(text.lower())))
+        size += len(held[-1])
+        if size >= _AT_ONCE:
+            yield held
+            held, size = [], 0
+    yield held
+
+
+def _describe(words: Counter, of: _Memory, more: dict | None = None) -> list[float]:
+    """Length-normalised differences of a text with these words.
+
+    ``more``: sums of those words that have groups which are not held.
     """
-    spell = _speller(keys, values)
-
-    def worth_of(word: str) -> int | None:
-        value, missing = spell(word)
-        return None if partial and missing else value
-
-    of = _Memory(worth_of).__getitem__
-
-    def describe(text: str, more: dict | None = None) -> list[float]:
-        words = Counter(_WORDS(text.lower()))
-        if not words:
-            return [0.0] * 5
-        total, letters, ratio, best = 0, 0, float("-inf"), []
-        if more is not None:
-            total, ratio, best = more["total"], more["ratio"], list(more["best"])
-        for word, n in words.items():
-            worth, size = of(word), len(word) + 1
-            letters += n * size
-            if worth is not None:
-                total += n * worth
-                ratio = max(ratio, worth / size)
-                best.append(worth)
-        # most telling of the different words: their sum per letter, bounded
-        three = [*sorted(best, reverse=True)[:3], 0, 0, 0][:3]
-        return [x / _VALUE for x in (total / letters, ratio, *three)]
-
-    return describe
+    if not words:
+        return [0.0] * 5
+    total, letters, ratio, best = 0, 0, float("-inf"), []
+    if more is not None:
+        total, ratio, best = more["total"], more["ratio"], list(more["best"])
+    for word, n in words.items():
+        size = len(word) + 1
+        letters += n * size
+        if word not in of.missing:
+            worth = of[word]
+            total += n * worth
+            if worth > ratio * size:
+                ratio = worth / size
+            best.append(worth)
+    # most telling of the different words: their sum per letter, bounded
+    three = [*nlargest(3, best), 0, 0, 0][:3]
+    return [x / _VALUE for x in (total / letters, ratio, *three)]
 
 
 def _more(df: DataFrame, keys: np.ndarray, values: np.ndarray, rest: DataFrame) -> DataFrame:
@@ -287,29 +333,32 @@ def _more(df: DataFrame, keys: np.ndarray, values: np.ndarray, rest: DataFrame)
     shared = df.sparkSession.sparkContext.broadcast((keys, values))
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spelt = _Memory(_speller(*shared.value))
+        memory = _Memory(*shared.value, True)
         for batch in sliced(batches):
-            rows = [
-                (digest, word, n, *spelt[word])
-                for digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                for word, n in Counter(_WORDS(text.lower())).items()
-                if spelt[word][1]
-            ]
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                names=["__digest", "word", "n", "held", "groups"],
-            )
+            digests = iter(batch.column(0).to_pylist())
+            for counts in _counted(batch.column(1).to_pylist()):
+                memory.learn(counts)
+                rows = [
+                    (digest, word, n, memory[word], memory.missing[word])
+                    for words, digest in zip(counts, digests, strict=False)
+                    for word, n in words.items()
+                    if word in memory.missing
+                ]
+                columns = list(zip(*rows, strict=True)) or [[]] * 5
+                types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+                    names=["__digest", "word", "n", "held", "groups"],
+                )
 
     found = stored(
         df.select(F.xxhash64(filled()).alias("__digest"), filled().alias("text"))
-        .mapInArrow(emitted, "__digest long, word string, n long, held long, groups array<long>")
+        .mapInArrow(emitted, "__digest long, word string, n long, held long, groups array<string>")
         .dropDuplicates(["__digest", "word"])
     )
-    spelt = found.dropDuplicates(["word"]).select("word", "held", F.explode("groups").alias("key"))
+    spelt = found.dropDuplicates(["word"]).select("word", "held", F.explode("groups").alias("gram"))
     worth = stored(
-        spelt.join(rest, "key", "left")
+        spelt.join(rest, "gram", "left")
         .groupBy("word")
         .agg((F.max("held") + F.sum(F.coalesce("value", F.lit(0)))).alias("worth"))
     )
@@ -330,7 +379,7 @@ def _more(df: DataFrame, keys: np.ndarray, values: np.ndarray, rest: DataFrame)
 def _features(
     df: DataFrame, keys: np.ndarray, values: np.ndarray, rest: DataFrame | None, keep: list[str]
 ) -> DataFrame:
-    """``df`` with features; ``rest``: key and value of the groups not held."""
+    """``df`` with features; ``rest``: letter groups and values that are not held."""
     shared = df.sparkSession.sparkContext.broadcast((keys, values))
     partial, inputs = rest is not None, [filled()]
     if partial:
@@ -339,10 +388,16 @@ def _features(
         inputs.append(F.col("__more"))
 
     def make() -> Callable[..., list]:
-        describe = _described(*shared.value, partial)
-        return lambda texts, *more: (
-            [list(x) for x in zip(*map(describe, texts, *more))] if texts else [[]] * 5
-        )
+        memory = _Memory(*shared.value, partial)
+
+        def work(texts: list, added: list | None = None) -> list:
+            rows, given = [], iter(added or [None] * len(texts))
+            for counts in _counted(texts):
+                memory.learn(counts)
+                rows += [_describe(words, memory, more) for words, more in zip(counts, given, strict=False)]
+            return [list(x) for x in zip(*rows, strict=True)] if rows else [[]] * 5
+
+        return work
 
     return append_columns(df, inputs, _FEATURES, make, keep)
 
@@ -413,7 +468,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     words = words.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", "n1", "n2", "n3", "n4")])
     grams = stored(_spelt(words))
     keys, differences, others = _values(_smoothed(grams))
-    rest = [None if others is None else others.select("key", F.col(f"v{i}").alias("value")) for i in (0, 1)]
+    rest = [None if others is None else others.select("gram", F.col(f"v{i}").alias("value")) for i in (0, 1)]
     # calibration on rows that the first pair of models has not counted
     described = stored(_features(given.where("kind >= 3"), keys, differences[0], rest[0], ["kind"]))
     return Model(keys, differences[1], rest[1], _calibrated(described))

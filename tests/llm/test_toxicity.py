@@ -3,7 +3,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import toxicity
@@ -121,9 +120,14 @@ def test_share_of_toxic_rows_is_kept_at_any_size(spark):
 def test_telling_words_are_found_beside_a_very_frequent_one():
     padded = [toxicity._START * 4 + w + toxicity._END for w in ("idiot", "moron", "stupid")]
     grams = {w[i : i + 5] for w in padded for i in range(len(w) - 4)}
-    digests = np.array([xxhash.xxh64_intdigest(g.encode(), 42) for g in grams], np.uint64).view(np.int64)
-    keys = np.sort(digests)
-    describe = toxicity._described(keys, np.arange(1, len(keys) + 1), False)
+    keys = np.sort(toxicity._digests(sorted(grams)))
+    memory = toxicity._Memory(keys, np.arange(1, len(keys) + 1), False)
+
+    def describe(text):
+        (words,), = toxicity._counted([text])
+        memory.learn([words])
+        return toxicity._describe(words, memory)
+
     few, many = describe("idiot moron stupid"), describe("idiot moron stupid" + " idiot moron stupid" * 100)
     assert few[2:] == many[2:] and few[3] != 0 and few[4] != 0
 
@@ -140,3 +144,25 @@ def test_scores_do_not_depend_on_how_many_groups_are_held(spark, monkeypatch):
         assert len(model.keys) <= held and (model.rest is None) == (held > 30)
         scores.append(sorted(map(tuple, toxicity.score(docs, model, ["doc_id"]).collect())))
     assert len(scores[0]) == 300 and scores[0] == scores[1]
+
+
+def test_spelling_of_many_words_at_once():
+    """Sums and missing groups of words looked up together, against one group at a time."""
+    rng = np.random.default_rng(2)
+    words = sorted({"".join(rng.choice(list("abcé中"), rng.integers(1, 9))) for _ in range(3000)})
+    padded = {w: toxicity._START * 4 + w + toxicity._END for w in words}
+    groups = {w: [p[i : i + 5] for i in range(len(w) + 1)] for w, p in padded.items()}
+    every = sorted({g for found in groups.values() for g in found})
+    held = [g for g in every if rng.random() < 0.8]
+    order = np.argsort(toxicity._digests(held))
+    values = rng.integers(-9000, 9000, len(held)).astype(np.int32)
+    worth = dict(zip([held[i] for i in order], values.tolist()))
+    assert len(set(toxicity._digests(every).tolist())) == len(every)
+    sums, missing = toxicity._speller(toxicity._digests(held)[order], values)(words)
+    assert sums == [sum(worth.get(g, 0) for g in groups[w]) for w in words]
+    assert missing == {
+        w: [g for g in found if g not in worth] for w, found in groups.items() if not worth.keys() >= set(found)
+    }
+    none = toxicity._speller(np.zeros(0, np.uint64), np.zeros(0, np.int32))(words[:2])
+    assert none[0] == [0, 0] and list(none[1]) == words[:2]
+    assert toxicity._speller(np.zeros(0, np.uint64), np.zeros(0, np.int32))([]) == ([], {})
