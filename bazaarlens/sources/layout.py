@@ -2,9 +2,9 @@
 
 The secondary indexes of a row store become file layout: rows are ordered on the
 columns filters use, so Parquet row-group statistics exclude most of a table, and
-optionally partitioned into folders. Columns looked up by single values that are all
-over the files get Bloom filters. Items keep their arrival order: it groups the lines
-of an order, which per-order totals profit from more.
+optionally partitioned into folders. Where several columns are looked up, rows follow a
+curve through all of them. Columns looked up by single values that are all over the files
+get Bloom filters. Jobs that go by order read the copies in buckets instead.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from bazaarlens.functions import rising
+from bazaarlens.operators.curve import curve_position, rank_bounds
+from bazaarlens.operators.scratch import release, stored
 
 
 @dataclass(frozen=True)
@@ -25,13 +27,15 @@ class Layout:
     With ``spread`` each file holds one range of the order, at the price of a
     shuffle; ``unique`` then ends the order so that a very frequent value of the
     leading columns still spreads over many files. Without it every task sorts
-    what it writes.
+    what it writes. ``curve`` expressions come after the folders and before the order, all
+    of them with equal weight.
     """
 
-    order: tuple[str, ...]
-    unique: str | None = None
+    order: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
     spread: bool = False
     folders: tuple[str, ...] = ()
+    curve: tuple[str, ...] = ()
     bloom: tuple[str, ...] = ()
 
 
@@ -39,19 +43,21 @@ LAYOUTS = {
     # Narrow and looked up by time: worth a shuffle.
     "stg_orders": Layout(
         order=("order_purchase_timestamp",),
-        unique="order_id",
+        unique=("order_id",),
         spread=True,
-        bloom=("customer_id", "order_status"),
+        bloom=("customer_id",),
+    ),
+    "stg_order_items": Layout(
+        curve=("product_id", "seller_id"), unique=("order_id", "order_item_id"), spread=True
     ),
-    "stg_order_items": Layout(order=(), bloom=("product_id", "seller_id")),
     "stg_order_payments": Layout(order=("payment_type",)),
     "stg_order_reviews": Layout(order=("review_score",)),
     # Monthly folders, so that a range of dates opens only its months.
     "int_orders_enriched": Layout(
-        order=("delivery_status", "customer_state", "order_date"),
-        unique="order_id",
-        spread=True,
         folders=("order_year", "order_month"),
+        curve=("customer_state", "date_format(order_date, 'dd')"),
+        unique=("order_id",),
+        spread=True,
     ),
     "int_seller_status_history": Layout(order=("seller_id", "valid_from")),
 }
@@ -63,12 +69,22 @@ def write_table(df: DataFrame, path: str, layout: Layout | None = None) -> None:
         df.write.parquet(path)
         return
     filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in layout.bloom}
-    columns = (*layout.folders, *layout.order, *([layout.unique] if layout.unique else []))
-    order = [rising(c) for c in columns]
-    placed = df.repartitionByRange(*order) if layout.spread else df
+    place: tuple[str, ...] = ()
+    if layout.curve:
+        place = ("_place",)
+        df = stored(df)  # read twice: for the bounds and to be dealt out
+        bounds = rank_bounds(df, layout.curve)
+        placed = df.withColumn("_place", curve_position(layout.curve, bounds))
+    else:
+        placed = df
+    order = [rising(c) for c in (*layout.folders, *place, *layout.order, *layout.unique)]
+    if layout.spread:
+        placed = placed.repartitionByRange(*order)
     if order:
         placed = placed.sortWithinPartitions(*order)
-    placed.write.options(**filters).partitionBy(*layout.folders).parquet(path)
+    placed.drop(*place).write.options(**filters).partitionBy(*layout.folders).parquet(path)
+    if layout.curve:
+        release(df)
 
 
 def read_table(

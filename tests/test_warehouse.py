@@ -204,5 +204,6 @@ def test_plans_prune_push_and_limit(spark, layers):
 def test_layouts_name_real_columns(layers):
     for name, layout in LAYOUTS.items():
         columns = set(layers.table(name).columns)
-        assert {*layout.order, *layout.folders, *layout.bloom} <= columns
-        assert layout.unique is None or layout.unique in columns
+        used = (layout.order, layout.folders, layout.unique, layout.bloom)
+        assert {column for part in used for column in part} <= columns
+        layers.table(name).selectExpr(*layout.curve)
