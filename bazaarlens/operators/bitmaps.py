@@ -47,6 +47,14 @@ def numbered_lists(*lists: DataFrame) -> list[DataFrame]:
     ]
 
 
+def word_and_bit(number: Column) -> tuple[Column, Column]:
+    """The word of a bitmap that holds a number (not negative), and its bit there."""
+    number = number.cast(LongType())
+    place = (number % (1 << _WORD_BITS)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast(LongType()), place)
+    return F.shiftright(number, _WORD_BITS), bit
+
+
 def _entry(kind: int, word: Column, bits: Column, sums: Sequence[Column]) -> Column:
     return F.struct(F.lit(kind).alias("_kind"), word.alias("_word"), bits.alias("_bits"), *sums)
 
@@ -68,10 +76,7 @@ def sums_and_distinct(
 
     def of_kind(kind: int) -> Callable[[Column], Column]:
         def entry(number: Column) -> Column:
-            number = number.cast(LongType())
-            place = (number % (1 << _WORD_BITS)).cast("int")
-            bit = F.call_function("shiftleft", F.lit(1).cast(LongType()), place)
-            return _entry(kind, F.shiftright(number, _WORD_BITS), bit, none)
+            return _entry(kind, *word_and_bit(number), none)
 
         return entry
 

@@ -15,7 +15,6 @@ from pyspark.sql.types import DecimalType
 
 from bazaarlens.functions import (
     falling,
-    month_start,
     percentage,
     quarter_start,
     rising,
@@ -24,6 +23,7 @@ from bazaarlens.functions import (
     weekday_number,
 )
 from bazaarlens.operators.calendar import days_between
+from bazaarlens.operators.months import ActiveMonths, active_months
 from bazaarlens.operators.pairs import top_shared_pairs
 from bazaarlens.plans.marts import delivery_micros, mean_days, mean_of, share_where
 from bazaarlens.sources.buckets import Dealt, dealt
@@ -203,34 +203,21 @@ def delivery_by_weekday(enriched: DataFrame) -> DataFrame:
     )
 
 
-def _active_months(enriched: DataFrame) -> DataFrame:
-    """One row per person and month with orders, plus the person's first month.
-
-    Orders are reduced to (person, month) first, so the window holds at most one
-    row per calendar month.
-    """
-    visits = (
-        enriched.filter(F.col("customer_unique_id").isNotNull())
-        .select(
-            "customer_unique_id",
-            month_start(F.col("order_purchase_timestamp")).alias("month"),
-        )
-        .distinct()
-    )
-    return visits.withColumn(
-        "first_month", F.min("month").over(Window.partitionBy("customer_unique_id"))
-    )
+def _active_months(enriched: DataFrame) -> ActiveMonths:
+    """The months with orders of each person, one bit each."""
+    known = enriched.filter(F.col("customer_unique_id").isNotNull())
+    return active_months(known, "customer_unique_id", "order_purchase_timestamp")
 
 
 def cohort_retention(enriched: DataFrame) -> DataFrame:
     """Persons per first-purchase month who order again some months later."""
-    month, first = F.col("month"), F.col("first_month")
-    offset = (F.year(month) - F.year(first)) * 12 + F.month(month) - F.month(first)
+    active = _active_months(enriched)
+    again = [active.has(F.col("_first") + n).alias(f"_after_{n}") for n in COHORT_OFFSETS]
     return (
-        _active_months(enriched)
-        .select(first.alias("cohort_month"), offset.alias("_offset"))
-        .groupBy("cohort_month")
-        .agg(*[F.count_if(F.col("_offset") == n).alias(f"month_{n}") for n in COHORT_OFFSETS])
+        active.rows.withColumn("_first", active.first())
+        .select("_first", *again)
+        .groupBy(active.start(F.col("_first")).alias("cohort_month"))
+        .agg(*[F.count_if(f"_after_{n}").alias(f"month_{n}") for n in COHORT_OFFSETS])
         .orderBy(rising("cohort_month"))
     )
 
@@ -446,10 +433,11 @@ def shared_customer_pairs(
 
 def new_vs_returning(enriched: DataFrame) -> DataFrame:
     """Persons ordering per month, split into first-time and returning ones."""
-    month, first = F.col("month"), F.col("first_month")
+    active = _active_months(enriched)
+    month, first = F.col("_month"), F.col("_first")
     return (
-        _active_months(enriched)
-        .groupBy("month")
+        active.rows.select(active.first().alias("_first"), F.explode(active.all()).alias("_month"))
+        .groupBy(active.start(month).alias("month"))
         .agg(
             F.count(F.lit(1)).alias("total_customers"),
             F.count_if(first == month).alias("new_customers"),

@@ -9,7 +9,6 @@ from pyspark.sql.types import DecimalType
 from bazaarlens.functions import (
     MICROS_PER_DAY,
     falling,
-    month_start,
     percentage,
     rising,
     rounded_ratio,
@@ -17,6 +16,7 @@ from bazaarlens.functions import (
 )
 from bazaarlens.operators.bitmaps import numbered_lists, sums_and_distinct
 from bazaarlens.operators.placement import SortKey, ntile_columns, with_rows_ahead
+from bazaarlens.plans import monthly
 from bazaarlens.sources.buckets import Dealt, dealt
 
 _MICROS = DecimalType(18, 0)
@@ -46,85 +46,14 @@ def share_where(condition: Column) -> Column:
     return percentage(F.count_if(condition), F.count(F.lit(1)))
 
 
-def _order_metrics(orders: DataFrame, keys: list[str], value: str, *extra: Column) -> DataFrame:
-    """Delivered orders per ``keys``: volume, persons, value, review and delivery.
-
-    Persons are counted apart from the rest: the other measures shrink to one row
-    per group before they are shuffled, and only (keys, person) pairs have to
-    move for the exact count.
-    """
-    delivered = orders.filter(F.col("order_status") == "delivered")
-    amount = F.col("total_order_value")
-    measures = delivered.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        F.sum(amount).alias(value),
-        mean_of(amount, scale=2).alias("avg_order_value"),
-        mean_of(F.col("review_score")).alias("avg_review_score"),
-        mean_days(delivery_micros()).alias("avg_delivery_days"),
-        share_where(F.col("delivery_status") == "late").alias("late_delivery_pct"),
-        *extra,
-    )
-    people = (
-        delivered.select(*keys, "customer_unique_id")
-        .distinct()
-        .groupBy(*[F.col(key).alias(f"_{key}") for key in keys])
-        .agg(F.count("customer_unique_id").alias("unique_customers"))
-    )
-    same_group = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
-    return measures.join(people, same_group)
-
-
 def monthly_revenue(enriched: DataFrame) -> DataFrame:
-    """Delivered orders per purchase month: volume, value, freight, quality."""
-    return (
-        _order_metrics(
-            enriched.withColumn("month_start", month_start(F.col("order_purchase_timestamp"))),
-            ["order_year", "order_month", "month_start"],
-            "gmv",
-            F.sum("total_freight").alias("total_freight_revenue"),
-        )
-        .select(
-            "order_year",
-            "order_month",
-            "month_start",
-            "total_orders",
-            "unique_customers",
-            "gmv",
-            "avg_order_value",
-            "total_freight_revenue",
-            "avg_review_score",
-            "avg_delivery_days",
-            "late_delivery_pct",
-        )
-        .orderBy(rising("month_start"))
-    )
+    """Delivered orders per purchase month, from all orders; see ``monthly``."""
+    return monthly.monthly_revenue(*monthly.states_of(enriched))
 
 
 def state_performance(enriched: DataFrame) -> DataFrame:
-    """Delivered orders per customer state.
-
-    Low reviews are a share of all delivered orders, reviewed or not.
-    """
-    return (
-        _order_metrics(
-            enriched,
-            ["customer_state"],
-            "total_revenue",
-            share_where(F.col("review_score") <= 2).alias("low_review_pct"),
-        )
-        .select(
-            "customer_state",
-            "total_orders",
-            "unique_customers",
-            "total_revenue",
-            "avg_order_value",
-            "avg_review_score",
-            "avg_delivery_days",
-            "late_delivery_pct",
-            "low_review_pct",
-        )
-        .orderBy(falling("total_revenue"))
-    )
+    """Delivered orders per customer state, from all orders; see ``monthly``."""
+    return monthly.state_performance(*monthly.states_of(enriched))
 
 
 def product_category_analysis(

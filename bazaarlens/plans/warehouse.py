@@ -10,17 +10,22 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Mapping
+from collections import defaultdict
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
+from functools import reduce
+from threading import RLock
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from bazaarlens.operators.bitmaps import numbered_lists
 from bazaarlens.operators.keys import key_reports, require_key
-from bazaarlens.plans import intermediate, marts, seller_history, staging
+from bazaarlens.operators.scratch import release, stored
+from bazaarlens.plans import intermediate, marts, monthly, seller_history, staging
 from bazaarlens.schemas import RAW_COLUMNS
 from bazaarlens.sources.buckets import BUCKETS, WIDE_ROWS, Dealt, read_buckets, write_buckets
 from bazaarlens.sources.layout import LAYOUTS, read_table, write_table
@@ -48,6 +53,8 @@ class Version:
     buckets: int = 0
     #: The copy has very frequent keys apart from its buckets.
     wide: bool = False
+    #: Named parts of the table with a few facts each: its months and their digests, or files.
+    parts: Mapping[str, list] = field(default_factory=dict)
 
     @property
     def copy(self) -> str:
@@ -84,6 +91,7 @@ class Warehouse:
         self.wide_rows = wide_rows
         self._source = raw
         self._versions: dict[str, Version] = {}
+        self._one_at_a_time = RLock()
 
     @classmethod
     def reopen(
@@ -159,6 +167,68 @@ class Warehouse:
             for step in BUILD_STEPS:
                 self._publish(dict(zip(step, writers.map(rebuild, step), strict=True)))
 
+    def month_states(self) -> tuple[DataFrame, DataFrame]:
+        """Sums and persons of each month of the enriched orders, as ``monthly`` merges them.
+
+        States are stored. Only months whose orders differ from those that the stored states
+        were made of are read and summed up again.
+        """
+        with self._one_at_a_time:
+            enriched = self.table(_MONTHLY)
+            digests = self._versions[_MONTHLY].parts
+            before = self._versions.get(_STATES, Version("", StructType())).parts
+            changed = [m for m, told in digests.items() if before.get(m, [None])[:1] != told[:1]]
+            if changed or len(digests) != len(before):
+                path = f"{self.root}/state/months/v{time.time_ns()}"
+                if changed:
+                    some = len(changed) < len(digests)
+                    self._sum_up(enriched.filter(_in_months(changed)) if some else enriched, path)
+                parts = {
+                    m: [*told[:1], path if m in changed else before[m][1]]
+                    for m, told in digests.items()
+                }
+                self._publish({_STATES: Version(path, StructType(), parts=parts)})
+            return self._state("sums"), self._state("words")
+
+    def _sum_up(self, enriched: DataFrame, path: str) -> None:
+        people = stored(monthly.month_people(enriched))
+        numbers = self._person_numbers(people.select(F.col(monthly.PERSON).alias("id")).distinct())
+        for name, states in (
+            ("sums", monthly.month_sums(enriched)),
+            ("words", monthly.month_words(people, numbers)),
+        ):
+            states.write.partitionBy(*monthly.MONTH).parquet(f"{path}/{name}")
+        release(people)
+
+    def _state(self, kind: str) -> DataFrame:
+        """The stored states of all months; each path has those that were written together."""
+        by_path: dict[str, list[str]] = defaultdict(list)
+        for month, (_, path) in self._versions[_STATES].parts.items():
+            by_path[path].append(month)
+        reader = self.spark.read.schema(monthly.STATES[kind])
+        if not by_path:
+            return self.spark.createDataFrame([], monthly.STATES[kind])
+        parts = [
+            reader.parquet(f"{path}/{kind}").filter(_in_months(months))
+            for path, months in by_path.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    def _person_numbers(self, ids: DataFrame) -> DataFrame:
+        """Numbers of all persons met so far; persons not met before get the next ones."""
+        known = self._versions.get(_PERSONS, Version("", StructType()))
+        reader = self.spark.read.schema("id string, _number bigint")
+        new = ids
+        if known.parts:
+            new = ids.join(reader.parquet(*known.parts), "id", "left_anti")
+        (numbered,) = numbered_lists(new)
+        met = sum(count for (count,) in known.parts.values())
+        path = f"{self.root}/state/persons/v{time.time_ns()}"
+        numbered.select("id", (F.col("_number") + met).alias("_number")).write.parquet(path)
+        parts = {**known.parts, path: [reader.parquet(path).count()]}
+        self._publish({_PERSONS: Version(path, StructType(), parts=parts)})
+        return reader.parquet(*parts)
+
     def key_report(self, layers: tuple[str, ...]) -> DataFrame:
         """Key violations of every checked table in the given layers."""
         return key_reports(
@@ -179,6 +249,8 @@ class Warehouse:
         df = self.derive(name)
         version = Version(f"{self.root}/{TABLES[name].layer}/{name}/v{time.time_ns()}", df.schema)
         write_table(df, version.path, LAYOUTS.get(name))
+        if name == _MONTHLY:
+            version = replace(version, parts=_month_digests(self._scan(version)))
         if name not in BUCKETS:
             return version
         wide = write_buckets(
@@ -209,6 +281,7 @@ class Warehouse:
                 F.lit(version.schema.json()).alias("schema"),
                 F.lit(version.buckets).alias("buckets"),
                 F.lit(version.wide).alias("wide"),
+                F.lit(json.dumps(dict(version.parts))).alias("parts"),
             )
             for name, version in versions.items()
         ]
@@ -219,22 +292,58 @@ class Warehouse:
     def _load_published(self) -> None:
         try:
             log = self.spark.read.schema(
-                "name string, published bigint, path string, schema string, buckets int, wide boolean"
+                "name string, published bigint, path string, schema string, buckets int, "
+                "wide boolean, parts string"
             ).parquet(f"{self.root}/published")
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
                 return
             raise
-        entry = F.struct("path", "schema", "buckets", "wide")
+        entry = F.struct("path", "schema", "buckets", "wide", "parts")
         newest = log.groupBy("name").agg(F.max_by(entry, "published").alias("v"))
         # One row per table of the warehouse.
         for row in newest.collect():
-            schema = StructType.fromJson(json.loads(row["v"]["schema"]))
+            entry = row["v"]
             self._versions[row["name"]] = Version(
-                row["v"]["path"], schema, row["v"]["buckets"], row["v"]["wide"]
+                entry["path"],
+                StructType.fromJson(json.loads(entry["schema"])),
+                entry["buckets"],
+                entry["wide"],
+                json.loads(entry["parts"]),
             )
 
 
+_MONTHLY, _STATES, _PERSONS = "int_orders_enriched", "month_states", "person_numbers"
+
+
+def _month_digests(enriched: DataFrame) -> dict[str, list]:
+    """A digest of the orders of each month, whatever their order; one row per month."""
+    rows = (
+        enriched.groupBy(*monthly.MONTH)
+        .agg(
+            F.count(F.lit(1)).alias("orders"),
+            F.sum(F.xxhash64(*monthly.FACTS).cast("decimal(20,0)")).alias("digest"),
+        )
+        .collect()
+    )
+    return {
+        json.dumps([row[c] for c in monthly.MONTH]): [f"{row['orders']}:{row['digest']}"]
+        for row in rows
+    }
+
+
+def _in_months(months: Sequence[str]) -> Column:
+    """Does a row lie in one of these months? On folder columns only, so others stay shut."""
+    each = [
+        reduce(
+            lambda a, b: a & b,
+            [F.col(c).eqNullSafe(v) for c, v in zip(monthly.MONTH, json.loads(m), strict=True)],
+        )
+        for m in months
+    ]
+    return reduce(lambda a, b: a | b, each)
+
+
 def _staged(build: Callable[..., DataFrame], key: tuple[str, ...], *raw: str) -> Table:
     return Table("staging", lambda w: build(*[w.raw(r) for r in raw]), key, raw=raw)
 
@@ -307,11 +416,11 @@ TABLES: dict[str, Table] = {
         ByKey("stg_order_items"),
         ByKey("stg_orders"),
     ),
-    "mart_monthly_revenue": _stored(
-        "mart", marts.monthly_revenue, ("month_start",), "int_orders_enriched", **_VIEW
+    "mart_monthly_revenue": Table(
+        "mart", lambda w: monthly.monthly_revenue(*w.month_states()), ("month_start",), **_VIEW
     ),
-    "mart_state_performance": _stored(
-        "mart", marts.state_performance, ("customer_state",), "int_orders_enriched", **_VIEW
+    "mart_state_performance": Table(
+        "mart", lambda w: monthly.state_performance(*w.month_states()), ("customer_state",), **_VIEW
     ),
     "mart_product_category_analysis": _stored(
         "mart",

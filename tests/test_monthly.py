@@ -1,0 +1,150 @@
+"""Marts from monthly states: only changed months are read, results equal a rebuild."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from bazaarlens.plans import marts, monthly
+from bazaarlens.plans.warehouse import Warehouse
+from bazaarlens.sources.synthetic import synthetic_reader
+
+SMALL = contract.SMALL
+MARTS = ("mart_monthly_revenue", "mart_state_performance")
+
+
+@pytest.fixture
+def source(spark):
+    """Raw tables whose orders can be changed; all tables but orders are read once."""
+    read = synthetic_reader(spark, SMALL)
+
+    class Source:
+        change = staticmethod(lambda orders: orders)
+
+        def __call__(self, table):
+            return self.change(read(table)) if table == "orders" else read(table)
+
+    return Source()
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def in_march(column="order_purchase_timestamp"):
+    return F.col(column).startswith("1998-03")
+
+
+def refreshed(house, source, change):
+    source.change = change
+    for name in ("stg_orders", "int_orders_enriched"):
+        house.refresh(name)
+    return {name: rows(house.refresh(name)) for name in MARTS}
+
+
+def read_months(monkeypatch):
+    """Collect the month folders that each sum over orders reads."""
+    seen, sums = [], monthly.month_sums
+
+    def spied(enriched):
+        seen.append({(r[0], r[1]) for r in enriched.select(*monthly.MONTH).distinct().collect()})
+        seen[-1] = (seen[-1], enriched._jdf.queryExecution().executedPlan().toString())
+        return sums(enriched)
+
+    monkeypatch.setattr(monthly, "month_sums", spied)
+    return seen
+
+
+def test_one_changed_month(spark, source, tmp_path, monkeypatch):
+    house = Warehouse(spark, str(tmp_path / "a"), source)
+    first = {name: rows(house.table(name)) for name in MARTS}
+    seen = read_months(monkeypatch)
+
+    def delivered(orders):
+        return orders.withColumn(
+            "order_status", F.when(in_march(), "delivered").otherwise(F.col("order_status"))
+        )
+
+    got = refreshed(house, source, delivered)
+    assert len(seen) == 1  # both marts share the states
+    months, plan = seen[0]
+    assert months == {(1998, 3)}
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "order_year" in filters and "order_month" in filters
+    assert got != first
+    rebuilt = Warehouse(spark, str(tmp_path / "b"), source)
+    assert got == {name: rows(rebuilt.table(name)) for name in MARTS}
+
+
+def test_nothing_changed(spark, source, tmp_path, monkeypatch):
+    house = Warehouse(spark, str(tmp_path), source)
+    first = {name: rows(house.table(name)) for name in MARTS}
+    seen = read_months(monkeypatch)
+    assert refreshed(house, source, lambda orders: orders) == first
+    assert seen == []
+
+
+def test_new_persons_and_vanished_months(spark, source, tmp_path, monkeypatch):
+    """A month is emptied, another one's orders move to new customers, one after the other."""
+    house = Warehouse(spark, str(tmp_path / "a"), source)
+    house.table("mart_monthly_revenue")
+    seen = read_months(monkeypatch)
+    without = refreshed(house, source, lambda orders: orders.filter(~in_march()))
+    assert seen == []  # the other months are as they were
+    rebuilt = Warehouse(spark, str(tmp_path / "b"), source)
+    assert without == {name: rows(rebuilt.table(name)) for name in MARTS}
+    seen.clear()
+    again = refreshed(house, source, lambda orders: orders)
+    assert [months for months, _ in seen] == [{(1998, 3)}]
+    plain = Warehouse(spark, str(tmp_path / "c"), source)
+    assert again == {name: rows(plain.table(name)) for name in MARTS}
+    # numbers last: persons that came back kept theirs, and nobody has two
+    numbers = spark.read.parquet(*house._versions["person_numbers"].parts)
+    counted = numbers.agg(F.count("*"), F.count_distinct("id"), F.count_distinct("_number")).first()
+    assert counted[0] == counted[1] == counted[2]
+
+
+def test_states_outlive_the_session(spark, source, tmp_path, monkeypatch):
+    house = Warehouse(spark, str(tmp_path), source)
+    first = rows(house.table("mart_monthly_revenue"))
+    seen = read_months(monkeypatch)
+    again = Warehouse.reopen(spark, str(tmp_path), source)
+    assert rows(again.derive("mart_monthly_revenue")) == first
+    assert seen == []
+
+
+def test_states_equal_the_plain_marts(spark, tmp_path, source):
+    house = contract.warehouse(spark, SMALL)
+    enriched = house.table("int_orders_enriched")
+    for name, build in zip(MARTS, (marts.monthly_revenue, marts.state_performance)):
+        assert rows(house.derive(name)) == rows(build(enriched))
+        assert house.derive(name).schema.simpleString() == build(enriched).schema.simpleString()
+
+
+def test_many_persons_nulls_and_no_orders(spark):
+    """More persons than words of one task, orders without person, state or month."""
+    enriched = spark.range(30_000).selectExpr(
+        "concat('o', id) as order_id",
+        "case when id % 11 > 0 then concat('u', id % 7001) end as customer_unique_id",
+        "case when id % 5 > 0 then concat('S', id % 4) end as customer_state",
+        "case when id % 3 = 0 then 'shipped' else 'delivered' end as order_status",
+        "timestamp_ntz'2018-01-05 00:00:00' as order_purchase_timestamp",
+        "cast(null as timestamp_ntz) as order_delivered_customer_date",
+        "cast(id % 100 as decimal(21,2)) as total_order_value",
+        "cast(1 as decimal(20,2)) as total_freight",
+        "cast(id % 6 as int) as review_score",
+        "case when id % 2 = 0 then 'late' else 'not_delivered' end as delivery_status",
+        "case when id % 13 > 0 then 2018 end as order_year",
+        "case when id % 13 > 0 then cast(id % 2 + 1 as int) end as order_month",
+    )
+    kept = enriched.filter("order_status = 'delivered'")
+    got = {r["customer_state"]: r for r in marts.state_performance(enriched).collect()}
+    expected = kept.groupBy("customer_state").agg(
+        F.count("*").alias("n"), F.count_distinct("customer_unique_id").alias("people")
+    )
+    for r in expected.collect():
+        found = got[r["customer_state"]]
+        assert (found["total_orders"], found["unique_customers"]) == (r["n"], r["people"])
+    months = {r["month_start"]: r["unique_customers"] for r in marts.monthly_revenue(enriched).collect()}
+    by_month = kept.groupBy("order_month").agg(F.count_distinct("customer_unique_id").alias("n"))
+    assert sorted(months.values()) == sorted(r["n"] for r in by_month.collect()) and None in months
+    assert marts.state_performance(enriched.limit(0)).count() == 0

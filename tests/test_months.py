@@ -1,0 +1,87 @@
+"""Active months as bits, over more months than one word holds."""
+
+import random
+import re
+from collections import defaultdict
+from datetime import date, datetime
+
+import __spark_entry__ as contract
+from bazaarlens.operators.months import active_months
+from bazaarlens.plans import analytics
+
+
+def orders(spark, data):
+    return spark.createDataFrame(
+        data, "customer_unique_id string, order_purchase_timestamp timestamp_ntz"
+    )
+
+
+def month(number):
+    return datetime(2001 + number // 12, number % 12 + 1, 15, 12)
+
+
+def history(seed, months, persons=300):
+    rng = random.Random(seed)
+    data = [
+        (f"u{p}", month(m))
+        for p in range(persons)
+        for m in rng.sample(range(months), rng.randint(1, 9))
+        for _ in range(rng.randint(1, 2))
+    ]
+    return data + [("u0", None), ("nodate", None), (None, month(3)), ("ends", month(months - 1))]
+
+
+def brute(data):
+    visits = defaultdict(set)
+    for person, moment in data:
+        if person is not None:
+            visits[person].add(None if moment is None else date(moment.year, moment.month, 1))
+    cohorts, months = defaultdict(lambda: [0] * 6), defaultdict(lambda: [0, 0, 0])
+    for seen in visits.values():
+        dated = sorted(d for d in seen if d)
+        first = dated[0] if dated else None
+        row = cohorts[first]
+        for i, n in enumerate(analytics.COHORT_OFFSETS):
+            row[i] += any((d.year - first.year) * 12 + d.month - first.month == n for d in dated)
+        for d in seen:
+            months[d][0] += 1
+            months[d][1] += d is not None and d == first
+            months[d][2] += d is not None and d > first
+    return {k: tuple(v) for k, v in cohorts.items()}, {k: tuple(v) for k, v in months.items()}
+
+
+def test_reports_over_150_months(spark):
+    data = history(1, 150)
+    enriched = orders(spark, data).repartition(5)
+    cohorts, months = brute(data)
+    assert {r[0]: tuple(r[1:]) for r in analytics.cohort_retention(enriched).collect()} == cohorts
+    assert {r[0]: tuple(r[1:4]) for r in analytics.new_vs_returning(enriched).collect()} == months
+
+
+def test_one_exchange_on_the_person(spark):
+    enriched = contract.warehouse(spark, contract.SMALL).table("int_orders_enriched")
+    for report in (analytics.cohort_retention, analytics.new_vs_returning):
+        text = report(enriched)._jdf.queryExecution().executedPlan().toString()
+        moved = re.findall(r"Exchange hashpartitioning\(([^,]*)", text)
+        assert [keys.split("#")[0] for keys in moved].count("customer_unique_id") == 1
+        assert len(moved) == 2 and "Window" not in text and "Expand" not in text
+
+
+def test_words_and_bits(spark):
+    data = [("a", month(0)), ("a", month(59)), ("b", month(60)), ("b", month(119)), ("c", month(120))]
+    active = active_months(orders(spark, data), "customer_unique_id", "order_purchase_timestamp")
+    got = {
+        r[0]: (r[1], r[2])
+        for r in active.rows.select("customer_unique_id", active.first(), active.all()).collect()
+    }
+    assert got == {"a": (0, [0, 59]), "b": (60, [60, 119]), "c": (120, [120])}
+    assert active.months == 121
+
+
+def test_no_orders(spark):
+    none = orders(spark, []) 
+    assert analytics.cohort_retention(none).count() == 0
+    assert analytics.new_vs_returning(none).count() == 0
+    undated = orders(spark, [("a", None)])
+    assert [tuple(r) for r in analytics.cohort_retention(undated).collect()] == [(None, 0, 0, 0, 0, 0, 0)]
+    assert [tuple(r)[:4] for r in analytics.new_vs_returning(undated).collect()] == [(None, 1, 0, 0)]
