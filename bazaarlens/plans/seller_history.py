@@ -6,19 +6,29 @@ that has orders at all. A new row starts where the status changes.
 The history is derived from the active months alone: an inactive stretch begins
 in the month after an active one and ends at the next. Sellers are never
 multiplied by months.
+
+A month that follows all others is merged into a stored history: where a seller's status
+differs from that of the open range, the range is closed and the next one opened. Closed
+ranges and keys never change.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.functions import falling, month_start, rising
 from bazaarlens.operators.placement import row_numbers
+from bazaarlens.operators.scratch import stored
 from bazaarlens.sources.buckets import Dealt, dealt
 
 # Fixed value: end of validity of a current row.
 OPEN_END = "9999-12-31"
+HISTORY = (
+    "seller_id", "seller_status", "valid_from", "valid_to", "is_current", "orders_at_change", "scd_id",
+)
 
 
 def order_months(orders: DataFrame) -> DataFrame:
@@ -97,10 +107,15 @@ def seller_status_history(
     sellers: DataFrame, items: DataFrame | Dealt, orders: DataFrame
 ) -> DataFrame:
     """Validity ranges with a surrogate key numbered by seller and start."""
-    points = change_points(sellers, items, orders)
+    ranges = validity_ranges(change_points(sellers, items, orders))
+    return row_numbers(ranges, [rising("seller_id"), rising("valid_from")], "scd_id")
+
+
+def validity_ranges(points: DataFrame) -> DataFrame:
+    """Ranges from each change to the day before the next one; the last is open."""
     by_start = Window.partitionBy("seller_id").orderBy("month_number")
     following = F.lead("valid_from").over(by_start)
-    ranges = points.select(
+    return points.select(
         "seller_id",
         "seller_status",
         "valid_from",
@@ -108,4 +123,79 @@ def seller_status_history(
         following.isNull().alias("is_current"),
         F.col("orders_in_month").alias("orders_at_change"),
     )
-    return row_numbers(ranges, [rising("seller_id"), rising("valid_from")], "scd_id")
+
+
+def span_of_months(orders: DataFrame) -> tuple[date, date] | None:
+    """The first and the last month with orders."""
+    month = month_start(F.col("order_purchase_timestamp"))
+    first, last = orders.agg(F.min(month), F.max(month)).first()
+    return None if first is None else (first, last)
+
+
+def merged_month(
+    open_ranges: DataFrame,
+    sellers: DataFrame,
+    items: DataFrame | Dealt,
+    orders: DataFrame,
+    *,
+    month: date,
+    first_month: date,
+    last_key: int,
+) -> DataFrame:
+    """The ranges that are open, or were closed, after ``month`` is merged.
+
+    ``open_ranges``: the current row of each seller; ``month``: later than all months of
+    the history, which begins in ``first_month``; ``last_key``: the greatest key given so
+    far. Only orders of the month are read. A seller without history was inactive
+    from the first month on; one that is no longer listed keeps its open range.
+    Returns the columns of the history: unchanged open ranges, closed ones with the day
+    before as their end, and new open ones with the next keys.
+    """
+    start = F.lit(month)
+    bought = F.col("order_purchase_timestamp")
+    this_month = orders.filter(
+        (bought >= start.cast("timestamp_ntz"))
+        & (bought < F.add_months(start, 1).cast("timestamp_ntz"))
+    )
+    active = seller_months(items, this_month).select("seller_id", "orders_in_month")
+    known = open_ranges.withColumn("_known", F.lit(True))
+    listed = sellers.select("seller_id", F.lit(True).alias("_listed"))
+    rows = known.join(listed, "seller_id", "full").join(active, "seller_id", "left")
+
+    sold = F.col("orders_in_month")
+    status = F.when(sold.isNotNull(), "active").otherwise("inactive")
+    open_end = F.lit(OPEN_END).cast("date")
+
+    def row(key, state, begin, end, current, amount):
+        return F.struct(
+            key.cast("bigint").alias("scd_id"),
+            state.alias("seller_status"),
+            begin.alias("valid_from"),
+            end.alias("valid_to"),
+            F.lit(current).alias("is_current"),
+            amount.cast("bigint").alias("orders_at_change"),
+        )
+
+    none, new = F.lit(0), F.lit(None)
+    was = [F.col(c) for c in ("scd_id", "seller_status", "valid_from")]
+    amount = F.col("orders_at_change")
+    seen, first = F.col("_known").isNotNull(), F.lit(first_month == month)
+    differs = seen & F.col("_listed").isNotNull() & (F.col("seller_status") != status)
+    since_first = F.lit(first_month)
+    ranges = F.array(
+        F.when(seen & ~differs, row(*was, open_end, True, amount)),
+        F.when(differs, row(*was, F.date_sub(start, 1), False, amount)),
+        F.when(differs | (~seen & (first | sold.isNotNull())),
+               row(new, status, start, open_end, True, F.coalesce(sold, none))),
+        F.when(~seen & ~first & sold.isNotNull(),
+               row(new, F.lit("inactive"), since_first, F.date_sub(start, 1), False, none)),
+        F.when(~seen & ~first & sold.isNull(),
+               row(new, F.lit("inactive"), since_first, open_end, True, none)),
+    )
+    merged = stored(rows.select("seller_id", F.inline(F.array_compact(ranges))))
+    named = row_numbers(
+        merged.filter(F.col("scd_id").isNull()), [rising("seller_id"), rising("valid_from")], "_nth"
+    )
+    columns = [c for c in HISTORY if c != "scd_id"]
+    added = named.select(*columns, (F.col("_nth") + last_key).alias("scd_id"))
+    return merged.filter(F.col("scd_id").isNotNull()).select(*HISTORY).unionByName(added)

@@ -14,6 +14,7 @@ from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
+from datetime import date, timedelta
 from functools import reduce
 from threading import RLock
 
@@ -190,6 +191,55 @@ class Warehouse:
                 self._publish({_STATES: Version(path, StructType(), parts=parts)})
             return self._state("sums"), self._state("words")
 
+    def extend_history(self) -> DataFrame:
+        """Merge the months after the last one of the stored seller history, one by one.
+
+        Orders, items and sellers are those now stored. Each month writes the ranges that it
+        closed and the open ones; files of closed ranges are never written again. Orders
+        before the last month that were added or changed since need a rebuild (``refresh``).
+        """
+        history = self.table(_HISTORY)
+        orders, items = self.by_key("stg_orders"), self.by_key("stg_order_items")
+        span, told = seller_history.span_of_months(self.table("stg_orders")), "months"
+        months = [] if span is None else _months_after(self._versions[_HISTORY].parts[told], span)
+        with_orders = {
+            row[0]
+            for row in seller_history.order_months(self.table("stg_orders"))
+            .select("month_start")
+            .filter(F.col("month_start").isin(months or [None]))
+            .collect()
+        }
+        for month in (m for m in months if m in with_orders):
+            version = self._versions[_HISTORY]
+            known = version.parts[told]
+            first = date.fromisoformat(known[0]) if known else month
+            # the newest file has the open ranges; before the first merge it has all
+            current = self._scan(replace(version, parts={"files": version.parts["files"][-1:]}))
+            merged = seller_history.merged_month(
+                current.filter("is_current"),
+                self.table("stg_sellers"),
+                items,
+                orders,
+                month=month,
+                first_month=first,
+                last_key=history.agg(F.coalesce(F.max("scd_id"), F.lit(0))).first()[0],
+            )
+            merged, path = stored(merged), f"{self.root}/intermediate/{_HISTORY}/v{time.time_ns()}"
+            closed, opened = f"{path}/closed", f"{path}/open"
+            write_table(merged.filter(~F.col("is_current")), closed, LAYOUTS[_HISTORY])
+            write_table(merged.filter("is_current"), opened, LAYOUTS[_HISTORY])
+            before = version.parts["files"][:-1]
+            if version.parts["files"][-1] == version.path and not before:
+                # ranges closed by the build lie with those it left open
+                ended = f"{path}/built"
+                write_table(current.filter(~F.col("is_current")), ended, LAYOUTS[_HISTORY])
+                before = [ended]
+            release(merged)
+            parts = _span((first, month), [*before, closed, opened])
+            self._publish({_HISTORY: Version(path, version.schema, parts=parts)})
+            history = self.table(_HISTORY)
+        return history
+
     def _sum_up(self, enriched: DataFrame, path: str) -> None:
         people = stored(monthly.month_people(enriched))
         numbers = self._person_numbers(people.select(F.col(monthly.PERSON).alias("id")).distinct())
@@ -251,6 +301,9 @@ class Warehouse:
         write_table(df, version.path, LAYOUTS.get(name))
         if name == _MONTHLY:
             version = replace(version, parts=_month_digests(self._scan(version)))
+        if name == _HISTORY:
+            span = seller_history.span_of_months(self.table("stg_orders"))
+            version = replace(version, parts=_span(span, [version.path]))
         if name not in BUCKETS:
             return version
         wide = write_buckets(
@@ -266,7 +319,8 @@ class Warehouse:
         return version
 
     def _scan(self, version: Version) -> DataFrame:
-        return read_table(self.spark, version.path, version.schema)
+        files = version.parts.get("files", [version.path])
+        return read_table(self.spark, files, version.schema)
 
     def _publish(self, versions: Mapping[str, Version]) -> None:
         # Appended, never overwritten: a reader sees the old or the new version.
@@ -314,6 +368,22 @@ class Warehouse:
 
 
 _MONTHLY, _STATES, _PERSONS = "int_orders_enriched", "month_states", "person_numbers"
+_HISTORY = "int_seller_status_history"
+
+
+def _span(months: tuple[date, date] | None, files: list[str]) -> dict[str, list]:
+    """Parts of the seller history: its first and last month, files with the open ranges last."""
+    return {"months": [m.isoformat() for m in months or ()], "files": files}
+
+
+def _months_after(known: Sequence[str], span: tuple[date, date]) -> list[date]:
+    """Calendar months after the last known one, to the end of ``span``."""
+    first = date.fromisoformat(known[1]) if known else None
+    month, found = first or span[0], [] if first else [span[0]]
+    while month < span[1]:
+        month = (month.replace(day=28) + timedelta(days=4)).replace(day=1)
+        found.append(month)
+    return found
 
 
 def _month_digests(enriched: DataFrame) -> dict[str, list]:

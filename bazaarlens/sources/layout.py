@@ -88,7 +88,11 @@ def write_table(df: DataFrame, path: str, layout: Layout | None = None) -> None:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: StructType, columns: Sequence[str] | None = None
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: StructType,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Scan a stored table with a known schema, columns in their declared order."""
-    return spark.read.schema(schema).parquet(path).select(*(columns or schema.names))
+    paths = [path] if isinstance(path, str) else path
+    return spark.read.schema(schema).parquet(*paths).select(*(columns or schema.names))

@@ -1,0 +1,114 @@
+"""A seller history that grows month by month."""
+
+import random
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from bazaarlens.plans import seller_history
+from bazaarlens.plans.warehouse import Warehouse
+from bazaarlens.sources.synthetic import synthetic_reader
+
+COLUMNS = ["seller_id", "seller_status", "valid_from", "valid_to", "is_current", "orders_at_change"]
+ORDERS = "order_id string, order_purchase_timestamp timestamp_ntz"
+
+
+def rows(df):
+    return sorted(map(tuple, df.select(*COLUMNS).collect()), key=str)
+
+
+def shop(spark, seed, months=9, sellers=14):
+    """Orders of some months (one has none); seller s0 never sells, the last ones start late."""
+    rng = random.Random(seed)
+    orders, items = [], []
+    for m in range(months):
+        if m == 4:
+            continue
+        for n in range(12):
+            order = f"o{m}-{n}"
+            orders.append((order, datetime(2018 + (m + 9) // 12, (m + 9) % 12 + 1, rng.randint(1, 28), 23)))
+            for _ in range(rng.randint(0, 2)):
+                items.append((order, f"s{rng.randint(1, sellers - 1 if m > 5 else sellers - 4)}"))
+    names = [(f"s{i}",) for i in range(sellers)]
+    return (
+        spark.createDataFrame(names, "seller_id string"),
+        spark.createDataFrame(items, "order_id string, seller_id string"),
+        spark.createDataFrame(orders, ORDERS),
+    )
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_grown_history_equals_a_rebuild(spark, seed):
+    sellers, items, orders = shop(spark, seed)
+    months = [r[0] for r in seller_history.order_months(orders).orderBy("month_number").select("month_start").collect()]
+    assert len(months) == 8
+    upto = orders.filter(F.col("order_purchase_timestamp") < F.lit(months[1]).cast("timestamp_ntz"))
+    early = sellers.filter("seller_id not in ('s12', 's13')")  # listed from the fourth month on
+    history = seller_history.seller_status_history(early, items, upto)
+    history = spark.createDataFrame(history.collect(), history.schema)
+    keys = {}
+    for n, month in enumerate(months[1:], 2):
+        listed = sellers if n > 3 else early
+        merged = seller_history.merged_month(
+            history.filter("is_current"), listed, items, orders, month=month, first_month=months[0],
+            last_key=history.agg(F.max("scd_id")).first()[0],
+        )
+        grown = history.filter(~F.col("is_current")).select(*seller_history.HISTORY).unionByName(merged)
+        history = spark.createDataFrame(grown.collect(), grown.schema)
+        end = F.lit(months[n] if n < len(months) else date(2100, 1, 1)).cast("timestamp_ntz")
+        upto = orders.filter(F.col("order_purchase_timestamp") < end)
+        rebuilt = seller_history.seller_status_history(listed, items, upto)
+        assert rows(history) == rows(rebuilt), month
+        for r in history.collect():
+            assert keys.setdefault((r["seller_id"], r["valid_from"]), r["scd_id"]) == r["scd_id"]
+        assert len(set(keys.values())) == len(keys) == history.count()
+
+
+def test_only_the_new_month_is_read(spark):
+    sellers, items, orders = shop(spark, 1)
+    history = seller_history.seller_status_history(sellers, items, orders.limit(0))
+    assert rows(history) == []  # no month, no history
+    seen = []
+    plain = seller_history.seller_months
+    seller_history.seller_months = lambda i, o: seen.append(o) or plain(i, o)
+    try:
+        first = seller_history.merged_month(
+            history, sellers, items, orders, month=date(2018, 10, 1), first_month=date(2018, 10, 1), last_key=0
+        )
+    finally:
+        seller_history.seller_months = plain
+    assert {r[0].month for r in seen[0].select("order_purchase_timestamp").collect()} == {10}
+    rebuilt = seller_history.seller_status_history(
+        sellers, items, orders.filter("order_purchase_timestamp < timestamp_ntz'2018-11-01 00:00:00'")
+    )
+    assert rows(first) == rows(rebuilt)
+
+
+def test_stored_history_grows(spark, tmp_path):
+    read, source = synthetic_reader(spark, contract.SMALL), {"upto": "2001-04"}
+
+    def raw(table):
+        df = read(table)
+        return df.filter(F.col("order_purchase_timestamp") < source["upto"]) if table == "orders" else df
+
+    house = Warehouse(spark, str(tmp_path / "a"), raw)
+    house.table("int_seller_status_history")
+    keys = {tuple(r[:2]): r[2] for r in house.table("int_seller_status_history").select("seller_id", "valid_from", "scd_id").collect()}
+    assert rows(house.extend_history()) == rows(house.table("int_seller_status_history"))
+    for upto in ("2001-05", "2001-08"):  # one month, then three
+        source["upto"] = upto
+        house.refresh("stg_orders")
+        files = house._versions["int_seller_status_history"].parts["files"]
+        grown = house.extend_history()
+        kept = house._versions["int_seller_status_history"].parts["files"]
+        assert len(files) == 1 or set(files[:-1]) <= set(kept)  # closed ranges stay where they are
+        rebuilt = Warehouse(spark, str(tmp_path / upto), raw).table("int_seller_status_history")
+        assert rows(grown) == rows(rebuilt)
+        for r in grown.select("seller_id", "valid_from", "scd_id").collect():
+            assert keys.setdefault(tuple(r[:2]), r[2]) == r[2]
+        assert len(set(keys.values())) == len(keys)
+    reopened = Warehouse.reopen(spark, str(tmp_path / "a"), raw)
+    assert rows(reopened.table("int_seller_status_history")) == rows(grown)
+    assert rows(reopened.extend_history()) == rows(grown)
