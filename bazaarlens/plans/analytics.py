@@ -222,32 +222,80 @@ def cohort_retention(enriched: DataFrame) -> DataFrame:
     )
 
 
-def _category_sales(
+def _category_cells(
     items: DataFrame | Dealt,
     products: DataFrame,
     enriched: DataFrame,
     states: Sequence[str],
     categories: Sequence[str],
 ) -> DataFrame:
+    """Orders and revenue of every state, category and total, with flags of the totals.
+
+    An order becomes one row with a bit for each category in it and its sales by category:
+    orders of any group are then counted from the bits, without a copy of its lines for
+    each. An order has one state, so orders of all states add up.
+    """
     kept = products.filter(F.col("product_category").isin(*categories)).select(
         "product_id", "product_category"
     )
     placed = enriched.filter(F.col("customer_state").isin(*states)).select(
         "order_id", "customer_state"
     )
-    # by order first: over tables in buckets that join moves nothing
-    return dealt(items).each(
-        lambda part: part.select("order_id", "product_id", "price")
-        .join(placed, "order_id")
-        .join(kept, "product_id")
-    )
+    category = F.col("product_category")
+    bit = F.coalesce(*[F.when(category == c, F.lit(1 << i)) for i, c in enumerate(categories)])
+
+    def per_order(part: DataFrame) -> DataFrame:
+        # by order first: over tables in buckets that join moves nothing
+        return (
+            part.select("order_id", "product_id", "price")
+            .join(placed, "order_id")
+            .join(kept, "product_id")
+            .groupBy("order_id", "customer_state")
+            .agg(
+                F.bit_or(bit).alias("_held"),
+                F.sum("price").alias("_all"),
+                *[
+                    F.sum(F.when(category == c, F.col("price"))).alias(f"_of{i}")
+                    for i, c in enumerate(categories)
+                ],
+            )
+        )
 
+    def cell(name: str | None, orders: Column, revenue: str) -> Column:
+        return F.struct(
+            F.lit(name).cast("string").alias("product_category"),
+            F.lit(int(name is None)).alias("is_category_total"),
+            orders.alias("_orders"),
+            F.sum(revenue).alias("_revenue"),
+        )
 
-def _sales_totals() -> list[Column]:
-    return [
-        F.count_distinct("order_id").alias("orders"),
-        F.sum("price").cast(DecimalType(20, 2)).alias("revenue"),
+    holds = [F.col("_held").bitwiseAND(F.lit(1 << i)) != 0 for i in range(len(categories))]
+    per_state = (
+        dealt(items)
+        .each(per_order)
+        .groupBy("customer_state")
+        .agg(
+            F.array(
+                *[cell(c, F.count_if(holds[i]), f"_of{i}") for i, c in enumerate(categories)],
+                cell(None, F.count(F.lit(1)), "_all"),
+            ).alias("_cells")
+        )
+    )
+    # from here on a row per state and category
+    both = [
+        F.struct(F.col("customer_state").alias("state"), F.lit(0).alias("is_state_total")),
+        F.struct(F.lit(None).cast("string").alias("state"), F.lit(1).alias("is_state_total")),
     ]
+    return (
+        per_state.select(F.explode(F.array(*both)).alias("_at"), "_cells")
+        .select("_at.*", F.inline("_cells"))
+        .filter(F.col("_orders") > 0)
+        .groupBy("state", "is_state_total", "product_category", "is_category_total")
+        .agg(
+            F.sum("_orders").alias("orders"),
+            F.sum("_revenue").cast(DecimalType(20, 2)).alias("revenue"),
+        )
+    )
 
 
 def rollup_state_category(
@@ -263,16 +311,11 @@ def rollup_state_category(
     ``is_state_total`` marks the grand total only; the total of one state has
     ``is_category_total`` set.
     """
-    lines = _category_sales(items, products, enriched, states, categories)
+    cells = _category_cells(items, products, enriched, states, categories)
     return (
-        lines.rollup("customer_state", "product_category")
-        .agg(
-            *_sales_totals(),
-            F.grouping("customer_state").cast("int").alias("is_state_total"),
-            F.grouping("product_category").cast("int").alias("is_category_total"),
-        )
+        cells.filter((F.col("is_state_total") == 0) | (F.col("is_category_total") == 1))
         .select(
-            F.coalesce("customer_state", F.lit(ALL_STATES)).alias("state"),
+            F.coalesce("state", F.lit(ALL_STATES)).alias("state"),
             F.coalesce("product_category", F.lit(ALL_CATEGORIES)).alias("category"),
             "orders",
             "revenue",
@@ -292,18 +335,13 @@ def cube_state_category(
     categories: Sequence[str] = CUBE_CATEGORIES,
 ) -> DataFrame:
     """Orders and revenue for every combination of state and category totals."""
-    lines = _category_sales(items, products, enriched, states, categories)
-    return (
-        lines.cube("customer_state", "product_category")
-        .agg(*_sales_totals())
-        .select(
-            F.coalesce("customer_state", F.lit(ALL)).alias("state"),
-            F.coalesce("product_category", F.lit(ALL)).alias("category"),
-            "orders",
-            "revenue",
-        )
-        .orderBy(rising("state"), rising("category"))
-    )
+    cells = _category_cells(items, products, enriched, states, categories)
+    return cells.select(
+        F.coalesce("state", F.lit(ALL)).alias("state"),
+        F.coalesce("product_category", F.lit(ALL)).alias("category"),
+        "orders",
+        "revenue",
+    ).orderBy(rising("state"), rising("category"))
 
 
 def sellers_above_state_average(

@@ -18,7 +18,6 @@ from datetime import date, timedelta
 from functools import reduce
 from threading import RLock
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -28,7 +27,15 @@ from bazaarlens.operators.keys import key_reports, require_key
 from bazaarlens.operators.scratch import release, stored
 from bazaarlens.plans import intermediate, marts, monthly, seller_history, staging
 from bazaarlens.schemas import RAW_COLUMNS
-from bazaarlens.sources.buckets import BUCKETS, WIDE_ROWS, Dealt, read_buckets, write_buckets
+from bazaarlens.sources.buckets import (
+    BUCKETS,
+    WIDE_ROWS,
+    Dealt,
+    forget_buckets,
+    read_buckets,
+    write_buckets,
+)
+from bazaarlens.sources.files import Files, abandoned_scratch, written_at
 from bazaarlens.sources.layout import LAYOUTS, read_table, write_table
 
 
@@ -61,6 +68,11 @@ class Version:
     def copy(self) -> str:
         return f"{self.path}-by-key"
 
+    def files(self) -> list[str]:
+        """Paths that its parts name."""
+        named = [x for value in self.parts.values() for x in value if "/" in str(x)]
+        return [*named, *(name for name in self.parts if "/" in name)]
+
 
 @dataclass(frozen=True)
 class ByKey:
@@ -93,6 +105,7 @@ class Warehouse:
         self._source = raw
         self._versions: dict[str, Version] = {}
         self._one_at_a_time = RLock()
+        self._files = Files(spark)
 
     @classmethod
     def reopen(
@@ -133,11 +146,7 @@ class Warehouse:
         A plain scan where a key has one row; else a key's rows may lie apart.
         """
         self.table(name)
-        version, spec = self._versions[name], BUCKETS[name]
-        copy = read_buckets(
-            self.spark, version.copy, version.schema, spec, version.buckets, version.wide
-        )
-        return copy.bucketed if spec.unique else copy
+        return self._copy(name, self._versions[name])
 
     def read(self, source: str | ByKey) -> DataFrame | Dealt:
         """A stored table or, for ``ByKey``, its copy in buckets."""
@@ -159,7 +168,7 @@ class Warehouse:
         Tables that do not read each other are written ``together``, so the tail
         of one job does not leave the cluster idle.
         """
-        self._versions.clear()
+        self._versions = {}
 
         rebuild = self._checked if check_keys else self._write
         with ThreadPoolExecutor(together) as writers:
@@ -283,12 +292,30 @@ class Warehouse:
         """Key violations of every checked table in the given layers."""
         return key_reports(
             {
-                name: (self.table(name), spec.key)
+                name: (self._keyed(name), spec.key)
                 for name, spec in TABLES.items()
                 if spec.layer in layers and spec.checked
             }
         )
 
+    def _keyed(self, name: str, version: Version | None = None) -> DataFrame | Dealt:
+        """The table as its key is checked: by its copy, if that is dealt by the key.
+
+        A copy is made from the stored table and has all of its rows.
+        """
+        if version is None:
+            self.table(name)
+            version = self._versions[name]
+        dealt_by = BUCKETS[name].key if version.buckets else None
+        return self._copy(name, version) if dealt_by == TABLES[name].key[0] else self._scan(version)
+
+    def _copy(self, name: str, version: Version) -> DataFrame | Dealt:
+        spec = BUCKETS[name]
+        copy = read_buckets(
+            self.spark, version.copy, version.schema, spec, version.buckets, version.wide
+        )
+        return copy.bucketed if spec.unique else copy
+
     def _load(self, name: str) -> Version:
         df = self._source(name)
         version = Version(f"{self.root}/raw/{name}/v{time.time_ns()}", df.schema)
@@ -315,7 +342,8 @@ class Warehouse:
         """A new version of the table, whose key holds."""
         version, spec = self._write(name), TABLES[name]
         if spec.checked:
-            require_key(name, self._scan(version), spec.key, allow_null=spec.nulls_in_key)
+            keyed = self._keyed(name, version)
+            require_key(name, keyed, spec.key, allow_null=spec.nulls_in_key)
         return version
 
     def _scan(self, version: Version) -> DataFrame:
@@ -323,50 +351,89 @@ class Warehouse:
         return read_table(self.spark, files, version.schema)
 
     def _publish(self, versions: Mapping[str, Version]) -> None:
-        # Appended, never overwritten: a reader sees the old or the new version.
+        """Make versions the current ones: a new manifest names them and all others.
+
+        Manifests are never changed. A reader takes the newest one that was completed, so it
+        sees all of a publication or nothing, and one that it has opened keeps its files.
+        """
         if not versions:
             return
-        now = time.time_ns()
-        entries = [
-            F.struct(
-                F.lit(name).alias("name"),
-                F.lit(now).alias("published"),
-                F.lit(version.path).alias("path"),
-                F.lit(version.schema.json()).alias("schema"),
-                F.lit(version.buckets).alias("buckets"),
-                F.lit(version.wide).alias("wide"),
-                F.lit(json.dumps(dict(version.parts))).alias("parts"),
+        with self._one_at_a_time:
+            current = {**self._versions, **versions}
+            entries = [
+                F.struct(
+                    F.lit(name).alias("name"),
+                    F.lit(version.path).alias("path"),
+                    F.lit(version.schema.json()).alias("schema"),
+                    F.lit(version.buckets).alias("buckets"),
+                    F.lit(version.wide).alias("wide"),
+                    F.lit(json.dumps(dict(version.parts))).alias("parts"),
+                )
+                for name, version in current.items()
+            ]
+            manifest = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*entries)))
+            manifest.write.parquet(f"{self.root}/{_MANIFESTS}/v{time.time_ns()}")
+            self._versions = current
+
+    def _manifests(self) -> list[str]:
+        """Completed manifests, the newest last."""
+        found = self._files.under(f"{self.root}/{_MANIFESTS}")
+        return sorted((p for p in found if self._files.exists(f"{p}/_SUCCESS")), key=written_at)
+
+    def _manifest(self, path: str) -> dict[str, Version]:
+        rows = self.spark.read.schema(
+            "name string, path string, schema string, buckets int, wide boolean, parts string"
+        ).parquet(path)
+        # One row per table of the warehouse.
+        return {
+            row["name"]: Version(
+                row["path"],
+                StructType.fromJson(json.loads(row["schema"])),
+                row["buckets"],
+                row["wide"],
+                json.loads(row["parts"]),
             )
-            for name, version in versions.items()
-        ]
-        log = self.spark.range(1, numPartitions=1).select(F.inline(F.array(*entries)))
-        log.write.mode("append").parquet(f"{self.root}/published")
-        self._versions.update(versions)
+            for row in rows.collect()
+        }
 
     def _load_published(self) -> None:
-        try:
-            log = self.spark.read.schema(
-                "name string, published bigint, path string, schema string, buckets int, "
-                "wide boolean, parts string"
-            ).parquet(f"{self.root}/published")
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return
-            raise
-        entry = F.struct("path", "schema", "buckets", "wide", "parts")
-        newest = log.groupBy("name").agg(F.max_by(entry, "published").alias("v"))
-        # One row per table of the warehouse.
-        for row in newest.collect():
-            entry = row["v"]
-            self._versions[row["name"]] = Version(
-                entry["path"],
-                StructType.fromJson(json.loads(entry["schema"])),
-                entry["buckets"],
-                entry["wide"],
-                json.loads(entry["parts"]),
-            )
+        if newest := self._manifests()[-1:]:
+            self._versions = self._manifest(newest[0])
 
+    def vacuum(self, keep_seconds: float = 7 * 24 * 3600) -> list[str]:
+        """Delete what no manifest of the last ``keep_seconds`` names, and say what that was.
 
+        The newest manifest counts whatever its age, and any that was superseded no longer
+        ago than that: its readers may still be at work. What was begun within that
+        time is kept too, published or not, as its job may be running. Gone are older
+        versions, those whose key check or job failed, and old manifests. Scratch copies of
+        this session are deleted by those who made them, of ended sessions here.
+        """
+        limit = time.time_ns() - int(keep_seconds * 1e9)
+        manifests = self._manifests()
+        # one is in use until the next one is written
+        ended = [*(written_at(p) for p in manifests[1:]), None]
+        kept = [p for p, end in zip(manifests, ended, strict=False) if end is None or end >= limit]
+        used = set()
+        for path in kept:
+            for version in self._manifest(path).values():
+                used |= {version.path, version.copy, *version.files()}
+        gone = [p for p in manifests if p not in kept]
+        for layer in _FOLDERS:
+            for name in self._files.under(f"{self.root}/{layer}"):
+                for version in self._files.under(name):
+                    named = any(u == version or u.startswith(f"{version}/") for u in used)
+                    if not named and written_at(version) < limit:
+                        gone.append(version)
+        gone += abandoned_scratch(self.spark, self._files, limit)
+        for path in gone:
+            forget_buckets(self.spark, path)
+            self._files.delete(path)
+        return gone
+
+
+_MANIFESTS = "manifests"
+_FOLDERS = ("raw", "staging", "intermediate", "mart", "state")
 _MONTHLY, _STATES, _PERSONS = "int_orders_enriched", "month_states", "person_numbers"
 _HISTORY = "int_seller_status_history"
 
@@ -450,7 +517,7 @@ TABLES: dict[str, Table] = {
         intermediate.orders_enriched,
         ("order_id",),
         ByKey("stg_orders"),
-        "stg_customers",
+        ByKey("stg_customers"),
         ByKey("stg_order_items"),
         ByKey("stg_order_payments"),
         ByKey("stg_order_reviews"),

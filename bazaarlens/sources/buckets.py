@@ -62,6 +62,11 @@ def dealt(table: DataFrame | Dealt) -> Dealt:
 
 
 BUCKETS = {
+    "stg_customers": Buckets(
+        "customer_id",
+        ("customer_id", "customer_unique_id", "customer_city", "customer_state"),
+        unique=True,
+    ),
     "stg_orders": Buckets("order_id", unique=True),
     "stg_order_items": Buckets(
         "order_id",
@@ -138,3 +143,8 @@ def read_buckets(
     )
     apart = spark.read.schema(kept).parquet(f"{path}/wide") if wide else None
     return Dealt(spark.table(name), apart)
+
+
+def forget_buckets(spark: SparkSession, path: str) -> None:
+    """Drop this session's catalog entry of a copy, if it has one."""
+    spark.sql(f"DROP TABLE IF EXISTS {_entry(path)}")
