@@ -249,10 +249,11 @@ def near_duplicates(df: DataFrame) -> DataFrame:
         .select("vec_id", "label", F.transform("embedding", lambda x: F.try_divide(x, norm)).alias("unit"))
     )
     fit = stored(fit)
+    # a class of equal vectors has a number of its own: a vec_id may have several vectors
     classes = stored(
-        fit.groupBy("label", "unit").agg(
-            F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")
-        )
+        fit.groupBy("label", "unit")
+        .agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("rep", F.monotonically_increasing_id())
     )
     reps = classes.select("rep", "label", "unit")
     entries = reps.mapInArrow(_entries, "cell long, rep long, number int, home boolean")
@@ -264,7 +265,7 @@ def near_duplicates(df: DataFrame) -> DataFrame:
         .select("cell", F.ceil(F.col("size") / PIECE).cast("int").alias("pieces"))
     )
     payload = stored(
-        reps.mapInArrow(_codes, "rep long, codes binary").join(classes, "rep")
+        reps.mapInArrow(_codes, "rep long, codes binary").join(classes.drop("first_id"), "rep")
     )
     pieces = F.col("pieces")
     own = F.pmod(F.xxhash64("rep"), pieces).cast("int")
@@ -291,9 +292,12 @@ def near_duplicates(df: DataFrame) -> DataFrame:
     of_class = of_class.select(
         "label",
         "unit",
+        "first_id",
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"),
+        F.coalesce("component", "rep").alias("component"),
     )
+    names = of_class.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    of_class = of_class.join(names, "component").drop("component", "first_id")
     linked = fit.join(of_class, ["label", "unit"]).select("vec_id", "n_links", "component_id")
     # one line per row: rows that take part, and the others
     others = given.where(

@@ -107,3 +107,15 @@ def test_one_group_of_copies_holds_a_third(spark):
 
 def test_empty_table(spark):
     assert result(spark, []) == []
+
+
+def test_repeated_ids_with_other_vectors_and_labels(spark):
+    near = [[1.0, 0.0, 0.0], [1.0, 0.01, 0.0], [1.0, 0.02, 0.0], [1.0, 0.03, 0.0]]
+    one = [(i, v, 0, "x") for i, v in zip((1, 1, 2, 3), near)]
+    assert result(spark, one) == brute_force(one)
+    assert [r[1] for r in result(spark, one)] == [3, 3, 3, 3]
+    other = [(i, v, label, "x") for label in (0, 1) for i, v in zip((1, 2), near)]
+    assert result(spark, other) == brute_force(other)
+    assert [r[1] for r in result(spark, other)] == [1, 1, 1, 1]
+    mixed = [*one, *one, (1, [0.0, 1.0, 0.0], 0, "x"), (9, [0.0, 1.0, 0.01], 0, "x"), (1, None, 0, "x")]
+    assert result(spark, mixed) == brute_force(mixed)
