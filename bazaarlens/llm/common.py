@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from bazaarlens.operators.scratch import stored
+from bazaarlens.operators.scratch import release, stored
 
 #: Rows that a task turns into Python objects at once.
 SLICE = 512
@@ -113,39 +113,41 @@ def sorted_groups(
 def components(edges: DataFrame) -> DataFrame:
     """Smallest id reachable from each id that has a link.
 
-    ``edges``: columns ``a`` and ``b`` (long). Returns ``id``, ``component``. Each
-    round every id takes the smallest label among its neighbours, and then its
-    label's own label, so a chain halves; rounds are written out, which cuts the
-    lineage. A neighbour's label is a minimum, computed map-side first: an id with
-    very many links does not gather them.
+    ``edges``: columns ``a`` and ``b`` (long). Returns ``id``, ``component``. Each round
+    maps every id to the smallest of itself and its neighbours, and that one on once more,
+    then replaces both ends of each link: links that fall together or into one id are
+    gone, so the next round has far fewer. An id that others were mapped to and that moved
+    itself keeps a link to where it went. Rounds are written out, which cuts the lineage.
+    Minima are computed map-side first: an id with very many links does not gather them.
     """
-    both = stored(
-        edges.where("a <> b")
-        .select("a", "b")
-        .unionByName(edges.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .distinct()
-    )
-    labels = stored(
-        both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select(
-            "id", F.least("id", "m").alias("component")
+    def different(pairs: DataFrame) -> DataFrame:
+        ends = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+        return stored(pairs.where("a <> b").select(*ends).distinct())
+
+    pairs, moves = different(edges.select("a", "b")), []
+    while not pairs.isEmpty():
+        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = both.groupBy(F.col("a").alias("id")).agg(F.least("id", F.min("b")).alias("label"))
+        near = stored(near)
+        on = near.select(F.col("id").alias("label"), F.col("label").alias("next"))
+        moved = stored(near.join(on, "label").select("id", F.col("next").alias("label")))
+        moves.append(moved)
+        of_a = moved.select(F.col("id").alias("a"), F.col("label").alias("x"))
+        of_b = moved.select(F.col("id").alias("b"), F.col("label").alias("y"))
+        kept = moved.select(F.col("label").alias("b")).distinct().join(of_b, "b")
+        after = different(
+            pairs.join(of_a, "a").join(of_b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+            .unionByName(kept.select(F.col("b").alias("a"), F.col("y").alias("b")))
         )
-    )
-    while True:
-        near = (
-            both.join(labels.withColumnsRenamed({"id": "b", "component": "m"}), "b")
-            .groupBy(F.col("a").alias("id"))
-            .agg(F.min("m").alias("m"))
+        release(pairs)
+        release(near)
+        pairs = after
+    if not moves:
+        return pairs.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    found = moves[0]
+    for moved in moves[1:]:
+        further = moved.select(F.col("id").alias("label"), F.col("label").alias("next"))
+        found = found.join(further, "label", "left").select(
+            "id", F.coalesce("next", "label").alias("label")
         )
-        lower = labels.join(near, "id").select("id", F.least("component", "m").alias("low"),
-                                               F.col("component").alias("was"))
-        jump = labels.select(F.col("id").alias("low"), F.col("component").alias("next"))
-        after = stored(
-            lower.join(jump, "low", "left").select(
-                "id",
-                F.least("low", F.coalesce("next", "low")).alias("component"),
-                "was",
-            )
-        )
-        labels = after.select("id", "component")
-        if after.where("component <> was").isEmpty():
-            return labels
+    return found.select("id", F.col("label").alias("component"))

@@ -17,8 +17,11 @@ the triangle inequality proves each step complete.
    Voronoi region of its nearest pivot and there into a ring of one radius' width.
    Boundary sets are replicated to all regions and rings that the windows of the
    triangle inequality allow. Sets far from all pivots form a region of their own.
-   Rings that are still too large are divided again by other pivots.
-3. What pivots cannot divide is dealt out in pairs of pieces.
+   Rings that are still too large are divided again by other pivots. Sets linked to one
+   pivot, or to pivots that a set is linked to at once, belong together already: they are
+   compared with others only, and a ring of none but such sets is done.
+3. What pivots cannot divide, or only into more than it was, is dealt out in pairs of
+   pieces: those of sets that are still open with each other and with the rest.
 
 Regions, rings and pieces are joined exactly on shingle sets. Sets equal to one another
 take part once.
@@ -31,7 +34,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.common import batches_of, components, filled, sliced, sorted_groups, table
@@ -283,11 +286,11 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _region_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [(), (), (), ()]
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-        names=["region", "set_id", "n", "shingles"],
+        names=["region", "set_id", "n", "shingles", "linked"],
     )
 
 
@@ -303,7 +306,7 @@ def _sets(words: int):
                 found = shingles(text)
                 # another row of the same doc_id may hold another text
                 if len(found) and set_id(found) == wanted:
-                    rows.append((region, wanted, len(found), found.tobytes()))
+                    rows.append((region, wanted, len(found), found.tobytes(), None))
             yield _region_batch(rows)
 
     return run
@@ -384,36 +387,46 @@ def _divided(least: int, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rings of each set, and its links to pivots (as rows without region).
 
-        A region's pivots come before its sets.
+        The sets tried as pivots come before a region's sets, and sets are linked to any of
+        them. A linked set carries the name of the first from then on; rows without region
+        that carry one too say that two such names belong together.
         """
-        stretch, ready, names, pivots = None, False, [], []
+        stretch, ready, names, chosen, bridged = None, False, [], [], set()
         tried: list[tuple[int, np.ndarray]] = []
         out: list[tuple] = []
         for batch in sliced(batches):
             for row in batch.to_pylist():
                 region = row["region"]
                 if (region, row["stretch"]) != stretch:
-                    stretch, ready, tried = (region, row["stretch"]), False, []
+                    stretch, ready, tried, bridged = (region, row["stretch"]), False, [], set()
                 if row["pivot"]:
                     tried.append((row["set_id"], np.frombuffer(row["shingles"], np.uint64)))
                     continue
                 if not ready:
                     ready = True
                     chosen = _spread([s for _, s in tried], radius)
-                    names, pivots = [tried[i][0] for i in chosen], [tried[i][1] for i in chosen]
+                    names = [name for name, _ in tried]
                 own = np.frombuffer(row["shingles"], np.uint64)
-                both = np.array([len(np.intersect1d(own, p, assume_unique=True)) for p in pivots])
-                union = len(own) + np.array([len(p) for p in pivots]) - both
-                for i in np.flatnonzero(100 * both >= least * union):
-                    if names[i] != row["set_id"]:
-                        out.append((None, row["set_id"], names[i], None))
-                distance = 1 - both / union
+                both = np.array([len(np.intersect1d(own, p, assume_unique=True)) for _, p in tried])
+                union = len(own) + np.array([len(p) for _, p in tried]) - both
+                linked = row["linked"]
+                near = [names[i] for i in np.flatnonzero(100 * both >= least * union)]
+                if near and near[0] != row["set_id"]:
+                    out.append((None, row["set_id"], near[0], None, None))
+                if linked is None and near:
+                    linked = near[0]
+                for name in near:
+                    if name != linked and (linked, name) not in bridged:
+                        bridged.add((linked, name))
+                        out.append((None, linked, name, None, linked))
+                distance = (1 - both / union)[chosen]
                 nearest = distance.min()
 
-                def put(number: int, ring: int, row=row, region=region, out=out) -> None:
+                def put(number: int, ring: int, row=row, region=region, out=out, linked=linked) -> None:
                     name = np.array([region, number, ring, level], np.int64).view(np.uint64)
                     mixed = _mixed(_mixed(_mixed(_mixed(name[:1]) + name[1:2]) + name[2:3]) + name[3:4])
-                    out.append((int(mixed.view(np.int64)[0]), row["set_id"], row["n"], row["shingles"]))
+                    name = int(mixed.view(np.int64)[0])
+                    out.append((name, row["set_id"], row["n"], row["shingles"], linked))
 
                 if nearest >= FAR - radius - tiny:
                     put(-1, -1)
@@ -434,53 +447,102 @@ def _divided(least: int, level: int):
     return run
 
 
-_REGION = "region long, set_id long, n long, shingles binary"
+_REGION = "region long, set_id long, n long, shingles binary, linked long"
+
+
+def _sized(regions: DataFrame) -> DataFrame:
+    """Regions with something to compare: ``home``, pieces of sets that are open and not.
+
+    Sets with the commonest name in ``linked`` are linked to one pivot and not compared with
+    each other. All others are open.
+    """
+    alike = regions.groupBy("region", "linked").agg(
+        F.count(F.lit(1)).alias("sets"), F.sum("n").alias("all_shingles")
+    )
+    known = F.col("linked").isNotNull()
+    totals = alike.groupBy("region").agg(
+        F.max_by("linked", F.when(known, F.struct("sets", "linked"))).alias("home"),
+        F.max(F.when(known, F.struct("sets", "linked", "all_shingles"))).alias("closed"),
+        F.sum("sets").alias("sets"),
+        F.sum("all_shingles").alias("all_shingles"),
+    )
+
+    def pieces(sets: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(sets / MOST_SETS), F.ceil(shingles / MOST_SHINGLES)).cast("int")
+
+    sets, shingles = F.coalesce("closed.sets", F.lit(0)), F.coalesce("closed.all_shingles", F.lit(0))
+    sized = totals.where((F.col("sets") > 1) & (F.col("sets") > sets)).select(
+        "region",
+        "home",
+        "sets",
+        sets.alias("closed"),
+        pieces(F.col("sets") - sets, F.col("all_shingles") - shingles).alias("open"),
+        pieces(sets, shingles).alias("shut"),
+    )
+    # rows that dealing out makes of the region
+    meet = (F.col("sets") - F.col("closed")) * (F.col("open") + F.col("shut"))
+    return sized.select("*", (meet + F.col("closed") * F.col("open")).alias("rows"))
+
+
+def _dealt(regions: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Sets dealt to pairs of pieces (low, high), at least one of which is of open sets."""
+    shut = F.col("linked").isNotNull() & F.col("linked").eqNullSafe(F.col("home"))
+    drawn = F.xxhash64("set_id")
+    open_piece = F.pmod(drawn, F.col("open")).cast("int")
+    shut_piece = (F.col("open") + F.pmod(drawn, F.greatest("shut", F.lit(1)))).cast("int")
+    piece = F.when(shut, shut_piece).otherwise(open_piece)
+    last = F.when(shut, F.col("open")).otherwise(F.col("open") + F.col("shut")) - 1
+    return (
+        regions.join(sizes.select("region", "home", "open", "shut"), "region")
+        .withColumn("piece", piece)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last.cast("int"))))
+        .select(
+            "region", "set_id", "shingles",
+            F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"),
+        )
+    )
 
 
 def _links(regions: DataFrame, least: int) -> list[DataFrame]:
     """Spanning edges (a, b) of all links within regions."""
     edges = []
-    for level in range(LEVELS + 1):
-        sizes = regions.groupBy("region").agg(
-            F.count(F.lit(1)).alias("sets"), F.sum("n").alias("all_shingles")
-        )
-        pieces = F.greatest(
-            F.ceil(F.col("sets") / MOST_SETS), F.ceil(F.col("all_shingles") / MOST_SHINGLES)
-        ).cast("int")
-        sizes = stored(sizes.where("sets > 1").withColumn("pieces", pieces))
-        large = sizes.where("pieces > 1")
-        divide = level < LEVELS and not large.isEmpty()
-        now = sizes.where("pieces = 1") if divide else sizes
-        own = F.pmod(F.xxhash64("set_id"), F.col("pieces")).cast("int")
-        dealt = (
-            regions.join(now.select("region", "pieces"), "region")
-            .withColumn("piece", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-            .select(
-                "region", "set_id", "shingles",
-                F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"),
-            )
-        )
+
+    def join(sizes: DataFrame) -> None:
         edges.append(
             stored(
-                dealt.repartition("region", "low", "high")
+                _dealt(regions, sizes)
+                .repartition("region", "low", "high")
                 .sortWithinPartitions("region", "low", "high", "set_id")
                 .mapInArrow(_joined(least), "a long, b long")
             )
         )
-        if not divide:
+
+    def rows(sizes: DataFrame) -> int:
+        return sizes.agg(F.sum("rows")).first()[0] or 0
+
+    sizes = stored(_sized(regions))
+    for level in range(LEVELS + 1):
+        # few open sets meet any number of others without being divided
+        large = sizes.where("open > 1")
+        join(sizes.where("open = 1"))
+        if large.isEmpty():
+            return edges
+        if level == LEVELS:
+            join(large)
             return edges
         # each stretch of a region is led by a copy of the region's pivots
         stretches = large.select("region", F.ceil(F.col("sets") / STRETCH).cast("int").alias("stretches"))
         many = stored(regions.join(stretches, "region"))
-        order = Window.partitionBy("region").orderBy(F.xxhash64("set_id", F.lit(level)))
+        # new pivots are sets that no pivot is linked to, where there are any
+        drawn = F.xxhash64("set_id", F.lit(level))
+        order = Window.partitionBy("region").orderBy(F.col("linked").isNotNull(), drawn)
         pivots = many.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
         led = many.select(
-            "region", "set_id", "n", "shingles", F.lit(False).alias("pivot"),
+            "region", "set_id", "n", "shingles", "linked", F.lit(False).alias("pivot"),
             F.pmod(F.xxhash64("set_id"), F.col("stretches")).cast("int").alias("stretch"),
         ).unionByName(
             pivots.select(
-                "region", "set_id", "n", "shingles", F.lit(True).alias("pivot"),
+                "region", "set_id", "n", "shingles", "linked", F.lit(True).alias("pivot"),
                 F.explode(F.sequence(F.lit(0), F.col("stretches") - 1)).alias("stretch"),
             )
         )
@@ -493,7 +555,20 @@ def _links(regions: DataFrame, least: int) -> list[DataFrame]:
             rings.where("region IS NULL").select(F.col("set_id").alias("a"), F.col("n").alias("b"))
         )
         release(many)
-        regions = rings.where("region IS NOT NULL")
+        # names that belong together become one
+        bridges = rings.where("region IS NULL AND linked IS NOT NULL")
+        one = components(bridges.select(F.col("set_id").alias("a"), F.col("n").alias("b")))
+        divided = (
+            rings.where("region IS NOT NULL")
+            .join(one.withColumnRenamed("id", "linked"), "linked", "left")
+            .select("region", "set_id", "n", "shingles", F.coalesce("component", "linked").alias("linked"))
+        )
+        parts = stored(_sized(divided))
+        if rows(parts) >= rows(large):
+            # sets at middling distances from all pivots: windows only multiply them
+            join(large)
+            return edges
+        regions, sizes = divided, parts
     return edges
 
 

@@ -130,3 +130,78 @@ def test_odd_rows(spark, odd):
     assert result(spark, rows, 3, 90) == brute_force(rows, 3, 90)
     assert result(spark, [], 3, 90) == []
     assert jaccard.jaccard_groups(odd.withColumnRenamed("more", "SET_ID")).count() == odd.count()
+
+
+def near_copies(count, length=300, seed=4):
+    """Texts that differ from one in a word or two each, and some of no group."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(5000)}" for _ in range(length)]
+    texts = []
+    for i in range(count):
+        words = list(base)
+        for _ in range(rng.randint(1, 2)):
+            words[rng.randrange(length)] = f"x{i}"
+        texts.append(" ".join(words))
+    texts += [" ".join(f"u{i}v{rng.randrange(900)}" for _ in range(60)) for i in range(50)]
+    return list(enumerate(texts))
+
+
+def test_a_large_group_of_near_copies_is_compared_in_proportion(spark, monkeypatch):
+    """Rows that meet in tasks grow with the group, not with its square."""
+    dealt, seen = jaccard._dealt, []
+
+    def counted(regions, sizes):
+        rows = dealt(regions, sizes)
+        seen.append(rows.count())
+        return rows
+
+    monkeypatch.setattr(jaccard, "_dealt", counted)
+    monkeypatch.setattr(jaccard, "MOST_SETS", 64)
+    monkeypatch.setattr(jaccard, "STRETCH", 64)
+    made = []
+    for count in (750, 3000):
+        seen.clear()
+        rows = near_copies(count)
+        got = result(spark, rows, 3, 90)
+        made.append(sum(seen))
+        component = {doc: low for doc, _, low in got}
+        assert all(component[i] == 0 for i in range(count))
+        assert all(component[i] == i for i in range(count, count + 50))
+    assert made[1] <= 6 * max(made[0], 750)
+    assert made[1] <= 3 * 3000
+
+
+def test_open_sets_meet_all_others(spark, monkeypatch):
+    """Chains: each text is near its neighbours only, so most are far from any pivot."""
+    monkeypatch.setattr(jaccard, "MOST_SETS", 8)
+    monkeypatch.setattr(jaccard, "STRETCH", 8)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[2 * i : 2 * i + 80])) for i in range(150)]
+    rng = random.Random(1)
+    for _ in range(60):
+        kept = list(words[:80])
+        kept[rng.randrange(80)] = f"z{rng.randrange(40)}"
+        rows.append((len(rows), " ".join(kept)))
+    assert result(spark, rows, 3, 90) == brute_force(rows, 3, 90)
+    assert result(spark, rows, 5, 80) == brute_force(rows, 5, 80)
+
+
+def test_components(spark):
+    from bazaarlens.llm.common import components
+
+    rng = random.Random(6)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)]
+    edges += [(i, i + 1) for i in range(1000, 1120)]  # a chain
+    edges += [(5000, i) for i in range(5001, 5200)] + [(7, 7), (-3, 9000)]
+    rng.shuffle(edges)
+    label = {v: v for e in edges if e[0] != e[1] for v in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            if a != b and label[a] != label[b]:
+                label[a] = label[b] = min(label[a], label[b])
+                changed = True
+    df = spark.createDataFrame(edges, "a long, b long")
+    assert {r["id"]: r["component"] for r in components(df).collect()} == label
+    assert components(df.limit(0)).count() == 0
