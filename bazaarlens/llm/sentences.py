@@ -12,6 +12,10 @@ left, every window of ``PASSAGE`` words that an earlier document holds too is cu
 Windows are found by winnowing: of each, the smallest hash of ``GRAM`` words in it is
 looked up first, which equal windows share, so only windows that can be repeated are
 joined, and none that is repeated is missed.
+
+Runs and hashes of words are shuffled once. Before that each task settles what it can: of
+equal ones that it has pooled only the first goes on, so a very common one is a row for
+each pool. What documents lose is sent back to them as ranges of sentences.
 """
 
 from __future__ import annotations
@@ -36,8 +40,12 @@ BROADCAST_ENTRIES = 1_000_000
 
 _ENDS = re.compile(r"(?<=[.!?])\s+|\n+").finditer
 _WORDS = re.compile(r"\w+").findall
-# a run's place: 16 bits of the text's hash, the first sentence, the number of sentences
-_MARK, _LENGTH = 1 << 40, 1 << 8
+# a run's code: the first sentence, the number of sentences
+_LENGTH = 1 << 8
+#: Runs or hashes that a task compares with each other before they are shuffled.
+POOL = 200_000
+# a range's code: the first sentence, the one after the last
+_SPAN = 1 << 31
 
 
 def split(text: str) -> tuple[list[int], list[int]]:
@@ -87,17 +95,46 @@ def runs_of(words: list[int]) -> list[tuple[int, int]]:
     return [(i, size) for i, size in found if size < _LENGTH]
 
 
+def _firsts(columns: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
+    """Which rows equal the first of their group in all columns; ``starts``: of groups."""
+    sizes = np.diff(starts, append=len(columns[0]))
+    return np.logical_and.reduce([c == np.repeat(c[starts], sizes) for c in columns])
+
+
+def _groups(key: np.ndarray) -> np.ndarray:
+    """Starts of runs of equal keys."""
+    return np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Place of every run of every text, with its hash at its first place in the text."""
+    """The runs of every text; those known to be repeated carry no hash any more."""
     import xxhash
 
     digest = xxhash.xxh3_64_intdigest
+    hashes, ids, marks, codes, again = [], [], [], [], []
+
+    def pooled() -> pa.RecordBatch:
+        # a run's first place goes on, later ones are settled
+        run = np.array(hashes, np.uint64)
+        place = [np.array(x, np.int64) for x in (ids, marks, codes)]
+        known = np.array(again, bool)
+        order = np.lexsort((*place[::-1], run))
+        order = np.concatenate([order[~known[order]], order[known[order]]])
+        run, place, known = run[order], [x[order] for x in place], known[order]
+        n = int((~known).sum())
+        starts = _groups(run[:n])
+        settled = np.r_[~_firsts([x[:n] for x in place], starts), np.ones(len(run) - n, bool)]
+        kept = settled.copy()
+        kept[starts] = True  # the first rows, once
+        for x in (hashes, ids, marks, codes, again):
+            x.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(run.view(np.int64)[kept], mask=settled[kept]), *[pa.array(x[kept]) for x in place]],
+            names=["run", "id", "mark", "code"],
+        )
+
     for batch in sliced(batches):
-        hashes, ids, places = [], [], []
-        for doc_id, mark, text in zip(
-            batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(),
-            strict=True,
-        ):
+        for doc_id, mark, text in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
             ends, words = split(text)
             starts = [0, *ends]
             coded = [
@@ -107,65 +144,93 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen = set()
             for i, size in sorted(runs_of(words)):
                 run = digest(b"".join(coded[i : i + size]))
-                # a repeat within the text is no first one: it need not be joined
-                hashes.append(None if run in seen else run)
+                # a repeat within the text is no first one
+                again.append(run in seen)
                 seen.add(run)
+                hashes.append(run)
                 ids.append(doc_id)
-                places.append(mark * _MARK + i * _LENGTH + size)
-            if len(hashes) >= 200_000:
-                yield _run_batch(hashes, ids, places)
-                hashes, ids, places = [], [], []
-        yield _run_batch(hashes, ids, places)
-
-
-def _run_batch(hashes: list[int | None], ids: list[int], places: list[int]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(hashes, pa.uint64()).view(pa.int64()),
-            pa.array(ids, pa.int64()),
-            pa.array(places, pa.int64()),
-        ],
-        names=["run", "id", "place"],
+                marks.append(mark)
+                codes.append(i * _LENGTH + size)
+            if len(hashes) >= POOL:
+                yield pooled()
+    if hashes:
+        yield pooled()
+
+
+def _later(names: list[str], same: int):
+    """Places of all rows but those of the first; rows are sorted by their hash and place.
+
+    ``names``: the hash and the columns of a place, of which the first ``same`` tell whether
+    a row is like the first of its hash. Rows without a hash are known to be later.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_key, last = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            settled = batch.column(names[0]).is_null().to_numpy(zero_copy_only=False)
+            place = [batch.column(c).to_numpy() for c in names[1:]]
+            later = settled.copy()
+            key = batch.column(names[0]).drop_null().to_numpy()
+            if len(key):
+                at = np.flatnonzero(~settled)
+                own = [x[at] for x in place[:same]]
+                again = key[0] == last_key  # the first one was in the batch before
+                if again:
+                    key, own = np.r_[key[:1], key], [np.r_[x, y] for x, y in zip(last, own, strict=True)]
+                starts = _groups(key)
+                later[at] = ~_firsts(own, starts)[int(again) :]
+                last_key, last = key[-1], [x[starts[-1] : starts[-1] + 1] for x in own]
+            yield pa.RecordBatch.from_arrays([pa.array(x[later]) for x in place], names=names[1:])
+
+    return run
+
+
+def _others(found: DataFrame, names: list[str], same: int) -> DataFrame:
+    """Places (all columns but the hash) of what is not the first of its hash; one shuffle."""
+    key, *place = names
+    return (
+        # settled rows are dealt evenly
+        found.repartition(F.coalesce(key, F.xxhash64(*place)))
+        .sortWithinPartitions(*names)
+        .mapInArrow(_later(names, same), ", ".join(f"{c} long" for c in place))
     )
 
 
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sentences that documents lose, as few ranges: first sentence and the one after."""
+    for batch in sliced(batches):
+        lists = []
+        for codes in batch.column("list"):
+            code = np.sort(codes.values.to_numpy())
+            first, ends = code // _LENGTH, np.maximum.accumulate(code // _LENGTH + code % _LENGTH)
+            new = np.flatnonzero(np.r_[True, first[1:] > ends[:-1]])
+            lists.append(first[new] * _SPAN + ends[np.r_[new[1:] - 1, len(code) - 1]])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("id"), batch.column("mark"), pa.array(lists, pa.list_(pa.int64()))],
+            names=["id", "mark", "list"],
+        )
+
+
 def _id() -> Column:
     """doc_id, the smallest number where it is null."""
     return F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
 
 
 def _mark() -> Column:
-    """16 bits of the text's hash: rows of one doc_id with other texts are other documents."""
-    return F.pmod(F.xxhash64(filled()), F.lit(1 << 16))
+    """Hash of the text: rows of one doc_id with other texts are other documents."""
+    return F.xxhash64(filled())
 
 
 def repeated_sentences(df: DataFrame) -> DataFrame:
-    """Sentences to remove: id, mark, and the removed sentences as first-and-size codes."""
-    runs = stored(
-        df.select(_id().alias("id"), _mark().alias("mark"), filled().alias("text")).mapInArrow(
-            _runs, "run long, id long, place long"
-        )
-    )
-    joined = runs.where("run IS NOT NULL")
-    # written out, so that the join is dealt out anew and can split very common runs
-    repeated = stored(
-        joined.groupBy("run")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "place")).alias("first"))
-        .where("n > 1")
-        .select("run", F.col("first.id").alias("first_id"), F.col("first.place").alias("first_place"))
-    )
-    later = (
-        joined.join(repeated, "run")
-        .where("id <> first_id OR place <> first_place")
-        .select("id", "place")
-        .unionByName(runs.where("run IS NULL").select("id", "place"))
-    )
-    mark, place = F.expr(f"place div {_MARK}"), F.pmod("place", F.lit(_MARK))
-    return (
-        later.select("id", mark.alias("mark"), place.alias("code"))
-        .groupBy("id", "mark")
-        .agg(F.collect_set("code").alias("codes"))
+    """Sentences to remove: id, mark, and a list of ranges of sentences."""
+    runs = df.select(_id().alias("id"), _mark().alias("mark"), filled().alias("text")).mapInArrow(
+        _runs, "run long, id long, mark long, code long"
     )
+    later = _others(runs, ["run", "id", "mark", "code"], 3)
+    lost = later.groupBy("id", "mark").agg(F.collect_set("code").alias("list"))
+    return lost.mapInArrow(_ranges, "id long, mark long, list array<long>")
 
 
 _FIELDS = [
@@ -175,17 +240,15 @@ _FIELDS = [
 ]
 
 
-def _cut(text: str, codes: list[int] | None) -> tuple[str, int, int]:
+def _cut(text: str, ranges: list[int] | None) -> tuple[str, int, int]:
     ends, _ = split(text)
-    if not codes:
+    if not ranges:
         return text, len(ends), 0
-    gone = np.zeros(len(ends), bool)
-    for code in codes:
-        first, size = divmod(code, _LENGTH)
-        gone[first : first + size] = True
-    starts = [0, *ends]
-    kept = "".join(text[starts[i] : ends[i]] for i in np.flatnonzero(~gone))
-    return kept, len(ends), int(gone.sum())
+    starts, kept, at, lost = [0, *ends], [], 0, 0
+    for first, end in (divmod(r, _SPAN) for r in sorted(ranges)):
+        kept.append(text[starts[at] : starts[first]])
+        at, lost = end, lost + end - first
+    return "".join(kept) + text[starts[at] :], len(ends), lost
 
 
 def drop_repeated_sentences(df: DataFrame) -> DataFrame:
@@ -196,8 +259,9 @@ def drop_repeated_sentences(df: DataFrame) -> DataFrame:
     runs the one with the smallest doc_id stays, a null one first, then the earliest
     in the text. A null text becomes empty; a text whose sentences are all repeated
     becomes empty; an empty table stays empty; columns of the new names are replaced.
+    Documents are told apart by all 64 bits of the text's hash.
     """
-    removed = stored(repeated_sentences(df))
+    removed = _held(repeated_sentences(df))
     kept = without(df, ["text", "n_sentences", "n_removed"])
     given = df.select(
         *[F.col(f"`{c}`") for c in kept], filled().alias("__text"), _id().alias("__id"), _mark().alias("__mark")
@@ -207,11 +271,11 @@ def drop_repeated_sentences(df: DataFrame) -> DataFrame:
     )
 
     def make() -> Callable[[list, list], list]:
-        return lambda texts, codes: (
-            [list(x) for x in zip(*map(_cut, texts, codes))] if texts else [[], [], []]
+        return lambda texts, lists: (
+            [list(x) for x in zip(*map(_cut, texts, lists))] if texts else [[], [], []]
         )
 
-    return append_columns(joined, [F.col("__text"), F.col("codes")], _FIELDS, make, kept)
+    return append_columns(joined, [F.col("__text"), F.col("list")], _FIELDS, make, kept)
 
 
 def _hashed(coded: np.ndarray, n: int) -> np.ndarray:
@@ -251,13 +315,32 @@ class _Coder(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def _entries(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=names)
+#: A hash that no other document of its pool has; one that some have, which goes on
+#: with the first of these; the others, of which it is known already.
+_ALONE, _SHARED, _SETTLED = 0, 1, 2
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The smallest hash of each window of each text, once a text."""
+    """The smallest hash of each window of each text, once a text, and what its pool tells."""
     coder = _Coder()
+    held: list[list[np.ndarray]] = []
+
+    def pooled() -> pa.RecordBatch:
+        gram, ids, marks = (np.concatenate(c) for c in zip(*held, strict=True))
+        held.clear()
+        order = np.lexsort((marks, ids, gram))
+        gram, ids, marks = gram[order], ids[order], marks[order]
+        starts = _groups(gram)
+        sizes = np.diff(starts, append=len(gram))
+        first = _firsts([ids, marks], starts)
+        several = ~np.logical_and.reduceat(first, starts) if len(starts) else np.zeros(0, bool)
+        kind = np.where(first, np.repeat(np.where(several, _SHARED, _ALONE), sizes), _SETTLED)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(gram.view(np.int64)), pa.array(ids), pa.array(marks), pa.array(kind.astype(np.int8))],
+            names=["gram", "id", "mark", "kind"],
+        )
+
+    size = 0
     for batch in sliced(batches):
         found = [
             np.unique(_least(_hashed(codes, GRAM))) if len(codes) >= PASSAGE else np.zeros(0, np.uint64)
@@ -265,44 +348,98 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ]
         sizes = list(map(len, found))
         ids, marks = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1))
-        yield _entries([np.concatenate(found), ids, marks], ["gram", "id", "mark"])
+        held.append([np.concatenate([np.zeros(0, np.uint64), *found]), ids, marks])
+        size += len(ids)
+        if size >= POOL:
+            yield pooled()
+            size = 0
+    if held:
+        yield pooled()
+
+
+def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents and their hashes that other documents have too; rows are sorted by hash.
+
+    A hash has few rows that are not settled: one for each pool that it was in.
+    """
+    names = ["gram", "id", "mark", "kind"]
+
+    def judged(columns: list[np.ndarray]) -> pa.RecordBatch:
+        gram, ids, marks, kind = columns
+        starts = _groups(gram)
+        alone = _firsts([ids, marks], starts) & (kind == _ALONE)
+        shared = ~np.logical_and.reduceat(alone, starts) if len(starts) else np.zeros(0, bool)
+        kept = np.repeat(shared, np.diff(starts, append=len(gram)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids[kept]), pa.array(marks[kept]), pa.array(gram[kept])], names=["id", "mark", "gram"]
+        )
+
+    carried = None
+    for batch in batches:
+        columns = [batch.column(c).to_numpy() for c in names]
+        settled = columns[3] == _SETTLED
+        if settled.any():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[i][settled]) for i in (1, 2, 0)], names=["id", "mark", "gram"]
+            )
+            columns = [c[~settled] for c in columns]
+        if carried is not None:
+            columns = [np.r_[x, y] for x, y in zip(carried, columns, strict=True)]
+        cut = int(_groups(columns[0])[-1]) if len(columns[0]) else 0
+        if cut:
+            yield judged([c[:cut] for c in columns])
+        carried = [c[cut:] for c in columns]
+    if carried is not None:
+        yield judged(carried)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash and first word of each window whose smallest hash is among the given ones."""
+    """Hash and first word of each window whose smallest hash is among the given ones.
+
+    Of a window that several documents of a pool have, only the first document's go on
+    with a hash; the others' are known to be later.
+    """
     coder = _Coder()
+    held: list[list[np.ndarray]] = []
+    size = 0
+
+    def pooled() -> pa.RecordBatch:
+        window, *place = (np.concatenate(c) for c in zip(*held, strict=True))
+        held.clear()
+        order = np.lexsort((*place[::-1], window))
+        window, place = window[order], [x[order] for x in place]
+        settled = ~_firsts(place[:2], _groups(window))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(window.view(np.int64), mask=settled), *map(pa.array, place)],
+            names=["window", "id", "mark", "place"],
+        )
+
     for batch in sliced(batches, 64):
-        hashes, places = [], []
-        for text, grams in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
+        for doc_id, mark, text, grams in zip(
+            *[batch.column(i).to_pylist() for i in range(3)], batch.column(3), strict=True
+        ):
             codes = coder.of(text)
             wanted = grams.values.to_numpy().view(np.uint64)
             at = np.flatnonzero(np.isin(_least(_hashed(codes, GRAM)), wanted))
-            hashes.append(_hashed(codes, PASSAGE)[at])
-            places.append(at)
-        sizes = list(map(len, places))
-        ids, marks = (np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1))
-        yield _entries(
-            [np.concatenate(hashes), ids, marks, np.concatenate(places)], ["window", "id", "mark", "place"]
-        )
-
-
-def _shared(rows: DataFrame, key: str) -> DataFrame:
-    """Rows whose key more than one document has, with the first of these."""
-    document = F.struct("id", "mark")
-    several = stored(
-        rows.groupBy(key)
-        .agg(F.min(document).alias("first"), F.max(document).alias("last"))
-        .where("first <> last")
-        .select(key, "first")
-    )
-    return rows.join(several, key)
+            held.append([_hashed(codes, PASSAGE)[at], np.full(len(at), doc_id), np.full(len(at), mark), at])
+            size += len(at)
+        if size >= POOL:
+            yield pooled()
+            size = 0
+    if held:
+        yield pooled()
+
+
+def _held(lists: DataFrame) -> DataFrame:
+    """Lists of documents (id, mark, list), stored; broadcast if they have few entries."""
+    rows = stored(lists)
+    entries = rows.agg(F.sum(F.size("list"))).first()[0] or 0
+    return F.broadcast(rows) if entries <= BROADCAST_ENTRIES else rows
 
 
 def _listed(rows: DataFrame, value: str) -> DataFrame:
-    """Values of each document as a list; broadcast if there are few."""
-    rows = stored(rows.groupBy("id", "mark").agg(F.collect_set(value).alias("list")))
-    entries = rows.agg(F.sum(F.size("list"))).first()[0] or 0
-    return F.broadcast(rows) if entries <= BROADCAST_ENTRIES else rows
+    """Values of each document as a list."""
+    return _held(rows.groupBy("id", "mark").agg(F.collect_set(value).alias("list")))
 
 
 def _without_passages(text: str, places: list[int] | None) -> tuple[str, int]:
@@ -327,18 +464,23 @@ def drop_repeated_passages(df: DataFrame) -> DataFrame:
     by all 64 bits of the text's hash; repeats within one document stay.
     """
     kept = without(df, ["text", "n_cut"])
-    mark = F.xxhash64(filled())
+    mark = _mark()
     texts = df.select(_id().alias("id"), mark.alias("mark"), filled().alias("text"))
-    grams = stored(texts.mapInArrow(_grams, "gram long, id long, mark long").distinct())
-    wanted = _listed(_shared(grams, "gram").select("id", "mark", "gram"), "gram")
-    windows = stored(
-        texts.join(wanted, ["id", "mark"])
-        .dropDuplicates(["id", "mark"])
+    grams = texts.mapInArrow(_grams, "gram long, id long, mark long, kind byte")
+    settled = F.col("kind") == _SETTLED
+    dealt = F.when(settled, F.xxhash64("id", "mark", "gram")).otherwise(F.col("gram"))
+    shared = (
+        grams.repartition(dealt)
+        .sortWithinPartitions("gram", "id", "mark")
+        .mapInArrow(_wanted, "id long, mark long, gram long")
+    )
+    wanted = _listed(shared, "gram")
+    windows = (
+        texts.join(wanted, ["id", "mark"])  # a repeated row adds nothing new
         .select("id", "mark", "text", "list")
         .mapInArrow(_windows, "window long, id long, mark long, place long")
     )
-    later = _shared(windows, "window").where("id <> first.id OR mark <> first.mark")
-    places = _listed(later.select("id", "mark", "place"), "place")
+    places = _listed(_others(windows, ["window", "id", "mark", "place"], 2), "place")
     joined = df.select(
         *[F.col(f"`{c}`") for c in kept], filled().alias("__text"), _id().alias("__id"), mark.alias("__mark")
     ).join(places, (F.col("__id") == F.col("id")) & (F.col("__mark") == F.col("mark")), "left")

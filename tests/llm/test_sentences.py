@@ -78,6 +78,42 @@ def test_against_brute_force_on_given_documents(spark):
     assert cleaned(df) == brute_force([r["text"] or "" for r in rows])
 
 
+def test_small_pools_settle_the_same(spark, monkeypatch):
+    """Runs met in one pool, in several and in one text, over many tasks and batches."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    expected = brute_force([r["text"] or "" for r in df.orderBy("doc_id").collect()])
+    passages = sentences.drop_repeated_passages(df).orderBy("doc_id").collect()
+    for pool in (1, 300):
+        monkeypatch.setattr(sentences, "POOL", pool)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+        dealt = df.repartition(7)
+        assert cleaned(dealt) == expected
+        assert sentences.drop_repeated_passages(dealt).orderBy("doc_id").collect() == passages
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_lists_are_joined_beyond_the_broadcast(spark, documents, monkeypatch):
+    monkeypatch.setattr(sentences, "BROADCAST_ENTRIES", 0)
+    texts = [f"Own words {i} here. {PASSAGE} Own end {i} there." for i in range(5)]
+    assert cleaned(documents(*texts)) == brute_force(texts)
+
+
+def test_a_common_run_is_one_row_for_each_pool(spark):
+    """However often a pool has met a run, one row of it goes on."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [PASSAGE] * 500 + [f"{PASSAGE} More of text {i}." for i in range(500)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(1000)), pa.array(np.arange(1000) % 7), pa.array(texts)], names=["id", "mark", "text"]
+    )
+    (found,) = sentences._runs([batch])
+    run = found.column("run")
+    assert len(run.drop_null()) == len(set(run.drop_null().to_pylist()))
+    (later,) = sentences._later(["run", "id", "mark", "code"], 3)([found])
+    assert later.num_rows == run.null_count
+
+
 def test_odd_rows(spark, odd):
     rows = sentences.drop_repeated_sentences(odd).collect()
     assert len(rows) == odd.count()
