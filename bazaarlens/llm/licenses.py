@@ -9,7 +9,7 @@ enough of the template is a span.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,20 +30,49 @@ PHRASES = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-# The opening words of well-known licences.
+# Paragraphs of well-known licences, in words.
 TEMPLATES = {
-    "mit": "permission is hereby granted free of charge to any person obtaining a copy of this "
-    "software and associated documentation files",
-    "apache-2": "licensed under the apache license version 2 0 the license you may not use this "
-    "file except in compliance with the license",
-    "bsd": "redistribution and use in source and binary forms with or without modification are "
-    "permitted provided that the following conditions are met",
-    "gpl": "this program is free software you can redistribute it and or modify it under the "
-    "terms of the gnu general public license as published by the free software foundation",
-    "mpl-2": "this source code form is subject to the terms of the mozilla public license v 2 0",
-    "cc-by": "this work is licensed under a creative commons attribution",
-    "all-rights-reserved": "all rights reserved",
+    "mit": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this "
+        "software and associated documentation files",
+        "the above copyright notice and this permission notice shall be included in all copies "
+        "or substantial portions of the software",
+        "the software is provided as is without warranty of any kind express or implied "
+        "including but not limited to the warranties of merchantability fitness for a "
+        "particular purpose and noninfringement in no event shall the authors or copyright "
+        "holders be liable for any claim damages or other liability whether in an action of "
+        "contract tort or otherwise arising from out of or in connection with the software or "
+        "the use or other dealings in the software",
+    ),
+    "apache-2": (
+        "licensed under the apache license version 2 0 the license you may not use this "
+        "file except in compliance with the license",
+        "unless required by applicable law or agreed to in writing software distributed under "
+        "the license is distributed on an as is basis without warranties or conditions of any "
+        "kind either express or implied",
+    ),
+    "bsd": (
+        "redistribution and use in source and binary forms with or without modification are "
+        "permitted provided that the following conditions are met",
+        "this software is provided by the copyright holders and contributors as is and any "
+        "express or implied warranties including but not limited to the implied warranties of "
+        "merchantability and fitness for a particular purpose are disclaimed",
+    ),
+    "gpl": (
+        "this program is free software you can redistribute it and or modify it under the "
+        "terms of the gnu general public license as published by the free software foundation",
+        "this program is distributed in the hope that it will be useful but without any "
+        "warranty without even the implied warranty of merchantability or fitness for a "
+        "particular purpose see the gnu general public license for more details",
+    ),
+    "mpl-2": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0",
+    ),
+    "cc-by": ("this work is licensed under a creative commons attribution",),
+    "all-rights-reserved": ("all rights reserved",),
 }
+#: Texts by label: any number of paragraphs or whole licences each.
+Templates = Mapping[str, str | Sequence[str]]
 #: Words a run needs to enter a chain, words a chain may skip, share of a template.
 LEAST_RUN, MOST_GAP, LEAST_COVER = 3, 8, 0.6
 
@@ -76,15 +105,15 @@ class Automaton:
     def __init__(self, strings: list[list[int]]):
         self.moves: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        #: per state, template -> last word of its first occurrence
-        self.ends: list[dict[int, int]] = [{}]
+        #: per state, template -> last words of its occurrences
+        self.ends: list[dict[int, list[int]]] = [{}]
         for number, string in enumerate(strings):
             last = 0
             for at, token in enumerate(string):
                 last = self._extend(last, token)
                 state = last
-                while state > 0 and number not in self.ends[state]:
-                    self.ends[state][number] = at
+                while state > 0:
+                    self.ends[state].setdefault(number, []).append(at)
                     state = self.link[state]
 
     def _state(self, length: int, link: int, moves: dict, ends: dict) -> int:
@@ -99,7 +128,10 @@ class Automaton:
         if self.length[q] == self.length[p] + 1:
             return q
         clone = self._state(
-            self.length[p] + 1, self.link[q], dict(self.moves[q]), dict(self.ends[q])
+            self.length[p] + 1,
+            self.link[q],
+            dict(self.moves[q]),
+            {number: list(at) for number, at in self.ends[q].items()},
         )
         self.link[q] = clone
         while p >= 0 and self.moves[p].get(token) == q:
@@ -127,10 +159,14 @@ class Automaton:
 
 
 def scanner(
-    phrases: dict[str, str], templates: dict[str, str]
+    phrases: dict[str, str], templates: Templates
 ) -> Callable[[str], tuple[int, list, list]]:
     """A function from a text to its number of words, phrase places and spans."""
-    strings = [(label, words_of(text)) for label, text in templates.items()]
+    strings = [
+        (label, words_of(text))
+        for label, texts in templates.items()
+        for text in ([texts] if isinstance(texts, str) else texts)
+    ]
     marks = [(label, words_of(text)) for text, label in phrases.items()]
     numbers: dict[bytes, int] = {}
     for _, words in strings + marks:
@@ -179,32 +215,43 @@ def scanner(
         return places, runs
 
     def chained(runs: list) -> list:
-        """Chains of runs per template that cover enough of it."""
-        spans = []
-        open_chains: dict[int, list] = {}  # template -> start, end, template end, words
+        """Spans of the templates: the best chains of runs that cover enough of each."""
+        ready: dict[int, list] = {}
+        # template -> its last word reached -> first word, word after the last, words covered
+        open_chains: dict[int, dict[int, tuple]] = {}
 
-        def close(number: int) -> None:
-            start, end, _, covered = open_chains.pop(number)
-            cover = covered / len(strings[number][1])
-            if cover >= LEAST_COVER:
-                spans.append((strings[number][0], start, end, min(1.0, cover)))
+        def close(number: int, chains: list[tuple]) -> None:
+            least = LEAST_COVER * len(strings[number][1])
+            ready.setdefault(number, []).extend(c for c in chains if c[2] >= least)
 
         for last, size, state in runs:
-            for number, at in ends[state].items():
+            from_word = last - size + 1
+            for number, ats in ends[state].items():
                 if number >= len(strings):
                     continue
-                chain = open_chains.get(number)
-                begins, from_word = at - size + 1, last - size + 1
-                if chain and begins > chain[2] - size and from_word - chain[1] <= MOST_GAP:
-                    fresh = min(size, at - chain[2], last + 1 - chain[1])
-                    if fresh > 0:
-                        chain[1], chain[2], chain[3] = last + 1, at, chain[3] + fresh
-                        continue
-                if chain:
-                    close(number)
-                open_chains[number] = [from_word, last + 1, at, size]
-        for number in list(open_chains):
-            close(number)
+                chains = open_chains.setdefault(number, {})
+                old = [at for at, c in chains.items() if from_word - c[1] > MOST_GAP]
+                close(number, [chains.pop(at) for at in old])
+                before = list(chains.items())
+                for at in ats:
+                    best = (from_word, last + 1, size)
+                    for reached, (start, end, covered) in before:
+                        fresh = min(size, at - reached, last + 1 - end)
+                        if fresh > 0 and covered + fresh > best[2]:
+                            best = (start, last + 1, covered + fresh)
+                    if at not in chains or chains[at][2] <= best[2]:
+                        close(number, [chains[at]] if at in chains else [])
+                        chains[at] = best
+        for number, chains in open_chains.items():
+            close(number, list(chains.values()))
+        spans = []
+        for number, chains in ready.items():
+            taken: list[tuple] = []
+            for chain in sorted(chains, key=lambda c: (-c[2], c[1] - c[0], c[0])):
+                if all(chain[1] <= t[0] or t[1] <= chain[0] for t in taken):
+                    taken.append(chain)
+            label, words = strings[number]
+            spans += [(label, start, end, min(1.0, n / len(words))) for start, end, n in taken]
         return sorted(spans, key=lambda s: (s[1], s[2], s[0]))
 
     def scan(text: str) -> tuple[int, list, list]:
@@ -220,7 +267,7 @@ def scan_licenses(
     df: DataFrame,
     text: Column | None = None,
     phrases: dict[str, str] = PHRASES,
-    templates: dict[str, str] = TEMPLATES,
+    templates: Templates = TEMPLATES,
     keep: list[str] | None = None,
 ) -> DataFrame:
     """``df`` with ``n_words``, phrase ``places`` and template ``spans``, in words from 0.
