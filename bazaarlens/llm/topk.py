@@ -24,17 +24,17 @@ from bazaarlens.operators.scratch import stored
 
 #: Vectors and queries in a block, on average.
 BLOCK, QUERY_BLOCK = 8192, 1024
-#: Components are saturated here, so that a score is a 64-bit number.
-LARGEST = 1 << 24
+#: Sums of squares of a vector's whole numbers stay below this, so a score fits 64 bits.
+LARGEST = 1 << 62
 #: A level is the last if so small a share of all pairs is left to score exactly.
 FEW = 0.02
 
 
 def _matrix(vectors: list[bytes]) -> np.ndarray:
     """Whole-number vectors as rows, shorter ones filled up with zeros."""
-    rows = [np.frombuffer(v, np.int32) for v in vectors]
+    rows = [np.frombuffer(v, np.int64) for v in vectors]
     width = max((len(r) for r in rows), default=0)
-    out = np.zeros((len(rows), width), np.int32)
+    out = np.zeros((len(rows), width), np.int64)
     for i, row in enumerate(rows):
         out[i, : len(row)] = row
     return out
@@ -98,7 +98,7 @@ class Index:
         for i in range(0, len(a), 1 << 17):
             part = slice(i, i + (1 << 17))
             exact[part] = np.einsum(
-                "ij,ij->i", queries[a[part]].astype(np.int64), self.vectors[b[part]].astype(np.int64)
+                "ij,ij->i", queries[a[part]], self.vectors[b[part]]
             )
         order = np.lexsort((ids[b], -exact, a))
         a, b, exact = a[order], b[order], exact[order]
@@ -119,8 +119,9 @@ def top_k(
 
     A vector is ``floor(scale * x)`` of its ``embedding``, a score the inner product,
     ties go to the smaller vec_id. Rows whose vec_id is null or whose embedding is
-    null or empty or holds null or non-finite components take no part. Components
-    beyond ``LARGEST`` count as that; missing components of shorter vectors count 0.
+    null or empty or holds null or non-finite components take no part. A vector so long
+    that its scores may not fit 64 bits (``LARGEST``) fails the job; missing components of
+    shorter vectors count 0.
     Rows of equal vec_id are one another's own; as queries they get one answer, for
     the least of their vectors. Fewer than k others give fewer rows,
     an empty table none; more columns are ignored.
@@ -130,12 +131,10 @@ def top_k(
         & (F.size("embedding") > 0),
         F.lit(False),
     )
-    whole = F.transform(
-        "embedding",
-        lambda x: F.greatest(
-            F.least(F.floor(x.cast("double") * scale).cast("double"), F.lit(float(LARGEST))),
-            F.lit(-float(LARGEST)),
-        ).cast("int"),
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    squares = F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x)
+    whole = F.when(squares < float(LARGEST), scaled.cast("array<bigint>")).otherwise(
+        F.raise_error(F.lit("scores of a vector do not fit 64 bits")).cast("array<bigint>")
     )
     vectors = (
         df.withColumn("__query", F.coalesce(is_query, F.lit(False)))
@@ -149,7 +148,7 @@ def top_k(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("vec_id"),
-                    pa.array([np.array(r, np.int32).tobytes() for r in rows], pa.binary()),
+                    pa.array([np.array(r, np.int64).tobytes() for r in rows], pa.binary()),
                     batch.column("__query"),
                 ],
                 names=["vec_id", "vector", "query"],
@@ -178,9 +177,9 @@ def top_k(
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], np.int64)
-                vectors = np.frombuffer(row["vectors"], np.int32).reshape(len(ids), -1)
+                vectors = np.frombuffer(row["vectors"], np.int64).reshape(len(ids), -1)
                 query_ids = np.frombuffer(row["query_ids"], np.int64)
-                asked = np.frombuffer(row["queries"], np.int32).reshape(len(query_ids), -1)
+                asked = np.frombuffer(row["queries"], np.int64).reshape(len(query_ids), -1)
                 width = max(vectors.shape[1], asked.shape[1])
                 vectors, asked = (
                     np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (vectors, asked)

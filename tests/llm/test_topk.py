@@ -58,9 +58,29 @@ def test_repeated_rows_and_short_vectors(spark):
     assert got["score"] == 65536
 
 
-def test_huge_components_are_saturated(spark):
-    got = answers(spark, [(0, [3e38, 1.0], 0), (1, [3e38, -1.0], 0)])
-    assert got == [(0, 1, 1, topk.LARGEST**2 - 65536)]
+def test_huge_components_score_exactly(spark):
+    """Components of a million: scores near 2**60, and vectors that differ in a last place."""
+    big = [0.5e6 + 1 / 256, -1e6, 1e6, 1.0]
+    rows = [(0, big, 0), (1, [x + 1 / 4 for x in big], 0), (2, big, 0), (3, [-x for x in big], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = topk.top_k(df, F.col("vec_id") == 0).collect()
+    whole = [np.floor(256 * np.array(v)).astype(int).tolist() for _, v, _ in rows]
+    scores = {i: sum(x * y for x, y in zip(whole[0], whole[i])) for i in (1, 2, 3)}
+    expected = sorted(scores.items(), key=lambda s: (-s[1], s[0]))
+    assert [(r["vec_id"], r["score"]) for r in got] == expected
+
+
+def test_scores_beyond_64_bits_fail(spark):
+    with pytest.raises(Exception, match="64 bits"):
+        answers(spark, [(0, [3e38, 1.0], 0), (1, [1.0, -1.0], 0)])
+
+
+def test_clashing_names(spark):
+    rows = [(i, [float(i), 1.0], 0) for i in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    plain = topk.top_k(df, F.col("vec_id") % 5 == 0).collect()
+    named = df.withColumns({"block": F.lit(1), "vector": F.lit("v"), "QUERY": F.lit(2), "rank": F.lit(3)})
+    assert topk.top_k(named, F.col("vec_id") % 5 == 0).collect() == plain
 
 
 def test_nothing_to_search(spark):
@@ -71,7 +91,7 @@ def test_nothing_to_search(spark):
 
 def test_levels_fall_and_bounds_hold():
     random = np.random.default_rng(0)
-    vectors = random.integers(-100, 100, (200, 8)).astype(np.int32)
+    vectors = random.integers(-100, 100, (200, 8))
     index = topk.Index(vectors)
     impacts = [np.abs(s).max() for s, _ in index.segments]
     assert impacts == sorted(impacts, reverse=True)
