@@ -50,14 +50,18 @@ def csv_reader(
     return read
 
 
-def write_extract(df: DataFrame, path: str) -> None:
-    """Write a raw table in the dialect :func:`read_extract` reads."""
+def write_extract(df: DataFrame, path: str, *, compression: str = "none") -> None:
+    """Write a raw table in the dialect :func:`read_extract` reads, one file for each task.
+
+    A compressed file is read by one task whole.
+    """
     df.write.mode("overwrite").options(
         header="true",
         quote='"',
         escape='"',
         nullValue="",
         emptyValue='""',
+        compression=compression,
         # Blanks at either end of a field are part of it.
         ignoreLeadingWhiteSpace="false",
         ignoreTrailingWhiteSpace="false",

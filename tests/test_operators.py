@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bazaarlens.functions import rising
 from bazaarlens.operators.keys import KeyViolation, key_report, require_key
 from bazaarlens.operators.modal import aggregate_with_modes, ballot
-from bazaarlens.operators.numbering import number_within
+from bazaarlens.operators.numbering import number_small_groups, number_within
 from bazaarlens.operators.pairs import _met_by_rare_items, items_left_out, top_shared_pairs
 from bazaarlens.operators.placement import SortKey, ntile_columns, row_numbers, with_rows_ahead
 
@@ -97,6 +97,22 @@ def test_numbers_within_groups(spark):
     assert numbered.count() == 3000
 
 
+def test_small_groups_are_numbered_where_they_lie(spark):
+    """As by global position, but without a further exchange after a join by group."""
+    left = spark.createDataFrame(
+        [(i % 7 if i % 11 else None, -i) for i in range(60)], "g bigint, a bigint"
+    )
+    order = ["a"]
+    both = [f(left, "g", order, "n") for f in (number_within, number_small_groups)]
+    assert both[0].schema == both[1].schema
+    assert sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect()))
+    keys = spark.range(7).withColumnRenamed("id", "k")
+    joined = left.hint("merge").join(keys, left["g"] == keys["k"])
+    plan = number_small_groups(joined, "g", order, "n")._jdf.queryExecution().toString()
+    plan = plan[plan.index("== Physical Plan ==") :]
+    assert "Window" in plan and plan.count("Exchange hashpartitioning(g") == 1
+
+
 def brute_force_pairs(links, at_least, limit):
     owners = defaultdict(set)
     for owner, item in links:

@@ -1,0 +1,87 @@
+"""Extracts made from given tables: line numbers whatever the size of an order."""
+
+from collections import defaultdict
+from pathlib import Path
+
+import pytest
+
+import __spark_entry__ as contract
+from bazaarlens.operators.scratch import session_folder
+from bazaarlens.sources.csv_extracts import csv_reader, write_extract
+from bazaarlens.sources.files import Files
+from bazaarlens.sources.synthetic import synthetic_reader
+
+LINE = (
+    "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz"
+)
+
+
+@pytest.fixture(scope="module")
+def given(spark, tmp_path_factory):
+    """Six orders, the first one with most lines; lines of no order and of no part are dropped."""
+    folder = str(tmp_path_factory.mktemp("given"))
+    lines = [
+        (order, part, 5, n, 1.0, 10.0 + n, 0.0, 0.5, "N", "O", None)
+        for order in (0, 1, 2, 3, 4, 5, 77, None)
+        for n in range(40 if order == 0 else 2 + (order or 0) % 3)
+        for part in ((n % 4, 9) if n % 5 == 0 else (n % 4,))
+    ]
+    lines += [line for line in lines if line[0] == 2]  # lines that come twice
+    tables = {
+        "lineitem": (lines, LINE),
+        "orders": (
+            [(k, f"1996-0{k + 1}-03 00:00:00") for k in range(6)],
+            "o_orderkey bigint, o_orderdate string",
+        ),
+        "part": ([(k, "SMALL" if k else "ECONOMY") for k in range(4)], "p_partkey bigint, p_type string"),
+    }
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            df = df.withColumn("o_orderdate", df["o_orderdate"].cast("timestamp_ntz"))
+        df.repartition(3).write.parquet(f"{folder}/{name}.parquet")
+    return folder, lines
+
+
+def _scratch(spark):
+    return set(Files(spark).under(f"{session_folder(spark)}/scratch"))
+
+
+@pytest.mark.parametrize("wide_rows", [1, 3, 1000])
+def test_lines_are_numbered_within_orders_of_any_size(spark, given, wide_rows):
+    folder, lines = given
+    items = synthetic_reader(spark, folder, wide_rows=wide_rows)("order_items")
+    numbers = defaultdict(list)
+    for row in items.select("order_id", "order_item_id").collect():
+        numbers[row[0]].append(int(row[1]))
+    kept = [line for line in lines if line[0] in range(6) and line[1] in range(4)]
+    assert {k: sorted(v) for k, v in numbers.items()} == {
+        f"o{k}": list(range(1, sum(line[0] == k for line in kept) + 1)) for k in range(6)
+    }
+    usual = synthetic_reader(spark, folder)("order_items")
+    assert sorted(map(str, items.collect())) == sorted(map(str, usual.collect()))
+
+
+def test_lines_of_small_orders_are_not_stored_apart(spark, given):
+    before = _scratch(spark)
+    items = synthetic_reader(spark, given[0])("order_items")
+    assert _scratch(spark) == before
+    plan = items._jdf.queryExecution().toString()
+    plan = plan[plan.index("== Physical Plan ==") :]
+    assert "Window" in plan and "rangepartitioning" not in plan
+    assert plan.count("hashpartitioning(l_orderkey") <= 1
+
+
+def test_csv_scan_writes_compressed_files(spark, given, tmp_path):
+    items = synthetic_reader(spark, given[0])("order_items")
+    write_extract(items, str(tmp_path / "order_items.csv"), compression="gzip")
+    files = [p.name for p in (tmp_path / "order_items.csv").iterdir() if p.name.startswith("part")]
+    assert files and all(name.endswith(".csv.gz") for name in files)
+    back = csv_reader(spark, str(tmp_path))("order_items")
+    assert sorted(map(str, back.collect())) == sorted(map(str, items.collect()))
+    contract._raw_csv_scan(spark, contract.SMALL)
+    home = Path(session_folder(spark).removeprefix("file://"))
+    written = [p.name for p in home.glob("csv-*/*.csv/part-*")]
+    assert written and all(name.endswith(".csv.gz") for name in written)
