@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from bazaarlens.operators.curve import curve_position, rank_bounds
+from bazaarlens.operators.curve import curve_position, rank_bounds, with_curve_position
 from bazaarlens.sources.layout import LAYOUTS, Layout, read_table, write_table
 
 FILES = 64
@@ -161,3 +161,15 @@ def test_places_on_the_curve(spark):
     none = rank_bounds(nulls.limit(0), ("a", "b"))
     assert none == [[], []]
     assert nulls.select(curve_position(("a", "b"), none)).first()[0] == 0
+
+
+def test_compiled_places_equal_interpreted_ones(spark):
+    rows = [(f"p{i * 37 % 101}" if i % 9 else None, f"é{i % 5}" if i % 7 else "") for i in range(900)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    columns = ("a", "concat(b, 'x')")
+    for bounds in (rank_bounds(df, columns), [[], rank_bounds(df, ("b",))[0]], [[], []]):
+        both = with_curve_position(df, columns, bounds, "place")
+        assert both.columns == ["a", "b", "place"]
+        assert both.filter(F.col("place") != curve_position(columns, bounds)).count() == 0
+    plan = with_curve_position(df, columns, rank_bounds(df, columns), "place")
+    assert "lambda" not in plan._jdf.queryExecution().optimizedPlan().toString()
