@@ -11,7 +11,12 @@ from bazaarlens.functions import rising
 from bazaarlens.operators.keys import KeyViolation, key_report, require_key
 from bazaarlens.operators.modal import aggregate_with_modes, ballot
 from bazaarlens.operators.numbering import number_small_groups, number_within
-from bazaarlens.operators.pairs import _met_by_rare_items, items_left_out, top_shared_pairs
+from bazaarlens.operators.pairs import (
+    _met_by_rare_items,
+    _pair_counts,
+    items_left_out,
+    top_shared_pairs,
+)
 from bazaarlens.operators.placement import SortKey, ntile_columns, row_numbers, with_rows_ahead
 
 
@@ -210,6 +215,30 @@ def test_left_out_items_are_counted_for_either_owner(spark, seed):
         assert got == {(int(a), int(b)): n for a, b, n in expected}
 
 
+@pytest.mark.parametrize(("listed", "wide_rows"), [(1_000, 100_000), (1_000, 12), (8, 100_000), (8, 12)])
+def test_pairs_of_lists_of_wide_items_and_of_frequent_owners(spark, listed, wide_rows):
+    rng = random.Random(3)
+    links = {(o, f"c{rng.randrange(60)}") for o in range(40) for _ in range(rng.randrange(1, 25))}
+    links |= {(o, "all") for o in range(40)}
+    holders = Counter(item for _, item in links)
+    df = spark.createDataFrame(
+        sorted((o, i, holders[i]) for o, i in links), "_no long, person string, _holders long"
+    )
+    counted = _pair_counts(df, "person", listed=listed, wide_rows=wide_rows)
+    got = sorted((f"{a:03d}", f"{b:03d}", n) for a, b, n in (tuple(r) for r in counted.collect()))
+    assert got == sorted(brute_force_pairs([(f"{o:03d}", i) for o, i in links], 1, 10**6))
+
+
+def test_pairs_are_summed_up_where_the_lists_of_their_first_owner_lie(spark):
+    """No row of a single pair is shuffled: only links by item and lists by first owner."""
+    df = spark.createDataFrame(
+        [(o, f"c{o % 7}", 9) for o in range(60)], "_no long, person string, _holders long"
+    )
+    plan = _pair_counts(df, "person")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 2 and "second" not in "".join(exchanges)
+
+
 def test_three_sellers_of_one_person_make_three_pairs(spark):
     df = spark.createDataFrame([(s, "p") for s in "cab"], "seller string, person string")
     got = top_shared_pairs(df, "seller", "person", at_least=1, limit=15).collect()
