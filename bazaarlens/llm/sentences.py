@@ -16,6 +16,10 @@ joined, and none that is repeated is missed.
 Runs and hashes of words are shuffled once. Before that each task settles what it can: of
 equal ones that it has pooled only the first goes on, so a very common one is a row for
 each pool. What documents lose is sent back to them as ranges of sentences.
+
+Texts move once: they are dealt by document when sentences are removed, and what is left
+of them is stored in buckets by the same key, so the lists that later steps make go to the
+texts. A document stays where it was dealt, whatever its text has become.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
 from bazaarlens.llm.common import append_columns, filled, sliced, table, without
-from bazaarlens.operators.scratch import stored
+from bazaarlens.operators.scratch import stored, stored_by
 
 LEAST_SENTENCES, LEAST_WORDS = 2, 20
 #: Words of a passage that is repeated whatever sentences it lies in, and of the groups it is found by.
@@ -251,7 +255,11 @@ def _cut(text: str, ranges: list[int] | None) -> tuple[str, int, int]:
     return "".join(kept) + text[starts[at] :], len(ends), lost
 
 
-def drop_repeated_sentences(df: DataFrame) -> DataFrame:
+#: Columns of dealt documents: id and hash of the text they are dealt by, hash of the text they have.
+_DEALT = ["__id", "__mark", "__told"]
+
+
+def drop_repeated_sentences(df: DataFrame, *, dealt: bool = False) -> DataFrame:
     """``df`` (doc_id, text, ...) without repeated sentence runs; adds n_sentences, n_removed.
 
     One row for each row. Rows equal in doc_id and text are one document and keep the
@@ -260,12 +268,22 @@ def drop_repeated_sentences(df: DataFrame) -> DataFrame:
     in the text. A null text becomes empty; a text whose sentences are all repeated
     becomes empty; an empty table stays empty; columns of the new names are replaced.
     Documents are told apart by all 64 bits of the text's hash.
+
+    ``dealt``: the rows lie by document, in as many partitions as a shuffle makes, and have
+    the columns that ``drop_repeated_passages`` finds them by.
     """
-    removed = _held(repeated_sentences(df))
     kept = without(df, ["text", "n_sentences", "n_removed"])
     given = df.select(
         *[F.col(f"`{c}`") for c in kept], filled().alias("__text"), _id().alias("__id"), _mark().alias("__mark")
     )
+    removed = repeated_sentences(df)
+    if dealt:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        given = given.repartition(partitions, "__id", "__mark")
+        removed = removed.hint("shuffle_hash")
+        kept += _DEALT[:2]
+    else:
+        removed = _held(removed)
     joined = given.join(
         removed, (F.col("__id") == F.col("id")) & (F.col("__mark") == F.col("mark")), "left"
     )
@@ -275,7 +293,8 @@ def drop_repeated_sentences(df: DataFrame) -> DataFrame:
             [list(x) for x in zip(*map(_cut, texts, lists))] if texts else [[], [], []]
         )
 
-    return append_columns(joined, [F.col("__text"), F.col("list")], _FIELDS, make, kept)
+    cut = append_columns(joined, [F.col("__text"), F.col("list")], _FIELDS, make, kept)
+    return cut.withColumn("__told", _mark()) if dealt else cut
 
 
 def _hashed(coded: np.ndarray, n: int) -> np.ndarray:
@@ -431,15 +450,25 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _held(lists: DataFrame) -> DataFrame:
-    """Lists of documents (id, mark, list), stored; broadcast if they have few entries."""
+    """Lists of documents (id, mark, list), stored; broadcast if they have few entries.
+
+    Beyond that each task hashes its share of them: texts are not sorted for a join.
+    """
     rows = stored(lists)
     entries = rows.agg(F.sum(F.size("list"))).first()[0] or 0
-    return F.broadcast(rows) if entries <= BROADCAST_ENTRIES else rows
+    return F.broadcast(rows) if entries <= BROADCAST_ENTRIES else rows.hint("shuffle_hash")
 
 
-def _listed(rows: DataFrame, value: str) -> DataFrame:
-    """Values of each document as a list."""
-    return _held(rows.groupBy("id", "mark").agg(F.collect_set(value).alias("list")))
+def _listed(rows: DataFrame, value: str, places: DataFrame | None) -> DataFrame:
+    """Values of each document (id, mark) as a list; ``places``: what they are dealt by, if not by that."""
+    lists = rows.groupBy("id", "mark").agg(F.collect_set(value).alias("list"))
+    if places is not None:
+        lists = (
+            lists.join(places, ["id", "mark"])
+            .groupBy("id", F.col("place").alias("mark"))
+            .agg(F.flatten(F.collect_list("list")).alias("list"))
+        )
+    return _held(lists)
 
 
 def _without_passages(text: str, places: list[int] | None) -> tuple[str, int]:
@@ -455,35 +484,49 @@ def _without_passages(text: str, places: list[int] | None) -> tuple[str, int]:
     return text[: starts[0]] + kept, int(gone.sum())
 
 
-def drop_repeated_passages(df: DataFrame) -> DataFrame:
+def drop_repeated_passages(df: DataFrame, *, dealt: bool = False) -> DataFrame:
     """``df`` (doc_id, text, ...) without passages that an earlier document holds; adds n_cut.
 
     A passage is ``PASSAGE`` successive words, lower-cased, wherever sentences begin or
     end. It stays in the document with the smallest doc_id, a null one first; n_cut
     counts the words removed. Documents are told apart as in ``drop_repeated_sentences``,
     by all 64 bits of the text's hash; repeats within one document stay.
+
+    ``dealt``: ``df`` has the columns by which ``drop_repeated_sentences`` dealt it. Stored
+    in buckets of the first two, its texts do not move.
     """
-    kept = without(df, ["text", "n_cut"])
-    mark = _mark()
-    texts = df.select(_id().alias("id"), mark.alias("mark"), filled().alias("text"))
+    kept = without(df, ["text", "n_cut", *(_DEALT if dealt else [])])
+    columns = [F.col(f"`{c}`") for c in kept]
+    names = [F.col(c) for c in _DEALT] if dealt else [_id(), _mark(), _mark()]
+    place = [c.alias(name) for c, name in zip(names, _DEALT)]
+    given = df.select(*columns, filled().alias("__text"), *place)
+    texts = df.select(names[0].alias("id"), names[2].alias("mark"), filled().alias("text"))
+    places = None
+    if dealt:  # rows of one doc_id whose texts have become equal are one document in two places
+        places = df.select(
+            F.col("__id").alias("id"), F.col("__told").alias("mark"), F.col("__mark").alias("place")
+        ).distinct()
+
+    def joined(lists: DataFrame, how: str) -> DataFrame:
+        here = (F.col("__id") == F.col("id")) & (F.col("__mark") == F.col("mark"))
+        return given.join(lists, here, how)
+
     grams = texts.mapInArrow(_grams, "gram long, id long, mark long, kind byte")
     settled = F.col("kind") == _SETTLED
-    dealt = F.when(settled, F.xxhash64("id", "mark", "gram")).otherwise(F.col("gram"))
+    spread = F.when(settled, F.xxhash64("id", "mark", "gram")).otherwise(F.col("gram"))
     shared = (
-        grams.repartition(dealt)
+        grams.repartition(spread)
         .sortWithinPartitions("gram", "id", "mark")
         .mapInArrow(_wanted, "id long, mark long, gram long")
     )
-    wanted = _listed(shared, "gram")
+    wanted = _listed(shared, "gram", places)
     windows = (
-        texts.join(wanted, ["id", "mark"])  # a repeated row adds nothing new
-        .select("id", "mark", "text", "list")
+        joined(wanted, "inner")  # a repeated row adds nothing new
+        .select("__id", "__told", "__text", "list")
         .mapInArrow(_windows, "window long, id long, mark long, place long")
     )
-    places = _listed(_others(windows, ["window", "id", "mark", "place"], 2), "place")
-    joined = df.select(
-        *[F.col(f"`{c}`") for c in kept], filled().alias("__text"), _id().alias("__id"), mark.alias("__mark")
-    ).join(places, (F.col("__id") == F.col("id")) & (F.col("__mark") == F.col("mark")), "left")
+    later = _others(windows, ["window", "id", "mark", "place"], 2)
+    cut = joined(_listed(later.withColumnRenamed("place", "word"), "word", places), "left")
 
     def make() -> Callable[[list, list], list]:
         return lambda texts, lists: (
@@ -491,12 +534,13 @@ def drop_repeated_passages(df: DataFrame) -> DataFrame:
         )
 
     fields = [StructField("text", StringType()), StructField("n_cut", LongType())]
-    return append_columns(joined, [F.col("__text"), F.col("list")], fields, make, kept)
+    return append_columns(cut, [F.col("__text"), F.col("list")], fields, make, kept)
 
 
 def op5_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without repeated sentence runs and without repeated passages."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return drop_repeated_passages(stored(drop_repeated_sentences(docs))).select(
+    left = stored_by(drop_repeated_sentences(docs, dealt=True), *_DEALT[:2])
+    return drop_repeated_passages(left, dealt=True).select(
         "doc_id", "text", "n_sentences", "n_removed", "n_cut"
     )

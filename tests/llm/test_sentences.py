@@ -158,3 +158,22 @@ def test_no_window_of_an_earlier_document_is_left(spark):
             if first.setdefault(tuple(words[i : i + n]), doc_id) != doc_id:
                 gone.update(range(i, i + n))
         assert sentences._WORDS(got[doc_id].lower()) == [w for i, w in enumerate(words) if i not in gone]
+
+
+def test_texts_stay_where_they_were_dealt(spark, tmp_path, monkeypatch):
+    """No join by list moves them, and texts of one doc_id that become equal count as one document."""
+    monkeypatch.setattr(sentences, "BROADCAST_ENTRIES", 0)
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(30)) for x in "abcd")
+    rows = [(1, PASSAGE), (2, f"{a}. {PASSAGE} {b}."), (2, f"{PASSAGE} {a}. {b}."), (3, f"Own {a} {b} end."), (None, ""),
+            (3, f"Own {a} {b} end."), (4, f"Own {c} {d} end."), (5, f"{c}. {PASSAGE} {d}."), (5, f"{PASSAGE} {c}. {d}."), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sentences.op5_sentences(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "Bucketed: true" in plan and len(moved) == 1 and "text" not in moved[0] and "__id" not in moved[0]
+    apart = sentences.drop_repeated_passages(sentences.stored(sentences.drop_repeated_sentences(docs)))
+    order = ["doc_id", "text", "n_cut"]
+    assert got.select(*order).orderBy(*order).collect() == apart.select(*order).orderBy(*order).collect()
+    assert sorted(r["n_cut"] for r in got.collect()) == [0] * 6 + [60] * 4
+    assert [r["text"] for r in got.where("doc_id = 2").collect()] == [f"{a}. {b}."] * 2
