@@ -228,3 +228,21 @@ def test_categories_come_from_one_join(spark, layers):
     # both sides of the one join of items with orders are read from buckets
     assert text.count("Bucketed: true") == 2
     assert not any(keys.startswith("order_id") and "," not in keys for keys in exchanges(derived))
+
+
+def test_no_sets_are_gathered_for_categories(spark, layers):
+    """Sets of sellers and products by order would be aggregates that sort all lines."""
+    assert "ObjectHashAggregate" not in plan(layers.derive("mart_product_category_analysis"))
+
+
+def test_members_and_single_numbers_are_counted(spark):
+    """Ids without numbers, also NULL, beside plain numbers; sums are those of all rows."""
+    given = spark.range(5000).selectExpr(
+        "if(id % 5 = 0, null, 'a') as g", "cast(id % 3 as long) as x", "if(id % 2 = 0, id % 100, null) as n",
+        "if(id % 7 = 0, null, concat('o', id % 900)) as o",
+    )
+    got = sums_and_distinct(given, "g", {"total": "x"}, {"numbers": "n"}, ("members", "o"))
+    expected = given.groupBy("g").agg(
+        F.sum("x").alias("total"), F.count_distinct("n").alias("numbers"), F.count_distinct("o").alias("members")
+    )
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
