@@ -207,3 +207,26 @@ def test_layouts_name_real_columns(layers):
         used = (layout.order, layout.folders, layout.unique, layout.bloom)
         assert {column for part in used for column in part} <= columns
         layers.table(name).selectExpr(*layout.curve)
+
+
+def test_missing_tables_of_one_step_are_written_together(spark, tmp_path):
+    """A table asked for alone has what it needs stored, step by step, and nothing else."""
+    from threading import Barrier
+
+    both = Barrier(2, timeout=60)  # broken if one waits alone
+
+    class Watched(Warehouse):
+        def _checked(self, name):
+            if name in ("stg_products", "stg_order_items"):
+                both.wait()
+            return super()._checked(name)
+
+    house = Watched(spark, str(tmp_path), synthetic_reader(spark, SMALL))
+    needed = {"stg_products", "stg_order_items", "int_orders_enriched", "mart_product_category_analysis"}
+    assert house.table("mart_product_category_analysis").count() > 0
+    stored = set(house._versions)
+    assert needed <= stored and "stg_sellers" not in stored and "raw_sellers" not in stored
+    assert not any(name.startswith(("int_", "mart_")) for name in stored - needed)
+    before = dict(house._versions)
+    house.gather(needed)
+    assert house._versions == before
