@@ -150,26 +150,31 @@ def _shared(df: DataFrame, path: str | None):
     return df.sparkSession.sparkContext.broadcast(read)
 
 
-def encode(df: DataFrame, path: str | None = None) -> DataFrame:
+def encode(df: DataFrame, path: str | None = None, decoded: bool = False) -> DataFrame:
     """``df`` with ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit) of its ``text``.
 
     One row for each row, repeated ones included; a null text is empty and has no
     ids, an empty table stays empty, texts are encoded whole whatever their length,
-    columns of these names are replaced. Strings of added tokens get their ids.
+    columns of these names are replaced. Strings of added tokens get their ids. With
+    ``decoded`` the ids are decoded as ``decode`` does, in the same pass: a second one
+    would keep a second worker, with a vocabulary of its own, beside each task's first.
     """
     shared = _shared(df, path)
 
     def make() -> Callable[[list], list]:
-        of = encoder(shared.value)
+        of, to_text = encoder(shared.value), decoder(shared.value)
 
         def work(texts: list) -> list:
-            packed = [of(t) for t in texts]
-            return [[len(p) // 4 for p in packed], packed]
+            packed = [of(t or "") for t in texts]
+            back = [[to_text(p) for p in packed]] if decoded else []
+            return [[len(p) // 4 for p in packed], packed, *back]
 
         return work
 
     fields = [StructField("n_tokens", LongType()), StructField("ids", BinaryType())]
-    return append_columns(df, [filled()], fields, make)
+    if decoded:
+        fields.append(StructField("decoded", StringType()))
+    return append_columns(df, ["text"], fields, make)
 
 
 def decode(df: DataFrame, path: str | None = None) -> DataFrame:

@@ -377,11 +377,21 @@ def _more(df: DataFrame, keys: np.ndarray, values: np.ndarray, rest: DataFrame)
 
 
 def _features(
-    df: DataFrame, keys: np.ndarray, values: np.ndarray, rest: DataFrame | None, keep: list[str]
+    df: DataFrame,
+    keys: np.ndarray,
+    values: np.ndarray,
+    rest: DataFrame | None,
+    keep: list[str],
+    fields: list[StructField] = _FEATURES,
+    judge: Callable[[np.ndarray], list[list]] | None = None,
 ) -> DataFrame:
-    """``df`` with features; ``rest``: letter groups and values that are not held."""
+    """``df`` with features; ``rest``: letter groups and values that are not held.
+
+    ``judge`` turns the features of rows into the values of ``fields``, in the same worker:
+    a second pass would keep a second worker beside each task's first.
+    """
     shared = df.sparkSession.sparkContext.broadcast((keys, values))
-    partial, inputs = rest is not None, [filled()]
+    partial, inputs = rest is not None, ["text"]
     if partial:
         more = _more(df, keys, values, rest)
         df = df.withColumn("__digest", F.xxhash64(filled())).join(more, "__digest", "left")
@@ -392,14 +402,16 @@ def _features(
 
         def work(texts: list, added: list | None = None) -> list:
             rows, given = [], iter(added or [None] * len(texts))
-            for counts in _counted(texts):
+            for counts in _counted([text or "" for text in texts]):
                 memory.learn(counts)
                 rows += [_describe(words, memory, more) for words, more in zip(counts, given, strict=False)]
+            if judge:
+                return judge(np.array(rows, float).reshape(len(rows), len(_FEATURES)))
             return [list(x) for x in zip(*rows, strict=True)] if rows else [[]] * 5
 
         return work
 
-    return append_columns(df, inputs, _FEATURES, make, keep)
+    return append_columns(df, inputs, fields, make, keep)
 
 
 def _scaled(features: np.ndarray) -> np.ndarray:
@@ -483,19 +495,14 @@ def score(df: DataFrame, model: Model, keep: list[str] | None = None) -> DataFra
     """
     kept = without(df.select(*keep) if keep is not None else df, ["score", "predicted"])
     names = [f"`{c}`" for c in kept]
-    described = _features(df, model.keys, model.differences, model.rest, names)
     weights = np.array(model.weights)
 
-    def make() -> Callable[..., list]:
-        def work(*features: list) -> list:
-            x = _scaled(np.column_stack(features))
-            p = 1 / (1 + np.exp(-np.clip(weights[0] + x @ weights[1:], -30, 30)))
-            return [p.tolist(), (p >= THRESHOLD).astype(int).tolist()]
-
-        return work
+    def judge(features: np.ndarray) -> list[list]:
+        p = 1 / (1 + np.exp(-np.clip(weights[0] + _scaled(features) @ weights[1:], -30, 30)))
+        return [p.tolist(), (p >= THRESHOLD).astype(int).tolist()]
 
     fields = [StructField("score", DoubleType()), StructField("predicted", IntegerType())]
-    return append_columns(described, [F.col(f.name) for f in _FEATURES], fields, make, names)
+    return _features(df, model.keys, model.differences, model.rest, names, fields, judge)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

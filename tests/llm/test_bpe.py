@@ -69,3 +69,10 @@ def test_empty_table(odd):
 def test_null_ids_decode_to_nothing(spark):
     df = spark.createDataFrame([(1, None), (2, b"")], "i long, ids binary")
     assert {r["decoded"] for r in bpe.decode(df).collect()} == {""}
+
+
+def test_decoding_in_the_same_pass_gives_the_same(odd):
+    at_once, apart = bpe.encode(odd, decoded=True), bpe.decode(bpe.encode(odd))
+    assert at_once.columns == apart.columns and at_once.dtypes == apart.dtypes
+    assert at_once.exceptAll(apart).count() == apart.exceptAll(at_once).count() == 0
+    assert at_once.count() == odd.count() and bpe.encode(odd.limit(0), decoded=True).count() == 0

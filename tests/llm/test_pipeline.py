@@ -100,3 +100,11 @@ def test_shuffled_lookups_give_the_same(spark, stages, monkeypatch):
     monkeypatch.setattr(jaccard, "BROADCAST_SETS", -1)
     again = corpus_pipeline.drop_near_copies(spark, before, FOLDER)
     assert again.exceptAll(after).count() == after.exceptAll(again).count() == 0
+
+
+@pytest.mark.parametrize("name", ["toxicity", "encoding"])
+def test_one_worker_beside_a_task(spark, stages, name):
+    # each further pass holds a second worker with its own tables in an executor's memory
+    done = dict(corpus_pipeline.STAGES)[name](spark, stages[name][0], FOLDER)
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "__in_0" not in plan

@@ -166,3 +166,19 @@ def test_spelling_of_many_words_at_once():
     none = toxicity._speller(np.zeros(0, np.uint64), np.zeros(0, np.int32))(words[:2])
     assert none[0] == [0, 0] and list(none[1]) == words[:2]
     assert toxicity._speller(np.zeros(0, np.uint64), np.zeros(0, np.int32))([]) == ([], {})
+
+
+def test_scores_are_made_where_the_features_are(odd, model):
+    scored = toxicity.score(odd, model)
+    # one pass, so one worker beside each task, and each text goes to it once
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "__in_0" not in plan
+    described = toxicity._features(odd, model.keys, model.differences, model.rest, ["doc_id", "text"])
+    names, w = [f.name for f in toxicity._FEATURES], np.array(model.weights)
+    expected = []
+    for row in described.collect():
+        x = toxicity._scaled(np.array([[row[n] for n in names]]))
+        expected.append((str(row["doc_id"]), row["text"], float(1 / (1 + np.exp(-(w[0] + x @ w[1:])))[0])))
+    got = [(str(r["doc_id"]), r["text"], r["score"]) for r in scored.collect()]
+    assert [r[:2] for r in got] == [r[:2] for r in expected]
+    assert [r[2] for r in got] == pytest.approx([r[2] for r in expected], rel=1e-12)
