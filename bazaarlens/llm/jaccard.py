@@ -30,6 +30,7 @@ take part once.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -56,8 +57,15 @@ SAMPLE, COMMON = 32768, 10
 WIDE_ROWS = 256
 #: Sets of a large region that are compared with its pivots in one go.
 STRETCH = 512
-#: Regions of sets are looked up by broadcast up to so many sets, joined beyond.
+#: Regions of sets are looked up by broadcast up to so many sets. Beyond, texts are joined
+#: whose hashed ids have their bit among so many for each set, and so many (64 a row) at most.
 BROADCAST_SETS = 500_000
+BITS_A_SET, MOST_BITS = 16, 1 << 27
+#: Bits kept of a cell and of a set's digest where cells are matched. What falls together
+#: by that only shares a region.
+CELL_BITS, SHORT_BITS = 48, 40
+#: Cells that a task holds before it sends them, and bytes of text for each part of them.
+HELD_CELLS, PART_BYTES, LEAST_PARTS = 1 << 20, 8 << 20, 32
 _REMEMBERED = 200_000
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD)]
 
@@ -186,15 +194,16 @@ def _sampled(words: int):
     return run
 
 
-def common_shingles(df: DataFrame, words: int) -> np.ndarray:
+def common_shingles(df: DataFrame, words: int, rows: int | None = None) -> np.ndarray:
     """Shingles that ``COMMON`` different sets of about ``SAMPLE`` documents hold, sorted.
 
     There are fewer of them than the sample has shingles, by that factor. They only
-    serve to keep regions small; the join is exact for any choice of them.
+    serve to keep regions small; the join is exact for any choice of them. ``rows``: those
+    of ``df``, where they have been counted.
     """
-    share = SAMPLE / max(1, df.count())
+    share = SAMPLE / max(1, df.count() if rows is None else rows)
     draw = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    rows = (
+    found = (
         df.where(draw)
         .select(filled().alias("text"))
         .mapInArrow(_sampled(words), "set_id long, shingles array<long>")
@@ -206,80 +215,122 @@ def common_shingles(df: DataFrame, words: int) -> np.ndarray:
         .select("shingle")
         .toArrow()
     )
-    return np.sort(rows.column(0).to_numpy().view(np.uint64))
+    return np.sort(found.column(0).to_numpy().view(np.uint64))
 
 
-def _sketched(words: int, least: int, common: Broadcast):
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers as bytes, all lowest bytes first, without the places that are 0 in all."""
+    width = max(1, (int(numbers.max(initial=0)).bit_length() + 7) // 8)
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _unpacked(data: bytes, size: int) -> np.ndarray:
+    places = np.zeros((size, 8), np.uint8)
+    if size:
+        places[:, : len(data) // size] = np.frombuffer(data, np.uint8).reshape(-1, size).T
+    return places.reshape(-1).view("<u8")
+
+
+def _short(set_ids: np.ndarray) -> np.ndarray:
+    return set_ids.view(np.uint64) >> np.uint64(64 - SHORT_BITS)
+
+
+def _distinct(pairs: np.ndarray) -> np.ndarray:
+    """Pairs (columns) in order, each once."""
+    pairs = pairs[:, np.lexsort((pairs[1], pairs[0]))]
+    return pairs[:, np.r_[True, (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)][: pairs.shape[1]]]
+
+
+_SKETCH = pa.schema(
+    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.int64()), ("part", pa.int32()),
+     ("size", pa.int32()), ("cells", pa.binary()), ("a", pa.binary()), ("b", pa.binary())]
+)
+_SKETCH_DDL = "doc_id long, n_shingles long, set_id long, part int, size int, cells binary, a binary, b binary"
+
+
+def _combined(cell: np.ndarray, ids: np.ndarray, parts: int) -> pa.RecordBatch:
+    """One set for each of a task's cells, by part, and how its other sets meet it.
+
+    A part is a range of cells. Rows without ``cells`` are pairs of sets that have met;
+    the sets of the others are to be met by other tasks. However many sets share a cell,
+    little of it leaves a task.
+    """
+    order = np.lexsort((ids, cell))
+    cell, ids = cell[order], ids[order]
+    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]][: len(cell)])
+    pivot = np.repeat(ids[first], np.diff(np.r_[first, len(cell)]))
+    met = _distinct(np.stack([ids, pivot])[:, ids != pivot])
+    cell, ids = cell[first], ids[first]
+    part = ((cell >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    cell = cell >> np.uint64(64 - CELL_BITS)
+    cuts = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]][: len(part)]), len(part)]
+    rows = []
+    for start, stop in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        steps = _packed(np.diff(cell[start:stop], prepend=np.uint64(0)))
+        rows.append((int(part[start]), stop - start, steps, _packed(ids[start:stop]), None))
+    for start in range(0, met.shape[1], 1 << 16):
+        a, b = met[:, start : start + (1 << 16)]
+        rows.append((int(a[0]) % parts, len(a), None, _packed(a), _packed(b)))
+    columns = list(zip(*rows, strict=True)) if rows else [()] * 5
+    empty = pa.nulls(len(rows), pa.int64())
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, list(_SKETCH)[3:], strict=True)]
+    return pa.RecordBatch.from_arrays([empty, empty, empty, *arrays], schema=_SKETCH)
+
+
+def _sketched(words: int, least: int, common: Broadcast, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each document's size and set, as rows without ``part``, and all cells by part."""
         shingles = shingler(words)
+        cells: list[np.ndarray] = []
+        owners: list[np.ndarray] = []
+        held = 0
+
+        def sent() -> pa.RecordBatch:
+            return _combined(np.concatenate(cells).view(np.uint64), np.concatenate(owners), parts)
+
         for batch in sliced(batches):
-            sizes, ids, names = [], [], []
+            sizes, ids = [], []
             for text in batch.column(1).to_pylist():
                 found = shingles(text)
                 sizes.append(len(found))
                 ids.append(set_id(found) if len(found) else None)
-                names.append(signatures(found, least, common.value))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(ids, pa.int64()),
-                    pa.array(names, pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n_shingles", "set_id", "cells"],
-            )
+                if not len(found):
+                    continue
+                cells.append(signatures(found, least, common.value))
+                owners.append(np.repeat(_short(np.array(ids[-1:], np.int64)), len(cells[-1])))
+                held += len(cells[-1])
+                if held >= HELD_CELLS:
+                    yield sent()
+                    cells, owners, held = [], [], 0
+            given = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64())]
+            none = [pa.nulls(len(sizes), f.type) for f in list(_SKETCH)[3:]]
+            yield pa.RecordBatch.from_arrays([*given, *none], schema=_SKETCH)
+        if held:
+            yield sent()
 
     return run
 
 
-def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One set for each cell of a batch, and how the batch's other sets meet it.
-
-    Rows without ``pivot`` are to be met by other batches. However many sets share a
-    cell, few rows of it leave a batch.
-    """
-    for batch in sliced(batches, 4096):
-        names = batch.column("cells")
-        cell = names.flatten().to_numpy(zero_copy_only=False)
-        ids = np.repeat(
-            batch.column("set_id").to_numpy(zero_copy_only=False),
-            np.diff(names.offsets.to_numpy()),
-        )
-        order = np.lexsort((ids, cell))
-        cell, ids = cell[order], ids[order]
-        first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]][: len(cell)])
-        pivot = np.repeat(ids[first], np.diff(np.r_[first, len(cell)]))
-        met = np.unique(np.stack([ids, pivot])[:, ids != pivot], axis=1)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([cell[first], met[0]])),
-                pa.array(np.concatenate([ids[first], met[0]])),
-                pa.array(
-                    np.concatenate([np.zeros(len(first), np.int64), met[1]]),
-                    mask=np.arange(len(first) + met.shape[1]) < len(first),
-                ),
-            ],
-            names=["cell", "set_id", "pivot"],
-        )
-
-
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets that share a cell with its first set; rows are sorted by cell."""
-    last_cell = last_pivot = None
-    for batch in batches:
-        pivot = batch.column("pivot")
-        open_ = pivot.is_null().to_numpy(zero_copy_only=False)
-        ids = batch.column("set_id").to_numpy()
-        known = np.stack([ids[~open_], pivot.drop_null().to_numpy()])
-        cell, ids = batch.column("cell").to_numpy()[open_], ids[open_]
-        if len(cell):
-            new = np.r_[last_cell is None or cell[0] != last_cell, cell[1:] != cell[:-1]]
-            at = np.maximum.accumulate(np.where(new, np.arange(len(cell)), -1))
-            of_cell = np.where(at >= 0, ids[np.maximum(at, 0)], last_pivot or 0)
-            last_cell, last_pivot = int(cell[-1]), int(of_cell[-1])
-            known = np.hstack([known, np.stack([ids, of_cell])[:, ids != of_cell]])
+    """Sets that share a cell with its first set; rows are sorted by part."""
+    for group in sorted_groups(batches, ["part"]):
+        met, cells, ids = [np.zeros((2, 0), np.uint64)], [], []
+        columns = [group.column(c).to_pylist() for c in ("size", "cells", "a", "b")]
+        for size, steps, a, b in zip(*columns, strict=True):
+            if steps is None:
+                met.append(np.stack([_unpacked(a, size), _unpacked(b, size)]))
+            else:
+                cells.append(np.cumsum(_unpacked(steps, size), dtype=np.uint64))
+                ids.append(_unpacked(a, size))
+        if cells:
+            cell, own = np.concatenate(cells), np.concatenate(ids)
+            order = np.argsort(cell, kind="stable")
+            cell, own = cell[order], own[order]
+            new = np.r_[True, cell[1:] != cell[:-1]]
+            pivot = own[np.maximum.accumulate(np.where(new, np.arange(len(cell)), 0))]
+            met.append(np.stack([own, pivot])[:, own != pivot])
+        known = _distinct(np.hstack(met)).astype(np.int64)
         if known.shape[1]:
-            known = np.unique(known, axis=1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(known[0]), pa.array(known[1])], names=["a", "b"]
             )
@@ -572,6 +623,39 @@ def _links(regions: DataFrame, least: int) -> list[DataFrame]:
     return edges
 
 
+def _perhaps(texts: DataFrame, ids: DataFrame, count: int) -> DataFrame:
+    """``texts`` whose ``__doc`` may be one of ``count`` ids (``first_doc``): all of those, few others."""
+    bits = min(MOST_BITS, max(64, BITS_A_SET * count))
+
+    def placed(df: DataFrame, column: str) -> DataFrame:
+        place = F.pmod(F.xxhash64(column, F.lit(7)), F.lit(bits))
+        return df.withColumn("__word", F.shiftright(place, 6)).withColumn("__at", (place % 64).cast("int"))
+
+    words = placed(ids, "first_doc").groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, __at)")).alias("__bits"))
+    return (
+        placed(texts, "__doc")
+        .join(F.broadcast(words), "__word")
+        .where("shiftright(__bits, __at) & 1 = 1")
+        .select(*texts.columns)
+    )
+
+
+def _texts_of(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    """text, set_id and region of the documents that are to give ``wanted`` sets.
+
+    Where these are too many to be broadcast, what moves is hardly more than their texts.
+    """
+    texts = df.select(F.col("doc_id").alias("__doc"), filled().alias("text"))
+    count = wanted.count()
+    if count <= BROADCAST_SETS:
+        wanted = F.broadcast(wanted)
+    else:
+        texts = _perhaps(texts, wanted, count)
+    return texts.join(wanted, F.col("__doc").eqNullSafe(F.col("first_doc"))).select(
+        "text", "set_id", "region"
+    )
+
+
 def jaccard_groups(df: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     """doc_id, n_shingles and component_id of ``df`` (doc_id, text).
 
@@ -584,48 +668,58 @@ def jaccard_groups(df: DataFrame, words: int = WORDS, least: int = LEAST) -> Dat
     more columns are left out. Shingles and sets are compared by 64-bit digests.
     """
     context = df.sparkSession.sparkContext
-    common = context.broadcast(common_shingles(df.select("doc_id", "text"), words))
-    full = stored(
-        df.select("doc_id", filled().alias("text")).mapInArrow(
-            _sketched(words, least, common), "doc_id long, n_shingles long, set_id long, cells array<long>"
+    given = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    parts = max(LEAST_PARTS, (given["bytes"] or 0) // PART_BYTES + 1)
+    common = context.broadcast(common_shingles(df.select("doc_id", "text"), words, given["rows"]))
+    with batches_of(df.sparkSession, WIDE_ROWS):
+        full = stored(
+            df.select("doc_id", filled().alias("text")).mapInArrow(
+                _sketched(words, least, common, parts), _SKETCH_DDL
+            )
+        )
+        sketches = stored(full.where("part IS NULL").select("doc_id", "n_shingles", "set_id"))
+        near = (
+            full.where("part IS NOT NULL")
+            .select("part", "size", "cells", "a", "b")
+            .repartition("part")
+            .sortWithinPartitions("part")
+            .mapInArrow(_near, "a long, b long")
+        )
+        # all that a set has met is joined to the smallest of them; a set has met no more
+        # others than it has cells
+        met = near.groupBy("a").agg(F.min("b").alias("m"), F.collect_set("b").alias("bs"))
+        near = stored(
+            met.select(F.least("a", "m").alias("b"), F.explode(F.concat("bs", F.array("a"))).alias("a"))
+            .where("a <> b")
+            .distinct()
         )
-    )
-    sketches = stored(full.drop("cells"))
-    near = (
-        full.where("set_id IS NOT NULL")
-        .select("set_id", "cells")
-        .mapInArrow(_combined, "cell long, set_id long, pivot long")
-        .repartition("cell")
-        .sortWithinPartitions("cell", "set_id")
-        .mapInArrow(_near, "a long, b long")
-    )
-    # all that a set has met is joined to the smallest of them; a set has met no more
-    # others than it has cells
-    met = near.groupBy("a").agg(F.min("b").alias("m"), F.collect_set("b").alias("bs"))
-    near = stored(
-        met.select(F.least("a", "m").alias("b"), F.explode(F.concat("bs", F.array("a"))).alias("a"))
-        .where("a <> b")
-        .distinct()
-    )
     release(full)
-    region_of = components(near).select(F.col("id").alias("set_id"), F.col("component").alias("region"))
+    region_of = components(near).select(F.col("id").alias("short"), F.col("component").alias("region"))
+    # rows of the document whose text gives a set: equal ones give it once
     holders = (
         sketches.where("set_id IS NOT NULL")
+        .groupBy("set_id", "doc_id")
+        .agg(F.count(F.lit(1)).alias("rows"))
         .groupBy("set_id")
-        .agg(F.min("doc_id").alias("first_doc"))
+        .agg(
+            F.min("doc_id").alias("first_doc"),
+            F.coalesce(F.min_by("rows", "doc_id"), F.max("rows")).alias("rows"),
+        )
     )
     holders = stored(holders)
-    wanted = stored(region_of.join(holders, "set_id").select("set_id", "region", "first_doc"))
-    small = F.broadcast(wanted) if wanted.count() <= BROADCAST_SETS else wanted
-    texts = df.select(F.col("doc_id").alias("__doc"), filled().alias("text")).join(
-        small, F.col("__doc").eqNullSafe(F.col("first_doc"))
+    short = F.shiftrightunsigned("set_id", 64 - SHORT_BITS)
+    wanted = stored(
+        region_of.join(holders.withColumn("short", short), "short").select(
+            "set_id", "region", "first_doc", "rows"
+        )
     )
     with batches_of(df.sparkSession, WIDE_ROWS):
-        regions = stored(
-            texts.select("text", "set_id", "region")
-            .mapInArrow(_sets(words), _REGION)
-            .dropDuplicates(["set_id"])
-        )
+        given = [_texts_of(df, wanted.where("rows = 1")).mapInArrow(_sets(words), _REGION)]
+        repeated = wanted.where("rows > 1")
+        if not repeated.isEmpty():
+            more = _texts_of(df, repeated).mapInArrow(_sets(words), _REGION)
+            given.append(more.dropDuplicates(["set_id"]))
+        regions = stored(reduce(DataFrame.unionByName, given))
         edges = _links(regions, least)
     all_edges = edges[0]
     for more in edges[1:]:

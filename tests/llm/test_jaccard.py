@@ -2,7 +2,9 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from bazaarlens.llm import jaccard
 from tests.llm.conftest import LONG
@@ -205,3 +207,53 @@ def test_components(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     assert {r["id"]: r["component"] for r in components(df).collect()} == label
     assert components(df.limit(0)).count() == 0
+
+
+def test_cells_travel_in_few_bytes():
+    """Cells and their sets come back from the parts, at less than 12 bytes each."""
+    rng = np.random.default_rng(3)
+    cell = np.unique(rng.integers(0, 1 << 64, 200_000, dtype=np.uint64))
+    ids = jaccard._short(rng.integers(-(1 << 63), 1 << 63, len(cell)))
+    batch = jaccard._combined(np.concatenate([cell, cell[:500]]), np.concatenate([ids, ids[500:1000]]), 64)
+    rows = batch.to_pylist()
+    assert sum(len(x or b"") for r in rows for x in (r["cells"], r["a"], r["b"])) < 12 * len(cell)
+    sent = [r for r in rows if r["cells"] is not None]
+    got = [np.cumsum(jaccard._unpacked(r["cells"], r["size"]), dtype=np.uint64) for r in sent]
+    assert np.array_equal(np.concatenate(got), cell >> np.uint64(16))
+    pairs = {frozenset(p) for p in zip(ids[:500].tolist(), ids[500:1000].tolist(), strict=True)}
+    for table in (pa.Table.from_batches([batch]), pa.Table.from_batches([batch, batch])):
+        met = [b.to_pylist() for b in jaccard._near(iter(table.sort_by("part").to_batches()))]
+        assert {frozenset((r["a"], r["b"])) for b in met for r in b} == pairs
+
+
+def test_many_sets_do_not_move_all_texts(spark, monkeypatch):
+    """Beyond what is broadcast, texts that give no wanted set stay where they are."""
+    texts = spark.range(20_000).selectExpr("id AS __doc", "'some text' AS text")
+    ids = texts.where("__doc % 10 = 0").select(F.col("__doc").alias("first_doc"))
+    kept = jaccard._perhaps(texts, ids, 2000)
+    assert kept.where("__doc % 10 = 0").count() == 2000
+    assert kept.count() < 4000
+    monkeypatch.setattr(jaccard, "BROADCAST_SETS", 0)
+    rows = near_copies(40) + [(None, "a b c d"), (None, "a b c d"), (3, "a b c d"), (3, "a b c d e f")]
+    assert result(spark, rows, 3, 90) == brute_force(rows, 3, 90)
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    from pathlib import Path
+    from time import monotonic, sleep
+
+    from bazaarlens.operators.scratch import shuffles_dropped, stored
+
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        return {f for folder in disk.localDirsString() for f in Path(folder).rglob("shuffle_*")}
+
+    before, setting = files(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    with shuffles_dropped(spark):
+        assert stored(spark.range(1000).repartition(7, "id")).count() == 1000
+    until = monotonic() + 20
+    while files() - before and monotonic() < until:
+        sleep(0.2)
+    assert not files() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
