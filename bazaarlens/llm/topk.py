@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import sorted_groups, table
+from bazaarlens.llm.common import batches_of, sorted_groups, table
 from bazaarlens.operators.scratch import stored
 
-#: Vectors and queries in a block, on average.
+#: Vectors and queries in a block, on average; blocks that a task gets in one Arrow batch.
 BLOCK, QUERY_BLOCK = 8192, 1024
+BATCH = 4
 #: Sums of squares of a vector's whole numbers stay below this, so a score fits 64 bits.
 LARGEST = 1 << 62
 #: A level is the last if so small a share of all pairs is left to score exactly.
@@ -171,20 +172,24 @@ def top_k(
 
     index = dealt(ready, blocks)
     asked_once = ready.where("query").groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    queries = dealt(asked_once, query_blocks).toDF("query_block", "query_ids", "queries")
+    queries = dealt(asked_once, query_blocks)
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Answers of each block; its vectors come first, then one block of queries after another."""
         for batch in batches:
             for row in batch.to_pylist():
-                ids = np.frombuffer(row["ids"], np.int64)
-                vectors = np.frombuffer(row["vectors"], np.int64).reshape(len(ids), -1)
-                query_ids = np.frombuffer(row["query_ids"], np.int64)
-                asked = np.frombuffer(row["queries"], np.int64).reshape(len(query_ids), -1)
+                own = np.frombuffer(row["ids"], np.int64)
+                given = np.frombuffer(row["vectors"], np.int64).reshape(len(own), -1)
+                if not row["query"]:
+                    ids, vectors = own, given
+                    found = Index(vectors)
+                    continue
+                query_ids, asked = own, given
                 width = max(vectors.shape[1], asked.shape[1])
-                vectors, asked = (
-                    np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (vectors, asked)
-                )
-                found = Index(vectors)
+                if vectors.shape[1] < width:
+                    vectors = np.pad(vectors, ((0, 0), (0, width - vectors.shape[1])))
+                    found = Index(vectors)
+                asked = np.pad(asked, ((0, 0), (0, width - asked.shape[1])))
                 for i in range(0, len(asked), 256):
                     a, score, vec = found.search(
                         ids, asked[i : i + 256], query_ids[i : i + 256], k
@@ -194,13 +199,19 @@ def top_k(
                         names=["query_id", "vec_id", "score"],
                     )
 
-    # every block of queries against every block of the index: both carry the pair
-    left = index.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    right = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    pairs = left.join(right, ["block", "query_block"])
-    best = pairs.select("ids", "vectors", "query_ids", "queries").mapInArrow(
-        searched, "query_id long, vec_id long, score long"
+    # every block of queries goes to every block of the index, which moves once; no join,
+    # as its planner would take the queries for as small as they are before that
+    every = queries.select("ids", "vectors", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    met = index.select("block", F.lit(False).alias("query"), "ids", "vectors").unionByName(
+        every.withColumn("query", F.lit(True))
     )
+    with batches_of(df.sparkSession, BATCH):
+        best = stored(
+            met.repartition("block")
+            .sortWithinPartitions("block", "query")
+            .select("query", "ids", "vectors")
+            .mapInArrow(searched, "query_id long, vec_id long, score long")
+        )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         best.withColumn("rank", F.row_number().over(order))

@@ -99,3 +99,21 @@ def test_levels_fall_and_bounds_hold():
     for segment, rest in index.segments:
         so_far += segment
         assert np.allclose(rest, np.sqrt(((vectors - so_far) ** 2).sum(axis=1)))
+
+
+def test_queries_are_not_broadcast(spark, monkeypatch):
+    """Copies of the queries for all blocks stay off the driver, however small one copy is."""
+    plans, stored = [], topk.stored
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    monkeypatch.setattr(topk, "stored", seen)
+    random = np.random.default_rng(1)
+    rows = [(i, (random.standard_normal(6) * 0.2).tolist(), 0) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0, block=20, query_block=7)
+    plans.append(got._jdf.queryExecution().executedPlan().toString())
+    assert not [plan for plan in plans if "Broadcast" in plan or "Join" in plan]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got.collect()) == brute_force(rows, 5, 5)
