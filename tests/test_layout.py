@@ -1,6 +1,7 @@
 """What a stored layout lets a scan skip, read from file footers and scan metrics."""
 
 import random
+import time
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens.operators.curve import curve_position, rank_bounds, with_curve_position
+from bazaarlens.sources.buckets import Buckets, write_buckets
 from bazaarlens.sources.layout import LAYOUTS, Layout, read_table, write_table
 
 FILES = 64
@@ -173,3 +175,27 @@ def test_compiled_places_equal_interpreted_ones(spark):
         assert both.filter(F.col("place") != curve_position(columns, bounds)).count() == 0
     plan = with_curve_position(df, columns, rank_bounds(df, columns), "place")
     assert "lambda" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_stored_tables_and_copies_are_packed_tightly(spark, tmp_path):
+    """Layers and their copies lie beside one another on disk, and no shuffle files beside them."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for folder in disk.localDirsString() for f in Path(folder).rglob("shuffle_*")}
+
+    before = shuffled()
+    rows = spark.range(50).selectExpr("'o' || id AS order_id", "id % 3 AS payment_type")
+    write_table(rows, f"{tmp_path}/plain")
+    write_table(rows, f"{tmp_path}/placed", LAYOUTS["stg_order_payments"])
+    write_buckets(rows, f"{tmp_path}/copy", Buckets("order_id"), 2, 100)
+    write_buckets(rows, f"{tmp_path}/wide", Buckets("payment_type"), 2, 10)
+    until = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    files = [f for f in tmp_path.rglob("*.parquet")]
+    assert {f.parent.name for f in files} >= {"plain", "placed", "buckets", "wide"}
+    for file in files:
+        meta = pq.ParquetFile(file).metadata
+        assert {meta.row_group(g).column(0).compression for g in range(meta.num_row_groups)} <= {"ZSTD"}
